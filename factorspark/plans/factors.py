@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import ts, xs
-from ..sources.panels import calendar
+from ..session import small_dim
+from ..sources.panels import CALENDAR_BOUND, calendar, with_session
 
 SQRT_252 = math.sqrt(252.0)
 
@@ -90,7 +91,7 @@ def factor_panel(bars: DataFrame, names=ALL_FACTORS, cfg: FactorConfig | None =
     if unknown:
         raise ValueError(f"unknown factors {sorted(unknown)}")
     cal = calendar(bars)
-    p = bars.join(cal, "date")
+    p = with_session(bars, cal)
     sec = cfg.sector_col
 
     # ---- ts phase 1 (partitioned by asset)
@@ -182,7 +183,7 @@ def factor_panel(bars: DataFrame, names=ALL_FACTORS, cfg: FactorConfig | None =
     if cfg.restamp:
         p = restamp(p, cal)
     else:
-        p = p.join(cal, "session_idx")
+        p = p.join(small_dim(cal, CALENDAR_BOUND), "session_idx")
     return p.select("date", *out)
 
 
@@ -191,14 +192,13 @@ def restamp(p: DataFrame, cal: DataFrame, lag: int = 1) -> DataFrame:
 
     A join with the small calendar table; the last ``lag`` sessions drop out."""
     return (p.withColumn("session_idx", F.col("session_idx") + lag)
-            .join(cal, "session_idx"))
+            .join(small_dim(cal, CALENDAR_BOUND), "session_idx"))
 
 
 def returns_masked(bars: DataFrame, window: int, cfg: FactorConfig | None = None) -> DataFrame:
     """Returns(window) with the universe mask (NULL outside)."""
     cfg = cfg or FactorConfig()
-    cal = calendar(bars)
-    p = bars.join(cal, "date").withColumns(
+    p = with_session(bars).withColumns(
         {"ret": ts.returns("close", window), **universe_columns(cfg)})
     p = p.repartition("date").withColumn("in_universe", xs.top_n_flag("adv_u", cfg.top))
     return p.select("date", "asset", "session_idx",
@@ -208,8 +208,7 @@ def returns_masked(bars: DataFrame, window: int, cfg: FactorConfig | None = None
 def universe_screen(bars: DataFrame, window: int, top: int) -> DataFrame:
     """``AverageDollarVolume(window).top(n)`` - the n most traded assets per
     session by mean close*volume over the window (missing bars count as 0)."""
-    cal = calendar(bars)
-    p = bars.join(cal, "date").withColumn(
+    p = with_session(bars).withColumn(
         "adv", ts.roll_sum(F.col("close") * F.col("volume"), window) / float(window))
     return (p.repartition("date").withColumn("in_universe", xs.top_n_flag("adv", top))
             .select("date", "asset", "adv", "in_universe"))
@@ -247,8 +246,7 @@ def sentiment_alpha(df: DataFrame, score: str, date: str = "date",
 
 def stepwise_one_day(bars: DataFrame, smooth: int = 5, sector: str = "sector_code") -> DataFrame:
     """The 1-session return chain keeping every stage as a column."""
-    cal = calendar(bars)
-    p = bars.join(cal, "date").withColumn("raw", ts.returns("close", 2))
+    p = with_session(bars).withColumn("raw", ts.returns("close", 2))
     p = p.repartition("date").withColumn("demeaned", xs.demean("raw", ["date", sector]))
     p = p.withColumn("ranked", xs.rank_ordinal("demeaned"))
     p = p.withColumn("zscored", xs.zscore("ranked"))

@@ -25,10 +25,16 @@ def pe(spark: SparkSession, sf: str) -> DataFrame:
     return panels.daily_event_bars(spark, sf)
 
 
+def rd(col: Column, d: int = 8) -> Column:
+    """Round for the oracle compare.  A nudge of 1e-(d+3) moves values that
+    sit on a half-way point (common for ratios of decimal prices) off it, so
+    summation-order noise cannot round one engine up and the other down."""
+    return F.round(col.cast("double") + F.lit(10.0 ** -(d + 3)), d)
+
+
 def r8(c: str | Column, name: str | None = None, d: int = 8) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    out = F.round(col.cast("double"), d)
-    return out.alias(name or (c if isinstance(c, str) else "value"))
+    return rd(col, d).alias(name or (c if isinstance(c, str) else "value"))
 
 
 def nn(c: Column) -> Column:

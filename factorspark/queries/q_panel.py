@@ -1 +1,111 @@
-"""Registered jobs."""
+"""Panel, source and dimension jobs (S1-S5, S20, W18, A15, A17, P-rows)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..registry import register
+from ..sources import panels
+from . import sqlkit as q
+from .common import pe, pw, r8
+
+
+@register("panel_weekly", q.with_(q.PW) + """
+SELECT date, asset, round(open, 4) AS open, round(close, 4) AS close, round(volume, 4) AS volume,
+       sector_code FROM bars""")
+def panel_weekly(spark, sf):
+    """S1 adapter: weekly supplier bars with region as sector."""
+    return pw(spark, sf).select("date", "asset", r8("open", d=4), r8("close", d=4),
+                                r8("volume", d=4), "sector_code")
+
+
+@register("panel_events", q.with_(q.PE) + """
+SELECT date, asset, round(open, 6) AS open, round(close, 6) AS close, round(volume, 6) AS volume,
+       sector_code FROM bars""")
+def panel_events(spark, sf):
+    """S1 adapter: daily bars per user from the event stream."""
+    return pe(spark, sf).select("date", "asset", r8("open", d=6), r8("close", d=6),
+                                r8("volume", d=6), "sector_code")
+
+
+@register("calendar_index", q.with_(q.PW, q.CAL) + "\nSELECT date, session_idx FROM cal")
+def calendar_index(spark, sf):
+    """Dense session index over the distinct dates of the panel."""
+    return panels.calendar(pw(spark, sf))
+
+
+@register("price_slice", q.with_(q.PW) + """
+SELECT date, asset, round(close, 4) AS close FROM bars
+WHERE date > DATE '1996-01-01' AND date <= DATE '1997-06-30'
+  AND asset IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)""")
+def price_slice(spark, sf):
+    """Close prices for an asset list (suppliers with positive balance),
+    sessions in (1996-01-01, 1997-06-30]."""
+    from ..sources.tables import read
+    assets = read(spark, sf, "supplier", "s_suppkey", "s_acctbal").filter("s_acctbal > 0") \
+        .select(F.col("s_suppkey").alias("asset"))
+    out = panels.price_slice(pw(spark, sf), assets, "1996-01-01", "1997-06-30")
+    return out.select("date", "asset", r8("close", d=4))
+
+
+@register("sector_lookup", """
+SELECT c_custkey AS asset, coalesce(CAST(n.n_regionkey AS INTEGER), -1) AS sector_code
+FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_regionkey < 3""")
+def sector_lookup(spark, sf):
+    """Sector code per customer; -1 outside the covered regions (0-2)."""
+    from ..sources.tables import read
+    cust = read(spark, sf, "customer", "c_custkey", "c_nationkey")
+    nat = read(spark, sf, "nation", "n_nationkey", "n_regionkey").filter("n_regionkey < 3")
+    sectors = cust.join(F.broadcast(nat), cust.c_nationkey == nat.n_nationkey) \
+        .select(F.col("c_custkey").alias("asset"), F.col("n_regionkey").cast("int").alias("sector_code"))
+    assets = cust.select(F.col("c_custkey").alias("asset"))
+    return panels.sector_lookup(assets, sectors)
+
+
+@register("sector_names", """
+SELECT * FROM (SELECT DISTINCT CAST(r_regionkey AS INTEGER) AS sector_code, r_name AS sector FROM region)
+UNION ALL SELECT -1, 'No sector'""")
+def sector_names(spark, sf):
+    """De-duplicated sector names plus the sentinel row."""
+    return panels.sector_names(spark, sf)
+
+
+@register("coverage", q.with_(q.PW) + """
+SELECT date, count(close) AS n_assets FROM bars GROUP BY date""")
+def coverage(spark, sf):
+    """Assets with a price per session."""
+    return pw(spark, sf).groupBy("date").agg(F.count("close").alias("n_assets"))
+
+
+@register("distinct_sessions", q.with_(q.PE) + """
+SELECT DISTINCT date, CAST(isodow(date) - 1 AS INTEGER) AS weekday FROM bars""")
+def distinct_sessions(spark, sf):
+    """A15 + F1: distinct dates of the daily panel and their weekday (Mon=0)."""
+    return pe(spark, sf).select("date").distinct() \
+        .withColumn("weekday", F.weekday("date"))
+
+
+@register("max_factor_by_date", q.with_(q.PW) + """
+SELECT date, round(max(close / open), 8) AS max_close_open FROM bars GROUP BY date""")
+def max_factor_by_date(spark, sf):
+    """Maximum per date of a per-asset value (close/open)."""
+    return pw(spark, sf).groupBy("date").agg(
+        r8(F.max(F.try_divide("close", "open")), "max_close_open"))
+
+
+@register("yield_columns", """
+WITH m AS (SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS px
+           FROM orders GROUP BY 1)
+SELECT date, round(px / 1e5 * 365 / 90 / 100, 8) AS yield_3mo, round(px / 1e5 / 100, 8) AS yield_1yr,
+       round(px / NULLIF(lag(px) OVER (ORDER BY date), 0) - 1, 8) AS index_return FROM m""")
+def yield_columns(spark, sf):
+    """Yield columns (3-month rate * 365/90/100, 1-year / 100) and the
+    index return, over a daily average-order-price series."""
+    from pyspark.sql import Window
+    from ..sources.tables import read
+    m = read(spark, sf, "orders", "o_orderdate", "o_totalprice") \
+        .groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(F.avg("o_totalprice").alias("px"))
+    w = Window.orderBy("date")   # one row per day: the date series is bounded
+    return m.select("date", r8(F.col("px") / 1e5 * 365 / 90 / 100, "yield_3mo"),
+                    r8(F.col("px") / 1e5 / 100, "yield_1yr"),
+                    r8(F.try_divide(F.col("px"), F.lag("px").over(w)) - 1, "index_return"))

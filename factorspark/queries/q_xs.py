@@ -1 +1,60 @@
-"""Registered jobs."""
+"""Cross-section jobs W1-W4, W13, W14, W16 on 1-session returns."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import ts, xs
+from ..registry import register
+from ..sources.panels import with_session
+from . import sqlkit as q
+from .common import pw, r8, rd
+
+RET = q.with_(q.PW, q.CAL, f"r AS (SELECT date, asset, sector_code, session_idx, "
+              f"{q.returns('close', 2)} AS ret FROM p)")
+
+
+def _ret(spark, sf):
+    return (with_session(pw(spark, sf)).withColumn("ret", ts.returns("close", 2))
+            .repartition("date"))
+
+
+def _xs(name, col_fn, sql_expr, doc):
+    def job(spark, sf):
+        return _ret(spark, sf).select("date", "asset", col_fn().alias(name))
+    job.__doc__ = doc
+    register(name, RET + f"\nSELECT date, asset, {sql_expr} AS {name} FROM r")(job)
+
+
+_xs("xs_demean", lambda: rd(xs.demean("ret", ["date", "sector_code"])),
+    f"round({q.demean('ret', 'date, sector_code')}, 8)", "W1: return minus (date, sector) mean.")
+_xs("xs_rank_ordinal", lambda: xs.rank_ordinal("ret"), q.rank_ord("ret"),
+    "W2: ordinal rank per date, ties by asset.")
+_xs("xs_rank_average", lambda: xs.rank_average("ret"), q.rank_avg("ret"),
+    "W3: average-tie rank per date.")
+_xs("xs_zscore_pop", lambda: rd(xs.zscore("ret")), f"round({q.zscore('ret')}, 8)",
+    "W4: population z-score per date.")
+_xs("xs_zscore_samp", lambda: rd(xs.zscore("ret", ddof=1)),
+    f"round({q.zscore('ret', ddof=1)}, 8)", "W4: sample z-score per date.")
+_xs("xs_top_n", lambda: xs.top_n_flag("ret", 10), q.top_flag("ret", 10),
+    "W16: flag of the 10 largest returns per date.")
+
+
+@register("xs_qcut", RET + """,
+e AS (SELECT *, quantile_cont(ret, [0.2, 0.4, 0.6, 0.8]) OVER (PARTITION BY date) AS edges FROM r)
+SELECT date, asset, CASE WHEN ret IS NOT NULL THEN CAST(1 + list_sum([CASE WHEN ret > x THEN 1 ELSE 0 END
+  FOR x IN edges]) AS INTEGER) END AS xs_qcut FROM e""")
+def xs_qcut(spark, sf):
+    """Quintile 1..5 per date with interpolated, right-closed edges."""
+    return _ret(spark, sf).select("date", "asset", xs.qcut("ret", 5).alias("xs_qcut"))
+
+
+@register("xs_cut", RET + f"""
+SELECT date, asset, CAST(CASE WHEN ret IS NULL THEN NULL
+  WHEN max(ret) OVER (PARTITION BY date) = min(ret) OVER (PARTITION BY date) THEN 4
+  ELSE least(9, greatest(0, ceil(round(10 * (ret - min(ret) OVER (PARTITION BY date))
+       / (max(ret) OVER (PARTITION BY date) - min(ret) OVER (PARTITION BY date)), 9)) - 1)) END AS INTEGER)
+  AS xs_cut FROM r""")
+def xs_cut(spark, sf):
+    """10 equal-width bins per date (0-based, right-closed)."""
+    return _ret(spark, sf).select("date", "asset", xs.cut("ret", 10).alias("xs_cut"))

@@ -12,6 +12,40 @@ JOBS: dict[str, Job] = {}
 ORACLE: dict[str, str] = {}
 
 
+def nudge_rounds(sql: str) -> str:
+    """``round(e, d)`` with d in 4/6/8 -> ``round((e) + 1e-(d+3), d)``, the
+    same half-way nudge the Spark side applies (``queries.common.rd``)."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        k, depth, comma = j + 6, 1, -1
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        inner_end = k - 1
+        digits = sql[comma + 1:inner_end].strip() if comma > 0 else ""
+        expr = sql[j + 6:comma] if comma > 0 else ""
+        if digits in ("4", "6", "8"):
+            expr = nudge_rounds(expr)
+            out.append(sql[i:j] + f"round(CAST(({expr}) AS DOUBLE) + 1e-{int(digits) + 3}, {digits})")
+        else:
+            out.append(sql[i:j + 6] + nudge_rounds(sql[j + 6:inner_end]) + ")")
+        i = k
+
+
 def register(name: str, sql: str | None = None):
     """Register a job; ``sql`` is its DuckDB oracle (omit for rows-only checks)."""
     def deco(fn: Job) -> Job:
@@ -19,7 +53,7 @@ def register(name: str, sql: str | None = None):
             raise ValueError(f"duplicate job {name}")
         JOBS[name] = fn
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = nudge_rounds(sql)
         return fn
     return deco
 

@@ -96,9 +96,15 @@ def calendar(panel: DataFrame, date_col: str = "date") -> DataFrame:
                     .cast("int").alias("session_idx"))
 
 
+# One calendar row per session: at most 366 a year, a few tens of thousands
+# for a century, whatever the data volume.  Broadcasting it keeps the panel
+# where it is (no shuffle of the panel by date just to attach an index).
+CALENDAR_BOUND = 366 * 100
+
+
 def with_session(panel: DataFrame, cal: DataFrame | None = None) -> DataFrame:
     cal = calendar(panel) if cal is None else cal
-    return panel.join(cal, "date")
+    return panel.join(small_dim(cal, CALENDAR_BOUND), "date")
 
 
 def price_slice(panel: DataFrame, assets: DataFrame, start: str, end: str,
