@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 RANK_DIGITS = 10
 
 
@@ -41,6 +43,9 @@ def value_positions(df: DataFrame, by: Sequence[str], value: str,
     d = (base.filter(F.col(value).isNotNull())
          .groupBy(*g, F.round(F.col(value), RANK_DIGITS).alias("_k"))
          .agg(F.count(F.lit(1)).alias("_c")))
+    # the distinct-value table feeds edges, totals and running counts: write
+    # it once to the shared checkpoint folder instead of recomputing its input
+    d = cut_lineage(d)
     b = buckets or _buckets(df)
     probs = F.array(*[F.lit(i / b) for i in range(1, b)])
     edges = d.groupBy(*g).agg(F.percentile_approx("_k", probs, 100 * b).alias("_e"))

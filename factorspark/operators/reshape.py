@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import ranking
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -57,6 +58,7 @@ def spearman_to_target(df: DataFrame, target: str, features: Sequence[str],
     """Spearman correlation of each feature with the target over
     rows where both are present; ranks are global and hot-value safe."""
     long = to_long(df.filter(F.col(target).isNotNull()), [*key, target], features)
+    long = cut_lineage(long)   # ranked twice; do not recompute the inputs
     rx = ranking.average_rank(long, ["feature"], "value", "rx")
     rxy = ranking.average_rank(rx, ["feature"], target, "ry")
     return rxy.groupBy("feature").agg(F.corr("rx", "ry").alias("spearman"))
