@@ -1 +1,187 @@
-"""Registered jobs."""
+"""Risk-model jobs R1-R12, Q2, Q3 with two given betas (volume z-score and
+close/open ratio per asset) so DuckDB can check them, plus PCA jobs."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from ..operators import xs
+from ..plans import portfolio as pf
+from ..plans import risk as rk
+from ..registry import register
+from . import sqlkit as q
+from .common import r8
+from .q_portfolio import BETA_SQL, BOOK_SQL, Book
+
+ANN = 52.0
+
+
+def given_betas(p):
+    """Two fixed betas per asset: mean volume z-score (k=0) and mean
+    close/open - 1 (k=1)."""
+    vz = p.repartition("date").select("asset", xs.zscore("volume").alias("z"),
+                                      F.try_divide("close", "open").alias("co"))
+    g = vz.groupBy("asset").agg(F.avg("z").alias("b0"), (F.avg("co") - 1).alias("b1"))
+    return g.select("asset", F.explode(F.array(
+        F.struct(F.lit(0).alias("k"), F.col("b0").alias("beta")),
+        F.struct(F.lit(1).alias("k"), F.col("b1").alias("beta")))).alias("s")).select("asset", "s.k", "s.beta")
+
+
+class RiskModel:
+    def __init__(self, spark, sf):
+        self.b = Book(spark, sf)
+        self.betas = given_betas(self.b.p)
+        cal = self.b.cal
+        self.rets = self.b.rets.join(cal, "session_idx").filter(F.col("r").isNotNull()) \
+            .select("date", "asset", "r")
+        self.f = rk.static_factor_returns(self.rets, self.betas)
+
+    def fvar(self):
+        return rk.factor_var(self.f, ANN)
+
+    def ivar(self):
+        return rk.idio_var(self.rets, self.betas, self.f, ANN)
+
+
+RISK_SQL = BOOK_SQL + BETA_SQL + """,
+bw AS (SELECT asset, max(CASE WHEN k = 0 THEN beta END) AS b0, max(CASE WHEN k = 1 THEN beta END) AS b1
+       FROM betas GROUP BY asset),
+g AS (SELECT sum(b0 * b0) AS g00, sum(b0 * b1) AS g01, sum(b1 * b1) AS g11 FROM bw),
+pm AS (SELECT asset, (g11 * b0 - g01 * b1) / (g00 * g11 - g01 * g01) AS p0,
+              (g00 * b1 - g01 * b0) / (g00 * g11 - g01 * g01) AS p1 FROM bw, g),
+rr AS (SELECT c.date, r.asset, r.r FROM rets r JOIN cal c USING (session_idx) WHERE r.r IS NOT NULL),
+fw AS (SELECT date, sum(p0 * r) AS f0, sum(p1 * r) AS f1 FROM rr JOIN pm USING (asset) GROUP BY date),
+fl AS (SELECT date, 0 AS k, f0 AS f FROM fw UNION ALL SELECT date, 1, f1 FROM fw),
+grid AS (SELECT fw.date, bw.asset, coalesce(rr.r, 0) AS y, coalesce(rr.r, 0) - (f0 * b0 + f1 * b1) AS e
+         FROM fw, bw LEFT JOIN rr ON rr.date = fw.date AND rr.asset = bw.asset),
+fv AS (SELECT k, var_samp(f) * 52.0 AS var FROM fl GROUP BY k),
+iv AS (SELECT asset, var_samp(e) * 52.0 AS var FROM grid GROUP BY asset),
+ex AS (SELECT port_name, date, k, sum(beta * w) AS e FROM wts JOIN betas USING (asset) GROUP BY ALL),
+risk AS (SELECT port_name, date, sqrt(coalesce(fr, 0) + coalesce(ir, 0)) AS risk FROM
+         (SELECT port_name, date, sum(var * e * e) AS fr FROM ex JOIN fv USING (k) GROUP BY ALL) a FULL OUTER JOIN
+         (SELECT port_name, date, sum(var * w * w) AS ir FROM wts JOIN iv USING (asset) GROUP BY ALL) b
+         USING (port_name, date))"""
+
+
+@register("static_factor_returns", RISK_SQL + "\nSELECT date, k, round(f, 6) AS f FROM fl")
+def static_factor_returns(spark, sf):
+    """Per-date regression (no intercept) of returns on the fixed betas."""
+    return RiskModel(spark, sf).f.select("date", "k", r8("f", d=6))
+
+
+@register("explained_variance", RISK_SQL + """
+SELECT date, round(1 - var_pop(e) / NULLIF(var_pop(y), 0), 6) AS exp_var FROM grid GROUP BY date""")
+def explained_variance(spark, sf):
+    """Explained variance of each date's regression (all assets, missing
+    returns as 0), computed from sums without the dates x assets grid."""
+    m = RiskModel(spark, sf)
+    return rk.explained_variance(m.rets, m.betas, m.f).select("date", r8("exp_var", d=6))
+
+
+@register("factor_var", RISK_SQL + "\nSELECT k, round(var, 4) AS var FROM fv")
+def factor_var(spark, sf):
+    """Annualised variance of each factor return (diagonal covariance)."""
+    return RiskModel(spark, sf).fvar().select("k", r8("var", d=4))
+
+
+@register("idio_var", RISK_SQL + "\nSELECT asset, round(var, 4) AS var FROM iv")
+def idio_var(spark, sf):
+    """Annualised specific variance per asset (checked against the dense
+    residual grid in SQL)."""
+    return RiskModel(spark, sf).ivar().select("asset", r8("var", d=4))
+
+
+@register("portfolio_risk", RISK_SQL + "\nSELECT port_name, date, round(risk, 6) AS risk FROM risk")
+def portfolio_risk(spark, sf):
+    """Predicted risk sqrt(w'(B F B' + S) w) of every portfolio and date."""
+    m = RiskModel(spark, sf)
+    r = rk.portfolio_risk(m.b.w, m.betas, m.fvar(), m.ivar())
+    return r.select("port_name", "date", r8("risk", d=6))
+
+
+@register("equal_weight_risk", RISK_SQL + """,
+eq AS (SELECT asset, 1.0 / count(*) OVER () AS w FROM bw),
+eex AS (SELECT k, sum(beta * w) AS e FROM eq JOIN betas USING (asset) GROUP BY k)
+SELECT round(sqrt((SELECT sum(var * e * e) FROM eex JOIN fv USING (k)) +
+                  (SELECT sum(var * w * w) FROM eq JOIN iv USING (asset))), 6) AS risk""")
+def equal_weight_risk(spark, sf):
+    """R11 + R10: predicted risk of the equal-weight portfolio."""
+    m = RiskModel(spark, sf)
+    w = rk.equal_weights(m.betas).withColumn("port_name", F.lit("eq"))
+    r = rk.portfolio_risk(w, m.betas, m.fvar(), m.ivar(), keys=("port_name",))
+    return r.select(r8("risk", d=6))
+
+
+@register("constraint_audit", RISK_SQL + """,
+per AS (SELECT port_name, date, max(w) AS w_max, min(w) AS w_min, sum(abs(w)) AS gross, sum(w) AS net FROM wts GROUP BY ALL),
+au AS (SELECT port_name, date, 'weight_max' AS check_name, w_max AS value, 0.55 AS bound, w_max <= 0.55 + 1e-9 AS ok FROM per
+  UNION ALL SELECT port_name, date, 'weight_min', w_min, -0.55, w_min >= -0.55 - 1e-9 FROM per
+  UNION ALL SELECT port_name, date, 'gross_le_1', gross, 1.0, gross <= 1.0 + 1e-9 FROM per
+  UNION ALL SELECT port_name, date, 'net_zero', net, 0.0, abs(net) <= 1e-6 FROM per
+  UNION ALL SELECT port_name, date, 'factor_exposure', max(abs(e)), 10.0, max(abs(e)) <= 10.0 FROM ex GROUP BY ALL
+  UNION ALL SELECT port_name, date, 'risk', risk * risk, 0.05 * 0.05, risk * risk <= 0.05 * 0.05 FROM risk)
+SELECT port_name, date, check_name, round(value, 6) AS value, round(bound, 6) AS bound, ok FROM au""")
+def constraint_audit(spark, sf):
+    """Q2: the optimiser's constraints audited on the weight tables."""
+    m = RiskModel(spark, sf)
+    ex = pf.factor_exposure(m.b.w, m.betas)
+    risk = rk.portfolio_risk(m.b.w, m.betas, m.fvar(), m.ivar())
+    a = pf.constraint_audit(m.b.w, ex, risk)
+    return a.select("port_name", "date", "check_name", r8("value", d=6), r8("bound", d=6), "ok")
+
+
+# ------------------------------------------------------------------ PCA (rows-only)
+
+def _pca(spark, sf, k=3):
+    m = RiskModel(spark, sf)
+    vec, assets = rk.return_vectors(m.rets)
+    model = rk.fit_pca(vec, k)
+    return m, model, assets
+
+
+@register("pca_betas")
+def pca_betas(spark, sf):
+    """PCA loadings (3 components) of the weekly return vectors,
+    sign-fixed, as (asset, k, beta)."""
+    m, model, assets = _pca(spark, sf)
+    return rk.pca_betas(spark, model, assets)
+
+
+@register("pca_factor_returns")
+def pca_factor_returns(spark, sf):
+    """Factor returns = centred returns projected on the loadings."""
+    m, model, assets = _pca(spark, sf)
+    return rk.pca_factor_returns(m.rets, rk.pca_betas(spark, model, assets))
+
+
+@register("pca_top_loadings")
+def pca_top_loadings(spark, sf):
+    """Explained-variance ratio of each component and the 10 assets with
+    the lowest PC1 loadings (top-k report)."""
+    m, model, assets = _pca(spark, sf)
+    b = rk.pca_betas(spark, model, assets).filter("k = 0")
+    low = b.orderBy("beta", "asset").limit(10)
+    ev = spark.createDataFrame([(int(i), float(v)) for i, v in enumerate(model.explainedVariance.toArray())],
+                               "k int, explained_variance_ratio double")
+    return low.join(F.broadcast(ev), "k")
+
+
+@register("pca_expvar_grid")
+def pca_expvar_grid(spark, sf):
+    """Cumulative explained variance for k in (1, 2, 3, 5) on three
+    expanding date folds (one eigen-decomposition per fold)."""
+    from ..plans.features import time_folds
+    m = RiskModel(spark, sf)
+    folds = time_folds(m.rets, 3).filter("role = 'train'")
+    rows = []
+    grid = (1, 2, 3, 5)
+    for fold in range(3):
+        r = m.rets.join(folds.filter(F.col("fold") == fold).select("date"), "date", "left_semi")
+        vec, assets = rk.return_vectors(r)
+        model = rk.fit_pca(vec, max(grid))
+        ratios = model.explainedVariance.toArray()
+        for kk in grid:
+            rows.append((fold, kk, float(ratios[:kk].sum())))
+    return spark.createDataFrame(rows, "fold int, k int, cum_explained_variance double")
