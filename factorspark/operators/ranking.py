@@ -101,3 +101,19 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str,
          .withColumn("q", F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo"))))
     out = q.select(*g, "p", "q")
     return out if by else out.drop("_all")
+
+
+def neighbours(df: DataFrame, by: Sequence[str], order: str, out: str = "prev") -> DataFrame:
+    """The previous ``order`` value inside each group (lag by one),
+    without a per-group window: position = number of smaller values, then an
+    equi-join on (group, position - 1).  ``order`` must be unique per group."""
+    by = list(by)
+    g = by or ["_all"]
+    vp = value_positions(df.select(*by, order), by, order)
+    pos = vp.select(*g, F.col("_k").alias("_o"), "_before")
+    prev = pos.select(*g, F.col("_o").alias(out), (F.col("_before") + 1).alias("_before"))
+    pairs = pos.join(prev, [*g, "_before"]).select(*g, F.col("_o").alias("_o"), out)
+    base = (df if by else df.withColumn("_all", F.lit(0))).withColumn(
+        "_o", F.round(F.col(order), RANK_DIGITS))
+    res = base.join(pairs, [*g, "_o"], "left").drop("_o")
+    return res if by else res.drop("_all")

@@ -147,7 +147,7 @@ def quantile_returns(spark, sf):
 
 
 @register("skipped_factors", FD_SQL + """
-SELECT factor, count(*) AS n_rows, count_if(fwd_1 IS NULL OR fwd_2 IS NULL) AS n_dropped,
+SELECT factor, count(*) AS n_rows, CAST(count_if(fwd_1 IS NULL OR fwd_2 IS NULL) AS BIGINT) AS n_dropped,
   round(count_if(fwd_1 IS NULL OR fwd_2 IS NULL) / count(*), 8) AS loss,
   CASE WHEN count_if(fwd_1 IS NULL OR fwd_2 IS NULL) / count(*) > 0.2 THEN 'skipped' ELSE 'ok' END AS status
 FROM fd GROUP BY factor""")

@@ -32,10 +32,10 @@ def _acc_sql(src, by):
     gb = f"GROUP BY {by}" if by else ""
     return f"""
 , c AS (SELECT {g}count(*) AS n,
-  count_if(coalesce(fwd_1 > 0, false) AND coalesce(value > 0, false)) AS tp,
-  count_if(NOT coalesce(fwd_1 > 0, false) AND NOT coalesce(value > 0, false)) AS tn,
-  count_if(NOT coalesce(fwd_1 > 0, false) AND coalesce(value > 0, false)) AS fp,
-  count_if(coalesce(fwd_1 > 0, false) AND NOT coalesce(value > 0, false)) AS fn FROM {src} {gb})
+  CAST(count_if(coalesce(fwd_1 > 0, false) AND coalesce(value > 0, false)) AS BIGINT) AS tp,
+  CAST(count_if(NOT coalesce(fwd_1 > 0, false) AND NOT coalesce(value > 0, false)) AS BIGINT) AS tn,
+  CAST(count_if(NOT coalesce(fwd_1 > 0, false) AND coalesce(value > 0, false)) AS BIGINT) AS fp,
+  CAST(count_if(coalesce(fwd_1 > 0, false) AND NOT coalesce(value > 0, false)) AS BIGINT) AS fn FROM {src} {gb})
 SELECT {g}n, tp, tn, fp, fn, round(coalesce((tp + tn) / NULLIF(n, 0), 0), 8) AS acc_global,
   round(coalesce(tp / NULLIF(tp + fn, 0), 0), 8) AS acc_up, round(coalesce(tn / NULLIF(tn + fp, 0), 0), 8) AS acc_down,
   round(coalesce((tp + tn) / NULLIF(tp + tn + fp * 2.0 + fn * 2.0, 0), 0), 8) AS acc_weighted FROM c"""
