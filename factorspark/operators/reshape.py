@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import stats
+
 from ..session import cut_lineage
 from . import ranking
 
@@ -47,7 +49,7 @@ def pearson_pairs(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
     returned long (by..., a, b, corr)."""
     cols = list(cols)
     pairs = [(x, y) for i, x in enumerate(cols) for y in cols[i + 1:]]
-    agg = df.groupBy(*by).agg(*[F.corr(x, y).alias(f"{x}__{y}") for x, y in pairs])
+    agg = df.groupBy(*by).agg(*[stats.corr(x, y).alias(f"{x}__{y}") for x, y in pairs])
     st = F.explode(F.array(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"),
                                       F.col(f"{x}__{y}").alias("corr")) for x, y in pairs]))
     return agg.select(*by, st.alias("s")).select(*by, "s.a", "s.b", "s.corr")
@@ -61,7 +63,7 @@ def spearman_to_target(df: DataFrame, target: str, features: Sequence[str],
     long = cut_lineage(long)   # ranked twice; do not recompute the inputs
     rx = ranking.average_rank(long, ["feature"], "value", "rx")
     rxy = ranking.average_rank(rx, ["feature"], target, "ry")
-    return rxy.groupBy("feature").agg(F.corr("rx", "ry").alias("spearman"))
+    return rxy.groupBy("feature").agg(stats.corr("rx", "ry").alias("spearman"))
 
 
 def mutual_information(df: DataFrame, label: str, features: Sequence[str],

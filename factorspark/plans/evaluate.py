@@ -14,6 +14,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import stats
+
 from ..operators import xs
 
 ANNUALIZATION = {"daily": 252.0, "weekly": 52.0, "monthly": 12.0, "none": 1.0}
@@ -78,7 +80,7 @@ def rank_ic(fdq: DataFrame, period: int) -> DataFrame:
     by = ["factor", "date"]
     r = fdq.withColumns({"rf": xs.rank_average("value", by),
                          "rr": xs.rank_average(f"fwd_{period}", by)})
-    return r.groupBy(*by).agg(F.corr("rf", "rr").alias("ic"))
+    return r.groupBy(*by).agg(stats.corr("rf", "rr").alias("ic"))
 
 
 def rank_autocorr(fd: DataFrame) -> DataFrame:
@@ -90,7 +92,7 @@ def rank_autocorr(fd: DataFrame) -> DataFrame:
     prev = r.select("factor", (F.col("session_idx") + 1).alias("session_idx"), "asset",
                     F.col("rk").alias("rk_prev"))
     return (r.join(prev, ["factor", "session_idx", "asset"])
-            .groupBy("factor", "date").agg(F.corr("rk", "rk_prev").alias("autocorr")))
+            .groupBy("factor", "date").agg(stats.corr("rk", "rk_prev").alias("autocorr")))
 
 
 def quantile_returns(fdq: DataFrame, period: int) -> DataFrame:

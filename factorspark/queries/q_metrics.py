@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import stats
+
 from ..operators import ranking, reshape
 from ..plans import factors as fx
 from ..plans import features as ft
@@ -118,7 +120,7 @@ def median_by_group(spark, sf):
 
 
 @register("corr_matrix", S_SQL + """
-SELECT a, b, round(c, 8) AS corr FROM (
+SELECT a, b, round(CASE WHEN isnan(c) THEN NULL ELSE c END, 8) AS corr FROM (
   SELECT 'momentum' AS a, 'mean_reversion' AS b, corr(momentum, mean_reversion) AS c FROM fp
   UNION ALL SELECT 'momentum', 'overnight_sentiment', corr(momentum, overnight_sentiment) FROM fp
   UNION ALL SELECT 'mean_reversion', 'overnight_sentiment', corr(mean_reversion, overnight_sentiment) FROM fp)""")
@@ -131,11 +133,11 @@ def corr_matrix(spark, sf):
 lab AS (SELECT date, CASE WHEN session_idx < floor(count(*) OVER () * 0.6) THEN 'train'
   WHEN session_idx < floor(count(*) OVER () * 0.8) THEN 'valid' ELSE 'test' END AS split
   FROM (SELECT DISTINCT date, dense_rank() OVER (ORDER BY date) - 1 AS session_idx FROM fp))
-SELECT split, round(corr(momentum, fwd_1), 8) AS corr FROM fp JOIN lab USING (date) GROUP BY split""")
+SELECT split, round(CASE WHEN isnan(corr(momentum, fwd_1)) THEN NULL ELSE corr(momentum, fwd_1) END, 8) AS corr FROM fp JOIN lab USING (date) GROUP BY split""")
 def corr_by_split(spark, sf):
     """Correlation of factor and forward return per date split."""
     s = ft.split_by_fraction(_scored(spark, sf))
-    return s.groupBy("split").agg(r8(F.corr("momentum", "fwd_1"), "corr"))
+    return s.groupBy("split").agg(r8(stats.corr("momentum", "fwd_1"), "corr"))
 
 
 @register("roc_auc", S_SQL + f""",

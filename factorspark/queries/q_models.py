@@ -1 +1,220 @@
-"""Registered jobs."""
+"""Model jobs L8-L17, E9, X23, Q12-Q15.  Closed forms carry DuckDB oracles;
+iterative Spark ML fits are rows-only."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from ..plans import attribution as at
+from ..plans import evaluate as ev
+from ..plans import factors as fx
+from ..plans import features as ft
+from ..plans import models as md
+from ..plans.text import bow as bw
+from ..registry import register
+from ..sources.tables import read
+from .common import WEEKLY, pw, r8
+from .q_factors import sql_factor_panel
+from .q_text import DOCS, LEX_CTE, Corpus
+
+FEATS = ["momentum", "mean_reversion"]
+
+
+def _panel(spark, sf):
+    return fx.factor_panel(pw(spark, sf), FEATS + ["overnight_sentiment"], WEEKLY, fwd_periods=(1,))
+
+
+@register("ridge_gram", sql_factor_panel(FEATS, fwd_periods=(1,)) + """,
+v AS (SELECT momentum AS x1, mean_reversion AS x2, fwd_1 AS y FROM fp
+      WHERE momentum IS NOT NULL AND mean_reversion IS NOT NULL AND fwd_1 IS NOT NULL),
+s AS (SELECT sum(x1 * x1) + 1.0 AS a, sum(x1 * x2) AS b, sum(x2 * x2) + 1.0 AS d, sum(x1 * y) AS c1,
+             sum(x2 * y) AS c2 FROM v)
+SELECT 'momentum' AS feature, round((d * c1 - b * c2) / (a * d - b * b), 8) AS coef FROM s
+UNION ALL SELECT 'mean_reversion', round((a * c2 - b * c1) / (a * d - b * b), 8) FROM s""")
+def ridge_gram(spark, sf):
+    """Ridge (alpha 1, no intercept) of the next return on two
+    factors from Gram sums; coefficient table."""
+    c = md.ridge_gram(_panel(spark, sf), FEATS, "fwd_1", 1.0)
+    return c.select("feature", r8("coef"))
+
+
+@register("interaction_features", sql_factor_panel(FEATS + ["overnight_sentiment"]) + """
+SELECT date, asset, round(momentum * mean_reversion, 8) AS momentum_x_mean_reversion,
+  round(momentum * overnight_sentiment, 8) AS momentum_x_overnight_sentiment,
+  round(mean_reversion * overnight_sentiment, 8) AS mean_reversion_x_overnight_sentiment FROM fp""")
+def interaction_features(spark, sf):
+    """Pairwise interaction features of the three alphas."""
+    p = _panel(spark, sf)
+    fs = FEATS + ["overnight_sentiment"]
+    cols = [r8(F.col(a) * F.col(b), f"{a}_x_{b}") for i, a in enumerate(fs) for b in fs[i + 1:]]
+    return p.select("date", "asset", *cols)
+
+
+NB_SQL = "WITH " + DOCS + LEX_CTE + """,
+lab AS (SELECT doc_id, quality AS label FROM labels),
+tc AS (SELECT label, term, sum(tf) AS n_tc FROM ncnt JOIN lab USING (doc_id) GROUP BY ALL),
+nc AS (SELECT label, sum(n_tc) AS n_c FROM tc GROUP BY label),
+vv AS (SELECT count(DISTINCT term) AS V FROM ncnt)"""
+
+
+@register("naive_bayes_counts", NB_SQL + """
+SELECT label, term, round(ln((n_tc + 1.0) / (n_c + 1.0 * V)), 8) AS log_prob FROM tc JOIN nc USING (label), vv""")
+def naive_bayes_counts(spark, sf):
+    """Multinomial naive Bayes (alpha 1) term log-probabilities per
+    quality label, closed form over the labelled filings."""
+    c = Corpus(spark, sf)
+    labels = read(spark, sf, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
+    _, lp = md.naive_bayes_counts(c.counts, labels)
+    return lp.select("label", "term", r8("log_prob"))
+
+
+@register("naive_bayes_prior", """
+SELECT quality AS label, round(ln(count(*) / sum(count(*)) OVER ()), 8) AS log_prior FROM labels GROUP BY quality""")
+def naive_bayes_prior(spark, sf):
+    """Class log-priors."""
+    labels = read(spark, sf, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
+    c = Corpus(spark, sf)
+    prior, _ = md.naive_bayes_counts(c.counts, labels)
+    return prior.select("label", r8("log_prior"))
+
+
+def _split(spark, sf):
+    p = ft.split_by_fraction(_panel(spark, sf)).dropna(subset=FEATS + ["fwd_1"])
+    return p.filter("split = 'train'"), p.filter("split = 'valid'"), p.filter("split = 'test'")
+
+
+@register("forest_reg")
+def forest_reg(spark, sf):
+    """Random-forest regressor grid (depth 3/5), validation RMSE and
+    direction accuracy per parameter set."""
+    tr, va, _ = _split(spark, sf)
+    return md.regression_grid(tr, va, FEATS, "fwd_1", {"numTrees": [20], "maxDepth": [3, 5]}, "forest")
+
+
+@register("ridge_cv")
+def ridge_cv(spark, sf):
+    """Linear model grid over three expanding date folds; mean
+    validation metrics per parameter set and the champion flag."""
+    from ..session import cut_lineage
+    p = cut_lineage(_panel(spark, sf).dropna(subset=FEATS + ["fwd_1"]).select("date", *FEATS, "fwd_1"))
+    folds = ft.time_folds(p, 3)
+    res = None
+    for k in range(3):
+        f = folds.filter(F.col("fold") == k)
+        tr = p.join(f.filter("role = 'train'").select("date"), "date", "left_semi")
+        te = p.join(f.filter("role = 'test'").select("date"), "date", "left_semi")
+        g = md.regression_grid(tr, te, FEATS, "fwd_1", {"regParam": [0.0, 0.1, 1.0]}, "linear") \
+            .withColumn("fold", F.lit(k))
+        res = g if res is None else res.unionByName(g)
+    s = res.groupBy("model", "params").agg(F.avg("rmse").alias("cv_rmse"), F.avg("acc").alias("cv_acc"))
+    best = s.agg(F.min_by("params", "cv_rmse").alias("best")).first().best
+    return s.withColumn("champion", F.col("params") == F.lit(best))
+
+
+@register("voting_ensemble")
+def voting_ensemble(spark, sf):
+    """Non-overlapping voter: one forest per offset of every 3rd
+    session, class probabilities averaged; validation accuracy per setting."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.functions import vector_to_array
+    from ..session import cut_lineage
+    tr, va, _ = _split(spark, sf)
+    cols = ["date", "asset", "session_idx", *FEATS, "fwd_1"]
+    tr = cut_lineage(tr.select(*cols).withColumn("label", (F.col("fwd_1") > 0).cast("double")))
+    va = cut_lineage(va.select(*cols).withColumn("label", (F.col("fwd_1") > 0).cast("double")))
+    rows = []
+    for depth in (3, 5):
+        n_skip = 2
+        probs = None
+        vam = md.assemble(va, FEATS)
+        for start in range(n_skip + 1):
+            sub = md.assemble(tr.filter((F.col("session_idx") - start) % (n_skip + 1) == 0), FEATS)
+            m = RandomForestClassifier(numTrees=10, maxDepth=depth, seed=start, labelCol="label").fit(sub)
+            p = m.transform(vam).select("date", "asset", "label",
+                                        vector_to_array("probability")[1].alias(f"p{start}"))
+            probs = p if probs is None else probs.join(p.drop("label"), ["date", "asset"])
+        avg = sum(F.col(f"p{s}") for s in range(n_skip + 1)) / (n_skip + 1)
+        r = probs.agg(F.avg(((avg > 0.5).cast("double") == F.col("label")).cast("double")).alias("acc")).first()
+        rows.append((int(depth), float(r.acc)))
+    return spark.createDataFrame(rows, "max_depth int, valid_acc double")
+
+
+@register("logreg_grid")
+def logreg_grid(spark, sf):
+    """L1 and L2 logistic regression (no intercept) of the
+    quality label on tf-idf rows; test AUC and the share of zero coefficients."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+    from ..session import cut_lineage
+    c = Corpus(spark, sf)
+    lab = read(spark, sf, "labels", "doc_id", "quality")
+    vec = md.sparse_term_vectors(c.counts.join(lab.select("doc_id"), "doc_id", "left_semi"))
+    data = cut_lineage(vec.join(lab, "doc_id").select("doc_id", "features",
+                                                      F.col("quality").cast("double").alias("label")))
+    train = data.filter(F.col("doc_id") % 5 != 0)
+    test = data.filter(F.col("doc_id") % 5 == 0)
+    nt = max(train.count(), 1)
+    ev_ = BinaryClassificationEvaluator()
+    out = []
+    for l1 in (1.0, 0.0):
+        for cc in (1.0, 100.0):
+            m = LogisticRegression(elasticNetParam=l1, regParam=1.0 / (cc * nt), fitIntercept=False,
+                                   standardization=False, maxIter=50).fit(train)
+            auc = ev_.evaluate(m.transform(test))
+            coef = m.coefficients.toArray()
+            out.append(("l1" if l1 else "l2", float(cc), float(auc), float((coef == 0).mean())))
+    return spark.createDataFrame(out, "penalty string, C double, test_auc double, share_zero double")
+
+
+@register("ml_sentiment_alpha")
+def ml_sentiment_alpha(spark, sf):
+    """Naive-Bayes quality probability of every filing turned into a
+    sector-neutral, ranked, z-scored alpha (D18) per year."""
+    c = Corpus(spark, sf)
+    labels = read(spark, sf, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
+    prior, lp = md.naive_bayes_counts(c.counts, labels)
+    lpw = lp.groupBy("term").pivot("label", [0, 1]).agg(F.first("log_prob"))
+    s = (c.counts.join(lpw, "term").groupBy("doc_id")
+         .agg(F.sum(F.col("tf") * (F.col("1") - F.col("0"))).alias("llr")))
+    d = c.docs.join(s, "doc_id").withColumn("year", F.trunc("date", "year")).withColumn("sentiment", F.lit("ml"))
+    a = bw.sentiment_alpha(d, value="llr")
+    return a.select("doc_id", "year", r8("alpha"))
+
+
+@register("ml_factor_eval")
+def ml_factor_eval(spark, sf):
+    """Ridge predictions as an ML factor, evaluated like any factor:
+    factor returns, annualised Sharpe and mean rank IC."""
+    p = _panel(spark, sf)
+    coefs = md.ridge_gram(p, FEATS, "fwd_1", 1.0)
+    sc = md.score_linear(p, coefs, FEATS, "ml_factor")
+    fd = ev.factor_data(ev.to_long(sc, ["ml_factor"], ["fwd_1"]), (1,), quantiles=5)
+    fr = ev.factor_returns(fd, 1)
+    sh = ev.sharpe(fr, "factor_return", "factor", "weekly")
+    ic = ev.rank_ic(fd, 1).groupBy("factor").agg(F.avg("ic").alias("mean_ic"))
+    return sh.join(ic, "factor")
+
+
+@register("pnl_attribution")
+def pnl_attribution(spark, sf):
+    """Q12 / Q14 / Q15: per-date regression of delayed returns on alpha and
+    beta exposures (pinv of K x K sums), then alpha / beta / idiosyncratic
+    PnL and running totals per portfolio."""
+    from .q_portfolio import Book
+    from .q_risk import given_betas
+    b = Book(spark, sf)
+    betas = given_betas(b.p)
+    dates = b.w.select("date", "asset").distinct()
+    ex_b = dates.join(betas, "asset").select("date", "asset", F.concat(F.lit("beta_"), F.col("k").cast("string"))
+                                             .alias("factor"), F.col("beta").alias("x"))
+    ex_a = b.alpha.select("date", "asset", F.concat(F.lit("alpha_"), F.col("port_name")).alias("factor"),
+                          F.col("alpha").alias("x")).distinct()
+    expo = ex_a.unionByName(ex_b)
+    rets = (b.rets.withColumn("session_idx", F.col("session_idx") - 1).join(b.cal, "session_idx")
+            .select("date", "asset", "r").filter(F.col("r").isNotNull()))
+    f = at.factor_regression(expo, rets)
+    comp = {"alpha_momentum": "alpha", "alpha_mean_reversion": "alpha", "beta_0": "beta", "beta_1": "beta"}
+    return at.attribution(b.w, expo, rets, f, comp)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import stats
+
 from ..functions import text as tx
 from ..plans.text import bow as bw
 from ..plans.text import ngrams as ng
@@ -394,12 +396,12 @@ def sentiment_change(spark, sf):
 
 
 @register("score_length_corr", SCORE + """
-SELECT sentiment, round(corr(score, doc_len), 8) AS corr_len FROM scores GROUP BY sentiment""")
+SELECT sentiment, round(CASE WHEN isnan(corr(score, doc_len)) THEN NULL ELSE corr(score, doc_len) END, 8) AS corr_len FROM scores GROUP BY sentiment""")
 def score_length_corr(spark, sf):
     """Correlation of the raw score with document length per list."""
     c = Corpus(spark, sf)
     s = bw.sentiment_scores(c.docs, c.tfidf())
-    return s.groupBy("sentiment").agg(r8(nn(F.corr("score", "doc_len")), "corr_len"))
+    return s.groupBy("sentiment").agg(r8(nn(stats.corr("score", "doc_len")), "corr_len"))
 
 
 @register("score_corr_by_ticker", SCORE + """
@@ -409,7 +411,7 @@ def score_corr_by_ticker(spark, sf):
     """Score-length correlation within each ticker."""
     c = Corpus(spark, sf)
     s = bw.sentiment_scores(c.docs, c.tfidf())
-    return s.groupBy("sentiment", "ticker").agg(r8(nn(F.corr("score", "doc_len")), "corr_len"))
+    return s.groupBy("sentiment", "ticker").agg(r8(nn(stats.corr("score", "doc_len")), "corr_len"))
 
 
 @register("sentiment_alpha", SCORE + """,
