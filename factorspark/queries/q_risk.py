@@ -11,6 +11,7 @@ from ..operators import xs
 from ..plans import portfolio as pf
 from ..plans import risk as rk
 from ..registry import register
+from ..session import cut_lineage
 from . import sqlkit as q
 from .common import r8
 from .q_portfolio import BETA_SQL, BOOK_SQL, Book
@@ -32,11 +33,13 @@ def given_betas(p):
 class RiskModel:
     def __init__(self, spark, sf):
         self.b = Book(spark, sf)
-        self.betas = given_betas(self.b.p)
+        # the model is read by several small aggregations: materialise its
+        # inputs (returns, N x K betas) and the T x K factor returns once
+        self.betas = cut_lineage(given_betas(self.b.p))
         cal = self.b.cal
-        self.rets = self.b.rets.join(cal, "session_idx").filter(F.col("r").isNotNull()) \
-            .select("date", "asset", "r")
-        self.f = rk.static_factor_returns(self.rets, self.betas)
+        self.rets = cut_lineage(self.b.rets.join(cal, "session_idx").filter(F.col("r").isNotNull())
+                                .select("date", "asset", "r"))
+        self.f = cut_lineage(rk.static_factor_returns(self.rets, self.betas))
 
     def fvar(self):
         return rk.factor_var(self.f, ANN)

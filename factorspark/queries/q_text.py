@@ -11,7 +11,7 @@ from ..plans.text import bow as bw
 from ..plans.text import ngrams as ng
 from ..plans.text import sections as sc
 from ..registry import register
-from ..session import configure
+from ..session import configure, cut_lineage
 from ..sources import text as st
 from ..sources.tables import read
 from .common import nn, r8
@@ -246,14 +246,21 @@ class Corpus:
     def __init__(self, spark, sf):
         configure(spark)
         self.docs = st.documents(spark, sf)
-        raw = bw.term_counts(self.docs)
+        # per-document term counts feed the lemma table, the lexicon
+        # vocabulary, document frequencies and tf-idf: tokenise once
+        raw = cut_lineage(bw.term_counts(self.docs))
         self.lemmas = bw.lemma_table(raw)
         self.counts = bw.normalised_counts(raw, self.lemmas)
-        self.lex = bw.normalised_lexicon(st.lexicon(spark, sf), self.lemmas)
+        self.lex = bw.normalised_lexicon(st.lexicon(spark, sf, raw.select("term")), self.lemmas)
         self.n = self.docs.agg(F.count(F.lit(1)).alias("n"))
+        self._tf = None
 
     def tfidf(self, lex=None):
-        return bw.tfidf(self.counts, self.lex if lex is None else lex, self.n)
+        if lex is not None:
+            return bw.tfidf(self.counts, lex, self.n)
+        if self._tf is None:   # reused by scores, similarity and models
+            self._tf = cut_lineage(bw.tfidf(self.counts, self.lex, self.n))
+        return self._tf
 
     def pairs(self):
         d = self.docs.withColumn("ord", F.datediff("date", F.lit("1970-01-01").cast("date")).cast("long")

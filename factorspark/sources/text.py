@@ -70,12 +70,14 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.date_format("date", "yyyyMMdd"), F.lit(".txt")).alias("path"))
 
 
-def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lexicon(spark: SparkSession, sf_dir: str, vocab: DataFrame | None = None) -> DataFrame:
     """(word, sentiment): vocabulary words of 3+ letters; sentiment by the
-    first character's code mod 6, words of 10+ letters also by length mod 6."""
-    d = read(spark, sf_dir, "documents", "text")
-    words = d.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD2), 1)).alias("word")) \
-        .filter(F.length("word") >= 3).distinct()
+    first character's code mod 6, words of 10+ letters also by length mod 6.
+    ``vocab`` (column ``term``) saves re-tokenising when the caller has it."""
+    if vocab is None:
+        d = read(spark, sf_dir, "documents", "text")
+        vocab = d.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD2), 1)).alias("term"))
+    words = vocab.select(F.col("term").alias("word")).filter(F.length("word") >= 3).distinct()
     names = F.array(*[F.lit(s) for s in SENTIMENTS])
     a = words.select("word", F.element_at(names, (F.ascii("word") % 6 + 1).cast("int")).alias("sentiment"))
     b = words.filter(F.length("word") >= 10).select(
