@@ -111,6 +111,9 @@ def cto(spark, sf):
 
 
 def _rank_ic(spark, sf):
+    """Flagship: sector-neutral momentum (Returns(5) -> region de-mean ->
+    rank -> z, universe = top-50 ADV, stamped next session) evaluated by its
+    Spearman rank IC with the next-session return, per date."""
     fp = fx.factor_panel(pw(spark, sf), ["momentum"], WEEKLY, fwd_periods=(1,))
     fd = ev.factor_data(ev.to_long(fp, ["momentum"], ["fwd_1"]), (1,), quantiles=None)
     ic = ev.rank_ic(fd, 1)
