@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.factors import FactorConfig
-from ..session import configure
+from ..session import configure, cut_lineage
 from ..sources import panels
 
 # Weekly supplier panel: ~357 sessions; windows scaled from days to weeks.
@@ -16,13 +16,16 @@ WEEKLY = FactorConfig(adv_window=4, top=50, mom_window=5, mom_smooth=3, mr_windo
 
 
 def pw(spark: SparkSession, sf: str) -> DataFrame:
+    """Weekly bars, built once and written to the shared checkpoint folder:
+    the calendar, the time-series and the cross-section passes all read the
+    small bar table instead of re-aggregating ``lineitem``."""
     configure(spark)
-    return panels.weekly_supplier_bars(spark, sf)
+    return cut_lineage(panels.weekly_supplier_bars(spark, sf))
 
 
 def pe(spark: SparkSession, sf: str) -> DataFrame:
     configure(spark)
-    return panels.daily_event_bars(spark, sf)
+    return cut_lineage(panels.daily_event_bars(spark, sf))
 
 
 def rd(col: Column, d: int = 8) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..registry import register
 from ..sources import panels
 from . import sqlkit as q
+from ..sources.tables import read
 from .common import pe, pw, r8
 
 
@@ -109,3 +110,60 @@ def yield_columns(spark, sf):
     return m.select("date", r8(F.col("px") / 1e5 * 365 / 90 / 100, "yield_3mo"),
                     r8(F.col("px") / 1e5 / 100, "yield_1yr"),
                     r8(F.try_divide(F.col("px"), F.lag("px").over(w)) - 1, "index_return"))
+
+
+def _ret_panel(spark, sf):
+    from ..operators import ts
+    return panels.with_session(pw(spark, sf)).withColumn("ret", ts.returns("close", 2))
+
+
+_RET_SQL = q.with_(q.PW, q.CAL, f"r AS (SELECT *, {q.returns('close', 2)} AS ret FROM p)")
+
+
+@register("sector_return_pivot", _RET_SQL + "\nSELECT date, " + ", ".join(
+    f"round(avg(CASE WHEN sector_code = {i} THEN ret END), 8) AS sector_{i}" for i in range(5)) +
+    " FROM r GROUP BY date")
+def sector_return_pivot(spark, sf):
+    """Mean return per sector and date, one column per sector (the
+    pivot values are the five known sectors, so the width is fixed)."""
+    r = _ret_panel(spark, sf)
+    w = r.groupBy("date").pivot("sector_code", list(range(5))).agg(F.avg("ret"))
+    return w.select("date", *[r8(F.col(str(i)), f"sector_{i}") for i in range(5)])
+
+
+@register("sector_value_counts", q.with_(q.PW) + """
+SELECT sector_code, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 8) AS share FROM bars GROUP BY sector_code""")
+def sector_value_counts(spark, sf):
+    """A3: rows per sector and their share (normalised value counts)."""
+    from pyspark.sql import Window
+    c = pw(spark, sf).groupBy("sector_code").agg(F.count(F.lit(1)).alias("n"))
+    return c.select("sector_code", "n", r8(F.col("n") / F.sum("n").over(Window.partitionBy()), "share"))
+
+
+@register("asset_key_sets", q.with_(q.PW) + """,
+a AS (SELECT DISTINCT asset FROM bars WHERE year(date) = 1995),
+b AS (SELECT DISTINCT asset FROM bars WHERE year(date) = 2001)
+SELECT asset, 'both' AS key_set FROM (SELECT asset FROM a INTERSECT SELECT asset FROM b)
+UNION ALL SELECT asset, 'only_first' FROM (SELECT asset FROM a EXCEPT SELECT asset FROM b)""")
+def asset_key_sets(spark, sf):
+    """Assets trading in both 1995 and 2001 (intersection) and
+    those of 1995 missing in 2001 (difference / anti-join report)."""
+    p = pw(spark, sf)
+    a = p.filter(F.year("date") == 1995).select("asset").distinct()
+    b = p.filter(F.year("date") == 2001).select("asset").distinct()
+    return (a.intersect(b).withColumn("key_set", F.lit("both"))
+            .unionByName(a.join(b, "asset", "left_anti").withColumn("key_set", F.lit("only_first"))))
+
+
+@register("tagged_union", q.with_(q.PW) + """,
+u AS (SELECT 'weekly' AS tag, date, asset FROM bars
+      UNION ALL SELECT 'events', CAST(ts AS DATE), user_id FROM events)
+SELECT tag, count(*) AS n, count(DISTINCT (date, asset)) AS n_distinct FROM u GROUP BY tag""")
+def tagged_union(spark, sf):
+    """Two keyed tables stacked with a tag and a duplicate-key
+    check (rows vs distinct keys per tag)."""
+    ev = read(spark, sf, "events", "ts", "user_id").select(
+        F.lit("events").alias("tag"), F.col("ts").cast("date").alias("date"), F.col("user_id").alias("asset"))
+    u = pw(spark, sf).select(F.lit("weekly").alias("tag"), "date", "asset").unionByName(ev)
+    return u.groupBy("tag").agg(F.count(F.lit(1)).alias("n"),
+                                F.count_distinct("date", "asset").alias("n_distinct"))

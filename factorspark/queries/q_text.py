@@ -486,3 +486,13 @@ def phrase_catalogue(spark, sf):
     configure(spark)
     s = ng.sentence_table(st.documents(spark, sf), min_tokens=5)
     return ng.phrase_passes(s, 3, 5, 0.3)
+
+
+@register("label_by_membership", TF_SQL + f"""
+SELECT word, arg_max(sentiment, list_position({SENTS}, sentiment)) AS label FROM lex GROUP BY word""")
+def label_by_membership(spark, sf):
+    """One label per lexicon word by list membership, a later list
+    overriding an earlier one."""
+    c = Corpus(spark, sf)
+    pr = F.array_position(F.array(*[F.lit(s) for s in st.SENTIMENTS]), F.col("sentiment"))
+    return c.lex.groupBy("word").agg(F.max_by("sentiment", pr).alias("label"))

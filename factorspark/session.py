@@ -90,3 +90,14 @@ def rnd(c: Column | str, digits: int = 8) -> Column:
     """Round for oracle comparison (same half-up rule in Spark and DuckDB)."""
     c = F.col(c) if isinstance(c, str) else c
     return F.round(c, digits)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a scan that yields fewer partitions than the cluster has
+    cores (a few large row groups of text); on a big input the scan already
+    has thousands of splits and this is a no-op."""
+    sc = df.sparkSession.sparkContext
+    cores = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

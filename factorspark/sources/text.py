@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import WORD2
+from ..functions.text import tokens
+from ..session import spread
 from .tables import read
 
 # The six sentiment categories of the financial lexicon, in
@@ -33,7 +34,7 @@ _TOC = "<table><tr><td>>Item 1A</td><td>>Item 7</td><td>>Item 7A</td></tr></tabl
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filings keyed like the reference: ticker = source, a filing date
     derived from the document id, the text."""
-    d = read(spark, sf_dir, "documents", "doc_id", "source", "lang", "text")
+    d = spread(read(spark, sf_dir, "documents", "doc_id", "source", "lang", "text"))
     return d.select("doc_id", F.col("source").alias("ticker"), "lang",
                     F.date_add(F.lit("2005-01-03").cast("date"), (F.col("doc_id") % 4000).cast("int"))
                     .alias("date"), "text")
@@ -76,7 +77,7 @@ def lexicon(spark: SparkSession, sf_dir: str, vocab: DataFrame | None = None) ->
     ``vocab`` (column ``term``) saves re-tokenising when the caller has it."""
     if vocab is None:
         d = read(spark, sf_dir, "documents", "text")
-        vocab = d.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD2), 1)).alias("term"))
+        vocab = d.select(F.explode(tokens(F.lower("text"), min2=True)).alias("term"))
     words = vocab.select(F.col("term").alias("word")).filter(F.length("word") >= 3).distinct()
     names = F.array(*[F.lit(s) for s in SENTIMENTS])
     a = words.select("word", F.element_at(names, (F.ascii("word") % 6 + 1).cast("int")).alias("sentiment"))
