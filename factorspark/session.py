@@ -61,13 +61,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the session names none (local tests) a scratch folder is made.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="factorspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
@@ -96,8 +99,10 @@ def spread(df: DataFrame) -> DataFrame:
     """Repartition a scan that yields fewer partitions than the cluster has
     cores (a few large row groups of text); on a big input the scan already
     has thousands of splits and this is a no-op."""
-    sc = df.sparkSession.sparkContext
-    cores = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores)
+    except Exception:  # noqa: BLE001 - no RDD API (Spark Connect): keep the scan
+        pass
     return df
