@@ -6,3 +6,16 @@ matrices stay long ``(row, col, value)``.  Every operator is a
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Python code that runs inside tasks (the per-date K x K solve of the
+    attribution) is pickled by value, so executors need no installed copy
+    of this package; on a cluster shipping it with ``--py-files`` works too."""
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()
