@@ -126,3 +126,27 @@ WHERE isodow(date) - 1 = (CAST(asset AS BIGINT) * 2654435761 + (date - DATE '197
 def weekday_sample(spark, sf):
     """About one row in five, the row's weekday matching a hash of (asset, date)."""
     return ft.weekday_sample(pe(spark, sf)).select("date", "asset")
+
+
+@register("yearly_fwd_return", q.with_(q.PW) + """,
+y AS (SELECT asset, CAST(year(date) AS INTEGER) AS year, max_by(close, date) AS close FROM bars GROUP BY ALL)
+SELECT asset, year, round(lead(close) OVER (PARTITION BY asset ORDER BY year) / NULLIF(close, 0) - 1, 8) AS fwd_1y
+FROM y""")
+def yearly_fwd_return(spark, sf):
+    """Year-end close per asset and the next year's return
+    (``pct_change(1).shift(-1)`` on yearly bars)."""
+    from pyspark.sql import Window
+    y = pw(spark, sf).groupBy("asset", F.year("date").alias("year")).agg(F.max_by("close", "date").alias("close"))
+    w = Window.partitionBy("asset").orderBy("year")     # one row per asset-year
+    return y.select("asset", F.col("year").cast("int").alias("year"),
+                    r8(F.try_divide(F.lead("close").over(w), F.col("close")) - 1, "fwd_1y"))
+
+
+@register("class_labels", TGT_SQL + """
+SELECT date, asset, q5 - 2 AS label_quintile,
+  CASE WHEN raw IS NOT NULL THEN CAST(raw >= 0 AS INTEGER) END AS label_sign FROM b""")
+def class_labels(spark, sf):
+    """Quintile class labels -2..2 and the sign label of the target."""
+    t = ft.target_table(with_session(pw(spark, sf)), 5)
+    return t.select("date", "asset", (F.col("q5") - 2).alias("label_quintile"),
+                    dates.safe_positive("raw").alias("label_sign"))

@@ -167,3 +167,25 @@ def tagged_union(spark, sf):
     u = pw(spark, sf).select(F.lit("weekly").alias("tag"), "date", "asset").unionByName(ev)
     return u.groupBy("tag").agg(F.count(F.lit(1)).alias("n"),
                                 F.count_distinct("date", "asset").alias("n_distinct"))
+
+
+@register("group_extremes", q.with_(q.PW) + """
+SELECT sector_code, count(*) AS n, round(min(close), 4) AS min_close, round(max(close), 4) AS max_close,
+  arg_max(asset, (close, asset)) AS top_asset FROM bars GROUP BY sector_code""")
+def group_extremes(spark, sf):
+    """Size, min and max per sector and the asset with the highest
+    close (``max_by``: partial aggregation, no per-group sort)."""
+    p = pw(spark, sf)
+    return p.groupBy("sector_code").agg(
+        F.count(F.lit(1)).alias("n"), r8(F.min("close"), "min_close", 4), r8(F.max("close"), "max_close", 4),
+        F.max_by("asset", F.struct("close", "asset")).alias("top_asset"))
+
+
+@register("latest_per_asset", q.with_(q.PW) + """
+SELECT asset, max(date) AS date, round(arg_max(close, date), 4) AS close, count(*) AS n_dup FROM bars GROUP BY asset""")
+def latest_per_asset(spark, sf):
+    """Keep the last row per asset in date order (``max_by``, so a
+    huge asset is reduced map-side instead of sorted in one task)."""
+    p = pw(spark, sf)
+    return p.groupBy("asset").agg(F.max("date").alias("date"), r8(F.max_by("close", "date"), "close", 4),
+                                  F.count(F.lit(1)).alias("n_dup"))
