@@ -27,5 +27,5 @@ def incremental_sections(spark, sf):
     runs.append(inc.ingest(spark, landing, out, ckpt))
     runs.append(inc.ingest(spark, landing, out, ckpt))
     res = spark.read.parquet(f"{out}/sections")
-    return res.select("doc_id", F.length("text").alias("n_chars"),
+    return res.select("doc_id", "batch", F.length("text").alias("n_chars"),
                       F.lit(",".join(map(str, runs))).alias("batches_per_run"))

@@ -18,12 +18,15 @@ FILING_SCHEMA = "doc_id long, ticker string, date date, raw string"
 KEY = ("ticker", "date", "doc_id")
 
 
-def _process(batch: DataFrame, out_dir: str) -> None:
+def _process(batch: DataFrame, out_dir: str, epoch: int) -> None:
+    """One micro-batch; output goes to a folder named after the batch id and
+    is overwritten, so a batch replayed after a failure replaces its own
+    output instead of appending a second copy (idempotent sink)."""
     main = sc.main_documents(sc.split_documents(batch))
     pos = sc.section_positions(main)
     clean = sc.clean_sections(sc.section_text(main, pos))
-    clean.write.mode("append").parquet(f"{out_dir}/sections")
-    pos.write.mode("append").parquet(f"{out_dir}/audit")
+    clean.write.mode("overwrite").parquet(f"{out_dir}/sections/batch={epoch}")
+    pos.write.mode("overwrite").parquet(f"{out_dir}/audit/batch={epoch}")
 
 
 def ingest(spark: SparkSession, landing: str, out_dir: str, checkpoint: str) -> int:
@@ -35,7 +38,7 @@ def ingest(spark: SparkSession, landing: str, out_dir: str, checkpoint: str) ->
     def each(df: DataFrame, epoch: int) -> None:
         if not df.isEmpty():
             batches.append(epoch)
-            _process(df, out_dir)
+            _process(df, out_dir, epoch)
 
     q = (src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
