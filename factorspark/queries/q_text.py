@@ -28,7 +28,7 @@ TOC = "<table><tr><td>>Item 1A</td><td>>Item 7</td><td>>Item 7A</td></tr></table
 PAT = tx.SECTION_HEADER
 
 DOCS = """docs AS (SELECT doc_id, source AS ticker, lang,
-  CAST(DATE '2005-01-03' + CAST(doc_id % 4000 AS INTEGER) AS DATE) AS date, text FROM documents)"""
+  CAST(DATE '1995-01-02' + CAST(doc_id % 2400 AS INTEGER) AS DATE) AS date, text FROM documents)"""
 
 RAW = DOCS + f""",
 raw AS (SELECT doc_id, ticker, date,
@@ -496,3 +496,76 @@ def label_by_membership(spark, sf):
     c = Corpus(spark, sf)
     pr = F.array_position(F.array(*[F.lit(s) for s in st.SENTIMENTS]), F.col("sentiment"))
     return c.lex.groupBy("word").agg(F.max_by("sentiment", pr).alias("label"))
+
+
+@register("filing_returns", "WITH " + DOCS + ",\n" + __import__("factorspark.queries.sqlkit", fromlist=["PW"]).PW.strip()
+          + ",\n" + __import__("factorspark.queries.sqlkit", fromlist=["CAL"]).CAL.strip() + f""",
+ta AS (SELECT DISTINCT ticker, CAST(regexp_extract(ticker, '(\\d+)$', 1) AS BIGINT) + 1 AS asset FROM docs),
+yr AS (SELECT asset, year(date) AS year, max_by(close, date) AS close FROM bars GROUP BY ALL),
+yf AS (SELECT asset, year, lead(close) OVER (PARTITION BY asset ORDER BY year) / NULLIF(close, 0) - 1 AS fwd_1y FROM yr),
+nx AS (SELECT f.date, min(c.session_idx) AS next_idx FROM (SELECT DISTINCT date FROM docs) f
+       JOIN cal c ON c.date >= f.date GROUP BY f.date),
+f5 AS (SELECT asset, session_idx, {__import__("factorspark.queries.sqlkit", fromlist=["fwd"]).fwd('close', 5)} AS fwd_5 FROM p)
+SELECT d.doc_id, CAST(len(regexp_extract_all(d.text, '{W1}', 1)) AS BIGINT) AS doc_len,
+  round(yf.fwd_1y, 8) AS fwd_1y, round(f5.fwd_5, 8) AS fwd_5
+FROM docs d JOIN ta USING (ticker)
+LEFT JOIN yf ON yf.asset = ta.asset AND yf.year = year(d.date)
+LEFT JOIN nx ON nx.date = d.date
+LEFT JOIN f5 ON f5.asset = ta.asset AND f5.session_idx = nx.next_idx""")
+def filing_returns(spark, sf):
+    """Filing features joined to the ticker's returns: the next
+    year's return (filing re-stamped to 1 January) and the 5-session return
+    from the first session on or after the filing date."""
+    from pyspark.sql import Window
+    from ..operators import ts
+    from ..sources import panels
+    from ..session import small_dim
+    from .common import pw
+    configure(spark)
+    docs = st.documents(spark, sf)
+    bars = pw(spark, sf)
+    cal = panels.calendar(bars)
+    p = panels.with_session(bars, cal)
+    ta = st.ticker_assets(docs)
+    yr = bars.groupBy("asset", F.year("date").alias("year")).agg(F.max_by("close", "date").alias("close"))
+    yf = yr.select("asset", "year", (F.try_divide(F.lead("close").over(
+        Window.partitionBy("asset").orderBy("year")), F.col("close")) - 1).alias("fwd_1y"))
+    # first session on/after each filing day: a window on the small
+    # (filing days + sessions) table, then a bounded broadcast
+    days = docs.select("date").distinct().select("date", F.lit(None).cast("int").alias("session_idx"))
+    u = days.unionByName(cal.select("date", "session_idx"))
+    w = Window.orderBy("date", F.col("session_idx").asc_nulls_first()).rowsBetween(0, Window.unboundedFollowing)
+    nx = (u.withColumn("next_idx", F.first("session_idx", ignorenulls=True).over(w))
+          .filter(F.col("session_idx").isNull()).select("date", "next_idx"))
+    f5 = p.select("asset", F.col("session_idx").alias("next_idx"), ts.fwd_return("close", 5).alias("fwd_5"))
+    d = (docs.select("doc_id", "ticker", "date", tx.doc_len("text").cast("bigint").alias("doc_len"))
+         .join(ta, "ticker").withColumn("year", F.year("date"))
+         .join(yf, ["asset", "year"], "left")
+         .join(small_dim(nx, panels.CALENDAR_BOUND), "date", "left")
+         .join(f5, ["asset", "next_idx"], "left"))
+    return d.select("doc_id", "doc_len", r8("fwd_1y"), r8("fwd_5"))
+
+
+@register("alpha_merge")
+def alpha_merge(spark, sf):
+    """Rule-based (negative list) and ML sentiment alphas of each filing
+    joined, then one row per (year, ticker) - the latest filing - kept with
+    ``max_by`` (no per-group sort)."""
+    from pyspark.sql import functions as G
+    from ..plans import models as md
+    c = Corpus(spark, sf)
+    s = bw.sentiment_scores(c.docs, c.tfidf()).withColumn("year", F.trunc("date", "year"))
+    rule = bw.sentiment_alpha(s.filter(F.col("score_scaled").isNotNull())).filter("sentiment = 'negative'") \
+        .select("doc_id", "ticker", "year", "date", G.col("alpha").alias("rule_alpha"))
+    labels = read(spark, sf, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
+    _, lp = md.naive_bayes_counts(c.counts, labels)
+    lpw = lp.groupBy("term").pivot("label", [0, 1]).agg(F.first("log_prob"))
+    llr = (c.counts.join(lpw, "term").groupBy("doc_id")
+           .agg(F.sum(F.col("tf") * (F.col("1") - F.col("0"))).alias("llr")))
+    ml = bw.sentiment_alpha(c.docs.join(llr, "doc_id").withColumn("year", F.trunc("date", "year"))
+                            .withColumn("sentiment", F.lit("ml")), value="llr") \
+        .select("doc_id", G.col("alpha").alias("ml_alpha"))
+    j = rule.join(ml, "doc_id", "left")
+    return j.groupBy("year", "ticker").agg(
+        F.max_by(F.struct("date", "doc_id", "rule_alpha", "ml_alpha"), F.struct("date", "doc_id")).alias("x")) \
+        .select("year", "ticker", "x.doc_id", "x.rule_alpha", "x.ml_alpha")

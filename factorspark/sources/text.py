@@ -33,10 +33,11 @@ _TOC = "<table><tr><td>>Item 1A</td><td>>Item 7</td><td>>Item 7A</td></tr></tabl
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filings keyed like the reference: ticker = source, a filing date
-    derived from the document id, the text."""
+    derived from the document id (inside the bar history, so filings can be
+    joined to prices), the text."""
     d = spread(read(spark, sf_dir, "documents", "doc_id", "source", "lang", "text"))
     return d.select("doc_id", F.col("source").alias("ticker"), "lang",
-                    F.date_add(F.lit("2005-01-03").cast("date"), (F.col("doc_id") % 4000).cast("int"))
+                    F.date_add(F.lit("1995-01-02").cast("date"), (F.col("doc_id") % 2400).cast("int"))
                     .alias("date"), "text")
 
 
@@ -84,3 +85,10 @@ def lexicon(spark: SparkSession, sf_dir: str, vocab: DataFrame | None = None) ->
     b = words.filter(F.length("word") >= 10).select(
         "word", F.element_at(names, (F.length("word") % 6 + 1).cast("int")).alias("sentiment"))
     return a.unionByName(b).distinct()
+
+
+def ticker_assets(docs: DataFrame) -> DataFrame:
+    """Ticker -> asset id of the price panel (``srcN`` -> supplier N + 1):
+    the link the reference gets from its ticker/CIK tables."""
+    return docs.select("ticker").distinct().select(
+        "ticker", (F.regexp_extract("ticker", r"(\d+)$", 1).cast("long") + 1).alias("asset"))
