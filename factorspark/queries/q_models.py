@@ -3,7 +3,6 @@ iterative Spark ML fits are rows-only."""
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import functions as F
 
@@ -144,10 +143,10 @@ def voting_ensemble(spark, sf):
 @register("logreg_grid")
 def logreg_grid(spark, sf):
     """L1 and L2 logistic regression (no intercept) of the
-    quality label on tf-idf rows; test AUC and the share of zero coefficients."""
+    quality label on sparse tf-idf vectors (CountVectorizer + IDF); test AUC
+    and the share of zero coefficients."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.functions import array_to_vector
     from ..session import cut_lineage
     c = Corpus(spark, sf)
     lab = read(spark, sf, "labels", "doc_id", "quality")

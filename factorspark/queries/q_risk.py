@@ -3,7 +3,6 @@ close/open ratio per asset) so DuckDB can check them, plus PCA jobs."""
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import functions as F
 
@@ -12,7 +11,6 @@ from ..plans import portfolio as pf
 from ..plans import risk as rk
 from ..registry import register
 from ..session import cut_lineage
-from . import sqlkit as q
 from .common import r8
 from .q_portfolio import BETA_SQL, BOOK_SQL, Book
 

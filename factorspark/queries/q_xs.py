@@ -8,7 +8,7 @@ from ..operators import ts, xs
 from ..registry import register
 from ..sources.panels import with_session
 from . import sqlkit as q
-from .common import pw, r8, rd
+from .common import pw, rd
 
 RET = q.with_(q.PW, q.CAL, f"r AS (SELECT date, asset, sector_code, session_idx, "
               f"{q.returns('close', 2)} AS ret FROM p)")
