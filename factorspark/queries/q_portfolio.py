@@ -11,6 +11,7 @@ from ..plans import portfolio as pf
 from ..plans import risk as rk
 from ..plans.evaluate import to_long
 from ..registry import register
+from ..session import cut_lineage
 from ..sources.panels import calendar, with_session
 from . import sqlkit as q
 from .common import WEEKLY, pw, r8
@@ -27,14 +28,17 @@ class Book:
         bars = pw(spark, sf)
         self.cal = calendar(bars)
         self.p = with_session(bars, self.cal)
-        fp = fx.factor_panel(bars, PORTS, WEEKLY)
+        fp = cut_lineage(fx.factor_panel(bars, PORTS, WEEKLY))
         self.sectors = fp.select("date", "asset", "sector_code")
         al = to_long(fp, PORTS, []).select(F.col("factor").alias("port_name"), "date", "session_idx",
                                            "asset", F.col("value").alias("alpha"))
-        self.alpha = al
-        self.w = pf.target_weights(al).select("port_name", "date", "session_idx", "asset", "w")
-        self.rets = pf.session_returns(self.p)
-        self.adv = pf.adv_table(self.p, ADV_W)
+        # holdings, returns and ADV are each read by several joins of the
+        # back-test, cost, exposure and attribution plans: write them once
+        self.alpha = cut_lineage(al)
+        self.w = cut_lineage(pf.target_weights(self.alpha)
+                             .select("port_name", "date", "session_idx", "asset", "w"))
+        self.rets = cut_lineage(pf.session_returns(self.p))
+        self.adv = cut_lineage(pf.adv_table(self.p, ADV_W))
 
     def pnl(self):
         return pf.backtest_pnl(self.w, self.rets, self.adv, self.cal, delay=1)
