@@ -32,13 +32,14 @@ class Book:
         self.sectors = fp.select("date", "asset", "sector_code")
         al = to_long(fp, PORTS, []).select(F.col("factor").alias("port_name"), "date", "session_idx",
                                            "asset", F.col("value").alias("alpha"))
-        # holdings, returns and ADV are each read by several joins of the
-        # back-test, cost, exposure and attribution plans: write them once
-        self.alpha = cut_lineage(al)
+        # the factor panel and the holdings are read by several joins of the
+        # back-test, cost, exposure and attribution plans: write them once;
+        # returns and ADV are single window passes over the stored bars
+        self.alpha = al
         self.w = cut_lineage(pf.target_weights(self.alpha)
                              .select("port_name", "date", "session_idx", "asset", "w"))
-        self.rets = cut_lineage(pf.session_returns(self.p))
-        self.adv = cut_lineage(pf.adv_table(self.p, ADV_W))
+        self.rets = pf.session_returns(self.p)
+        self.adv = pf.adv_table(self.p, ADV_W)
 
     def pnl(self):
         return pf.backtest_pnl(self.w, self.rets, self.adv, self.cal, delay=1)
