@@ -32,7 +32,7 @@ def rd(col: Column, d: int = 8) -> Column:
     """Round for the oracle compare.  A nudge of 1e-(d+3) moves values that
     sit on a half-way point (common for ratios of decimal prices) off it, so
     summation-order noise cannot round one engine up and the other down."""
-    return F.round(col.cast("double") + F.lit(10.0 ** -(d + 3)), d)
+    return F.round(col.cast("double") + F.lit(10.0 ** -(d + 3)), d) + F.lit(0.0)
 
 
 def r8(c: str | Column, name: str | None = None, d: int = 8) -> Column:

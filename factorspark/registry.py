@@ -40,7 +40,9 @@ def nudge_rounds(sql: str) -> str:
         expr = sql[j + 6:comma] if comma > 0 else ""
         if digits in ("4", "6", "8"):
             expr = nudge_rounds(expr)
-            out.append(sql[i:j] + f"round(CAST(({expr}) AS DOUBLE) + 1e-{int(digits) + 3}, {digits})")
+            # "+ 0.0" turns a rounded -0.0 into 0.0, as Spark's decimal rounding does
+            out.append(sql[i:j] + f"(round(CAST(({expr}) AS DOUBLE) + 1e-{int(digits) + 3}, {digits})"
+                       " + CAST(0 AS DOUBLE))")
         else:
             out.append(sql[i:j + 6] + nudge_rounds(sql[j + 6:inner_end]) + ")")
         i = k
