@@ -15,7 +15,7 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        return None if math.isnan(v) else float(f"{v:.9g}")
+        return None if math.isnan(v) else f"{v:.9g}"      # keeps the sign of zero
     if isinstance(v, dt.date):
         return v.isoformat()[:10]
     return v
@@ -49,7 +49,8 @@ CHECKED = ["rank_ic", "momentum_smoothed", "overnight_smoothed", "market_volatil
            "ts_interpolate", "factor_returns", "quantile_returns", "rank_autocorr", "target_quantiles",
            "date_features", "time_folds", "spearman_rank", "describe_by_group", "roc_auc", "backtest_pnl",
            "idio_var", "portfolio_risk", "var_empirical", "section_positions", "html_clean", "tfidf",
-           "jaccard_neighbours", "sentiment_alpha", "phrases_applied", "ridge_gram", "naive_bayes_counts"]
+           "jaccard_neighbours", "sentiment_alpha", "phrases_applied", "ridge_gram", "naive_bayes_counts",
+           "filing_returns", "constraint_audit"]
 
 
 @pytest.mark.parametrize("name", CHECKED)
