@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,19 +59,16 @@ def nan_to_null(c: Column | str) -> Column:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared lineage-cut folder: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a scratch folder is made.
+    A local session that names none gets a scratch folder; a cluster must
+    name one, as executors cannot see each other's own folders.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
-        sc = None
-    if not d and sc is not None:
-        d = sc.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
     if not d:
+        if not re.match(r"local(\[.*)?$", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="factorspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None and not sc.getCheckpointDir():
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 

@@ -14,8 +14,8 @@ SF1 = "/root/testdata/sf0.01"
 def spark():
     from factorspark.session import get_session
     s = get_session(master="local[4]", shuffle_partitions=4)
-    if not s.conf.get("spark.checkpoint.dir", None):     # tests only: a scratch folder
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="fs-test-ckpt-"))
+    if not s.sparkContext.getCheckpointDir():             # tests only: a scratch folder
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fs-test-ckpt-"))
     yield s
     s.stop()
 
