@@ -11,7 +11,7 @@ from ..session import cut_lineage
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 #: Words that a task gathers before it sends what it has found (bounds memory).
-FLUSH_WORDS = 3_000_000
+FLUSH_WORDS = 2_000_000
 
 QUERIES: dict = {}
 ORACLES: dict = {}
