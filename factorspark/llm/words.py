@@ -62,6 +62,8 @@ def _separators(kept) -> np.ndarray:
 
 #: ``[^\x20\x09-\x0D]+``
 SPACED = _separators([(0x00, 0x08), (0x0E, 0x1F), (0x21, 0xFF)])
+#: Lines that are not empty: whatever stands between line breaks.
+LINES = _separators([(0x00, 0x09), (0x0B, 0x0C), (0x0E, 0xFF)])
 #: ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z
 ALNUM = _separators([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)])
 
@@ -115,7 +117,7 @@ class Words:
                     for k in range(i, j, BLOCK):
                         cut = np.flatnonzero(sep[self.buf[k:min(k + BLOCK, j)]])
                         if len(cut):
-                            j = k + int(cut[0]) + 1
+                            j = k + int(cut[0])
                             break
             yield i, j
             i = j
