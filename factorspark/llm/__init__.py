@@ -1,6 +1,6 @@
 """Operators for preparing training text; nothing else in the library imports this folder."""
 
 from .common import ORACLES, QUERIES
-from . import chat_format, decontaminate, exact_dedup, line_dedup, ngram_join, packing, substring_dedup, token_counts  # noqa: F401
+from . import chat_format, decontaminate, exact_dedup, line_dedup, ngram_join, packing, substring_dedup, token_counts, toxicity  # noqa: F401
 
 __all__ = ["QUERIES", "ORACLES"]

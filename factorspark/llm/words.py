@@ -149,7 +149,7 @@ def _block(b, offs, i, j, sep, values, prefixes):
     inv = _INV[st]
     h = (c[en - 1] - base) * inv
     h += (en - st).astype(U64) * _MUL
-    pre = [mix((c[np.minimum(st + k, en) - 1] - base) * inv + U64(k) * _MUL) for k in prefixes]
+    pre = [mix((c[np.minimum(st + k, en) - 1] - base) * inv ^ U64(k)) for k in prefixes]
     return st + i, en + i, mix(h), pre
 
 
