@@ -24,8 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
     labels = None
     while True:
         both = edges.union(edges.select("b", "a"))
-        hook = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select(
-            "node", F.least("node", "b").alias("to"))
+        hook = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select(
+            "node", F.least("node", "b").alias("to")))
         if labels is None:
             labels = hook.select("node", F.col("to").alias("label"))
         else:
