@@ -1,12 +1,13 @@
 """Token ids of whole texts by a byte-level BPE file, one unit at a time.
 
 A unit starts at an ASCII blank that follows a character which is surely not
-white space.  The pre-tokenizer of byte-level BPE always cuts there (none of
-its patterns goes from a non-blank to a blank, and none looks to the left), so
-a text's ids are those of its units in order.  Units repeat much more than
+white space, and at an ASCII mark after a letter.  The pre-tokenizer of
+byte-level BPE always cuts there (none of its patterns goes from a non-blank to
+a blank or from a letter to a mark, and none looks to the left), so a text's
+ids are those of its units in order.  Units repeat much more than
 texts do: a worker keeps the ids of the units it has met in a table of fixed
-size, in which a newer unit takes an older one's slot, and hands only the
-others to the tokenizer.
+size with two slots for each, of which a newer unit takes a free one or else
+the second, and hands only the others to the tokenizer.
 """
 
 from __future__ import annotations
@@ -26,7 +27,17 @@ _LEAD2[0xC3:0xE0] = True
 _LEAD3 = np.zeros(256, bool)                     # and of three-byte ones
 _LEAD3[0xE4:0xEE] = True
 
-_SLOTS = 1 << 20
+#: ASCII marks that never share a token with a letter before them (an
+#: apostrophe may start a contraction, which is a pattern of its own).
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in "!\"#$%&()*+,-./:;<=>?@[\\]^_`{}~"]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+_LATIN = np.zeros(256, bool)                     # second bytes of Latin letters after 0xC3
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+
+_SLOTS = 1 << 21
 _KEPT_IDS = 1 << 23
 
 
@@ -47,6 +58,9 @@ def unit_starts(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
         before[1:] |= high[1:] & _LEAD2[buf[:-2]]
         before[2:] |= high[2:] & high[1:-1] & _LEAD3[buf[:-3]]
         start[1:-1] = _BLANK[buf[1:]] & before
+        letter = _LETTER[buf[:-1]]
+        letter[1:] |= _LATIN[buf[1:-1]] & (buf[:-2] == 0xC3)
+        start[1:-1] |= _MARK[buf[1:]] & letter
     start[offs] = True
     return np.flatnonzero(start[:-1])
 
@@ -85,11 +99,15 @@ class Encoder:
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes = np.zeros(max(names.values()) + 1, np.int64)
         self.bytes[list(names.values())] = [len(x) for x in names]
+        for token in self.tokenizer.get_added_tokens_decoder().values():
+            raw = np.frombuffer(token.content.encode(), np.uint8)
+            if len(unit_starts(raw, np.array([0, len(raw)]))) > 1:
+                raise ValueError(f"added token {token.content!r} is not within a unit")
         self._clear()
 
     def _clear(self):
         self.key = np.zeros(_SLOTS, U64)
-        self.row = np.full(_SLOTS, -1, np.int64)
+        self.row = np.full(_SLOTS, -1, np.int32)
         self.first = np.zeros(1, np.int64)       # of each row's ids
         self.ids = np.zeros(0, np.int32)
 
@@ -97,11 +115,11 @@ class Encoder:
         """Encode the units ``new``: those that stand between plain characters
         as one text, cut again at their known byte lengths."""
         a, z = start[new], end[new]
-        mid = _BLANK[buf[a]] & _PLAIN[buf[z - 1]] & (z - a < 256)
+        mid = _BLANK[buf[a]] & _PLAIN[buf[z - 1]] & (z - a < 256)   # wherever it stands it starts a unit
         order = np.r_[np.flatnonzero(mid), np.flatnonzero(~mid)]
         sizes, flat = [], []
-        for i in range(0, int(mid.sum()), 8192):
-            k = order[i:min(i + 8192, int(mid.sum()))]
+        for i in range(0, int(mid.sum()), 1024):
+            k = order[i:min(i + 1024, int(mid.sum()))]
             text = b"".join([buf[x:y].tobytes() for x, y in zip(a[k].tolist(), z[k].tolist())])
             ids = np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.int32)
             cut = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(z[k] - a[k])) + 1
@@ -128,14 +146,18 @@ class Encoder:
         start = unit_starts(buf, offs)
         end = np.r_[start[1:], len(buf)]
         h = unit_hashes(buf, start) if len(start) else np.zeros(0, U64)
-        slot = (h >> U64(44)).astype(np.int64)
-        row = self.row[slot]
-        miss = np.flatnonzero((self.key[slot] != h) | (row < 0))
+        slot = (h >> U64(43)).astype(np.int32)
+        row = np.where(self.key[slot] == h, self.row[slot], -1)
+        miss = np.flatnonzero(row < 0)
+        second = (h[miss] & U64(_SLOTS - 1)).astype(np.int32)
+        row[miss] = np.where(self.key[second] == h[miss], self.row[second], -1)
+        miss = miss[row[miss] < 0]
         if len(miss):
             _, lead, inverse = np.unique(h[miss], return_index=True, return_inverse=True)
             new = miss[lead]
             rows = self._learn(buf, start, end, new)
-            self.key[slot[new]], self.row[slot[new]] = h[new], rows
+            put = np.where(self.row[slot[new]] < 0, slot[new], (h[new] & U64(_SLOTS - 1)).astype(np.int32))
+            self.key[put], self.row[put] = h[new], rows
             row[miss] = rows[inverse]
         a, size = self.first[row], np.diff(self.first)[row] if len(row) else np.zeros(0, np.int64)
         total = np.cumsum(size)
