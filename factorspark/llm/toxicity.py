@@ -10,9 +10,10 @@ fewer than ``MIN_TEXTS`` training texts stay zero.
 Training uses a bounded sample of the labelled rows: of each class the
 ``train_rows`` with the smallest id hashes, texts up to ``train_chars``
 characters.  Other labelled rows (by id hash) are kept apart to calibrate a
-threshold for each language, the one with the best F1 there; languages with
-fewer than ``min_positive`` toxic rows have 0.5.  The language chooses the
-threshold and is no input of the score.
+threshold for each language: of those with at least ``precision`` the one with
+the best F1, or none is rejected.  Languages with fewer than ``min_positive``
+toxic rows have that of all rows together.  The language chooses the threshold
+and is no input of the score.
 
 Scoring streams over the documents, whole texts, without a shuffle; the model
 has a fixed size (2 MB).
@@ -174,26 +175,35 @@ class Network:
         return _sigmoid(self.logit(*features(column)))
 
 
-def best_threshold(scores: np.ndarray, y: np.ndarray) -> float:
-    """The threshold with the best F1, half-way between two scores."""
+def best_threshold(scores: np.ndarray, y: np.ndarray, precision: float) -> float:
+    """Of the thresholds that reach the precision the one with the best F1,
+    half-way between two scores; 1, which no score reaches, if there is none."""
     o = np.argsort(-scores, kind="stable")
-    s, hits = scores[o], np.cumsum(y[o])
-    f1 = 2 * hits / (np.arange(1, len(s) + 1) + y.sum())
+    s, hits, n = scores[o], np.cumsum(y[o]), np.arange(1, len(scores) + 1)
     ends = np.r_[s[1:] != s[:-1], True]          # equal scores are told apart by none
-    k = int(np.argmax(np.where(ends, f1, -1)))
+    fine = ends & (hits >= precision * n) & (hits > 0)
+    if not fine.any():
+        return 1.0
+    k = int(np.argmax(np.where(fine, 2 * hits / (n + y.sum()), -1)))
     return float((s[k] + (s[k + 1] if k + 1 < len(s) else 0)) / 2)
 
 
 class Classifier:
-    """The trained network and the thresholds by language."""
+    """The trained network, the thresholds by language, and that of others."""
 
-    def __init__(self, network: Network, thresholds: dict[str, float]):
-        self.network, self.thresholds = network, thresholds
+    def __init__(self, network: Network, thresholds: dict[str, float], other: float):
+        self.network, self.thresholds, self.other = network, thresholds, other
+
+    def threshold(self, lang):
+        out = F.lit(self.other)
+        for k, t in self.thresholds.items():
+            out = F.when(lang.eqNullSafe(F.lit(k)), F.lit(t)).otherwise(out)
+        return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         label_col: str = "toxic", train_rows: int = TRAIN_ROWS, calibrate_rows: int = CALIBRATE_ROWS,
-        train_chars: int = TRAIN_CHARS, min_positive: int = 20) -> Classifier:
+        train_chars: int = TRAIN_CHARS, min_positive: int = 20, precision: float = 0.9) -> Classifier:
     """Train on the labelled rows of ``labels`` (id, 0/1); the caller leaves
     out what is not to be learnt from."""
     prepare(docs.sparkSession)
@@ -214,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     apart = rows.column("apart").to_numpy(zero_copy_only=False) if len(rows) else np.zeros(0, bool)
     fitted = rows.filter(pa.array(~apart)), y[~apart]
     if not len(y) or not 0 < fitted[1].sum() < len(fitted[1]):
-        return Classifier(Network(float(y.mean()) if len(y) else 0.0), {})
+        return Classifier(Network(float(y.mean()) if len(y) else 0.0), {}, 0.5)
     network = Network().train(*features(fitted[0].column("text")), fitted[1])
     held = rows.filter(pa.array(apart))
     scores = network.score(held.column("text"))
@@ -223,8 +233,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for k in sorted({x for x in langs if x is not None}):
         at = langs == k
         if y[apart][at].sum() >= min_positive:
-            thresholds[k] = best_threshold(scores[at], y[apart][at])
-    return Classifier(network, thresholds)
+            thresholds[k] = best_threshold(scores[at], y[apart][at], precision)
+    return Classifier(network, thresholds, best_threshold(scores, y[apart], precision) if y[apart].any() else 0.5)
 
 
 def _scored(docs: DataFrame, text_col: str, network: Network) -> DataFrame:
@@ -239,20 +249,13 @@ def _scored(docs: DataFrame, text_col: str, network: Network) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())]))
 
 
-def _threshold(lang, thresholds: dict[str, float]):
-    out = F.lit(0.5)
-    for k, t in thresholds.items():
-        out = F.when(lang.eqNullSafe(F.lit(k)), F.lit(t)).otherwise(out)
-    return out
-
-
 def toxicity(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang") -> DataFrame:
     """doc_id, score (0 to 1), threshold (the language's), toxic (score at or
     above it), one row per document."""
     lang = docs[lang_col] if lang_col in docs.columns else F.lit(None)
     d = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"),
-                    _threshold(lang.cast("string"), model.thresholds).alias("threshold"))
+                    model.threshold(lang.cast("string")).alias("threshold"))
     return _scored(d, "text", model.network).select(
         "doc_id", F.col(SCORE).alias("score"), "threshold", (F.col(SCORE) >= F.col("threshold")).alias("toxic"))
 
@@ -262,7 +265,7 @@ def reject(docs: DataFrame, model: Classifier, text_col: str = "text", lang_col:
     language's threshold."""
     lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
     return _scored(docs, text_col, model.network).where(
-        F.col(SCORE) < _threshold(lang, model.thresholds)).drop(SCORE)
+        F.col(SCORE) < model.threshold(lang)).drop(SCORE)
 
 
 def held_out(doc_id):
