@@ -354,7 +354,7 @@ def _tiles(percent: int):
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
-               percent: int = PERCENT, flush: int = FLUSH_WORDS) -> DataFrame:
+               percent: int = PERCENT, flush: int = FLUSH_WORDS // 2) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links (to documents with other
     shingle sets, each set counted once), one row per input row."""
     spark = prepare(docs.sparkSession)

@@ -212,7 +212,7 @@ def _answer(window: int):
 
 
 def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-            seed: int = SEED, flush: int = FLUSH_WORDS) -> DataFrame:
+            seed: int = SEED, flush: int = FLUSH_WORDS // 2) -> DataFrame:
     """(doc_id, spans): packed ``SPAN`` records of the factors of documents
     that have any; a document can have several rows."""
     spark = prepare(docs.sparkSession)
