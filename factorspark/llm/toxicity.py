@@ -67,6 +67,13 @@ def features(column) -> tuple[np.ndarray, np.ndarray]:
     return ids, first
 
 
+def gathered(column, size: int = 500) -> tuple[np.ndarray, np.ndarray]:
+    """``features`` of many texts, some at a time."""
+    found = [features(column.slice(i, size)) for i in range(0, len(column), size)]
+    first = np.cumsum(np.concatenate([[0], *(np.diff(f) for _, f in found)]))
+    return np.concatenate([i for i, _ in found]), first
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -154,10 +161,11 @@ class Network:
 
     def train(self, ids, first, y, epochs: int = EPOCHS):
         like = lambda p: np.full_like(p, 1e-3)
-        owner = np.repeat(np.arange(len(y)), np.diff(first))
-        pairs = np.unique((owner[:, None] * (BUCKETS + 1) + ids).reshape(-1)) % (BUCKETS + 1)
-        self.embed[np.bincount(pairs, minlength=BUCKETS + 1) < MIN_TEXTS] = 0
-        ids = np.where(self.embed.any(1)[ids], ids, 0)
+        texts = np.zeros(len(self.embed), np.int64)
+        for a, z in zip(first, first[1:]):
+            texts[np.unique(ids[a:z])] += 1
+        self.embed[texts < MIN_TEXTS] = 0
+        ids[texts[ids] < MIN_TEXTS] = 0
         state = {q: like(w) for q, w in enumerate(self.filters)}
         state |= {"out": like(self.out), "shift": like(self.shift), "bias": like(self.bias),
                   "embed": np.full((len(self.embed), 1), 1e-3, np.float32)}
@@ -225,9 +233,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     fitted = rows.filter(pa.array(~apart)), y[~apart]
     if not len(y) or not 0 < fitted[1].sum() < len(fitted[1]):
         return Classifier(Network(float(y.mean()) if len(y) else 0.0), {}, 0.5)
-    network = Network().train(*features(fitted[0].column("text")), fitted[1])
+    network = Network().train(*gathered(fitted[0].column("text")), fitted[1])
     held = rows.filter(pa.array(apart))
-    scores = network.score(held.column("text"))
+    scores = np.concatenate([network.score(held.column("text").slice(i, 500)) for i in range(0, max(len(held), 1), 500)])
     langs = np.array(held.column("lang").to_pylist(), object)
     thresholds = {}
     for k in sorted({x for x in langs if x is not None}):
