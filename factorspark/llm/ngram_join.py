@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FLUSH_WORDS, cut_lineage, parts, prepare, query, table, texts
+from .common import FLUSH_WORDS, cut_lineage, frugal, parts, prepare, query, table, texts
 from .graph import components
 from .words import SPACED, U64, Words, kgrams, mix, planes, unplanes
 
@@ -359,14 +359,16 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shingle sets, each set counted once), one row per input row."""
     spark = prepare(docs.sparkSession)
     n = parts(spark)
-    sent = texts(docs, id_col, text_col).mapInArrow(_send(n, size, flush), _SENT).repartitionById(n, F.col("dest"))
-    shared = sent.mapInArrow(_columns(n), _SENT).repartitionById(n, F.col("dest"))
-    rows = cut_lineage(shared.mapInArrow(_classes(percent), _ROWS))
+    sent = texts(docs, id_col, text_col).mapInArrow(frugal(_send(n, size, flush)), _SENT).repartitionById(n, F.col("dest"))
+    shared = sent.mapInArrow(frugal(_columns(n)), _SENT).repartitionById(n, F.col("dest"))
+    rows = cut_lineage(shared.mapInArrow(frugal(_classes(percent)), _ROWS))
     members = rows.where("cols IS NULL").select("doc_id", "node", "two", "n")
     classes = rows.where("cols IS NOT NULL").select("node", "n", "prefix", "cols")
 
     spread = classes.select("node", F.explode("prefix").alias("col"))
-    heads = spread.groupBy("col").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    # Written before it is joined, so that Spark can split the rows of a hot column.
+    heads = cut_lineage(spread.groupBy("col").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("c"))
+                        .where("c > 1").select("col", "b"))
     blocks = components(spread.join(heads, "col").select(F.col("node").alias("a"), "b"))
 
     placed = classes.select("node", "n", "cols").join(blocks, "node")
@@ -379,7 +381,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select("label", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
                      "side", "node", "n", "cols"))
     links = cut_lineage(tiles.repartition(n, "label", "i", "j").sortWithinPartitions("label", "i", "j", "node")
-                        .mapInArrow(_tiles(percent), "a long, b long, links long"))
+                        .mapInArrow(frugal(_tiles(percent)), "a long, b long, links long"))
     joined = components(links.where("b IS NOT NULL").select("a", "b"))
     linked = links.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
 
