@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 #: Rows and bytes an Arrow batch holds at most; a longer text is a batch of its own.
-BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 
 #: Words that a task gathers before it sends what it has found (bounds memory).
 FLUSH_WORDS = 2_000_000
@@ -34,6 +34,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def frugal(run):
+    """``run`` for ``mapInArrow``; the worker, which Spark keeps for later
+    tasks, gives the memory of this one back to the system."""
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow
+            gc.collect()
+            pyarrow.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # where the C library has it
+            if trim is not None:
+                trim(0)
+    return tidy
+
+
 def parts(spark: SparkSession) -> int:
     """Partitions that data-sized blocks are dealt to: the cluster's setting."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -54,5 +73,5 @@ def keyed(docs: DataFrame, id_col: str) -> Column:
     return docs[id_col].cast("long")
 
 
-__all__ = ["QUERIES", "ORACLES", "query", "prepare", "parts", "table", "texts", "keyed", "cut_lineage",
+__all__ = ["QUERIES", "ORACLES", "query", "prepare", "parts", "table", "texts", "keyed", "cut_lineage", "frugal",
            "BATCH_ROWS", "BATCH_BYTES", "FLUSH_WORDS"]

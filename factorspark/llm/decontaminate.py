@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .automaton import Matcher
-from .common import cut_lineage, prepare, query, table
+from .common import cut_lineage, frugal, prepare, query, table
 from .words import ALNUM, Words
 
 #: Characters of items that one automaton takes (about 300 MB as Python objects).
@@ -71,18 +71,26 @@ def _pass(matcher, text_col: str, first: bool):
     return run
 
 
-def _hits(docs: DataFrame, text_col: str, items: DataFrame, item_id: str, item_text: str, window: int) -> DataFrame:
+def _hits(docs: DataFrame, text_col: str, items: DataFrame, item_id: str, item_text: str, window: int,
+          then=None) -> DataFrame:
+    """``docs`` and ``HITS``; or what ``then`` makes of both in the last pass,
+    with the columns of ``docs``."""
     prepare(docs.sparkSession)
     it = items.select(items[item_id].cast("string").alias("id"), items[item_text].cast("string").alias("text"))
     chars = it.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(chars / ITEM_CHARS))
-    schema = T.StructType([*docs.schema.fields, T.StructField(HITS, _HITS)])
+    kept = docs.schema
+    schema = T.StructType([*kept.fields, T.StructField(HITS, _HITS)])
     for b in range(blocks):
         own = it.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b) if blocks > 1 else it
         matcher = Matcher([(r.id, r.text) for r in own.collect()], window)
-        docs = docs.mapInArrow(_pass(matcher, text_col, b == 0), schema)
+        run = _pass(matcher, text_col, b == 0)
         if b < blocks - 1:
-            docs = cut_lineage(docs)
+            docs = cut_lineage(docs.mapInArrow(frugal(run), schema))
+        elif then is None:
+            docs = docs.mapInArrow(frugal(run), schema)
+        else:
+            docs = docs.mapInArrow(frugal(lambda batches, run=run: then(run(batches))), kept)
     return docs
 
 
@@ -102,8 +110,6 @@ def remove(docs: DataFrame, items: DataFrame, window: int = 10, max_words: int =
     first byte of their first word to the last of their last; documents of
     whose words more than ``max_coverage`` lie in spans go altogether.
     """
-    schema = docs.schema
-
     def cut(batches):
         for batch in batches:
             words = Words(batch.column(text_col), ALNUM, True)
@@ -122,7 +128,7 @@ def remove(docs: DataFrame, items: DataFrame, window: int = 10, max_words: int =
             cols = [pa.array(new, batch.column(n).type) if n == text_col else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(cols, names).filter(pa.array(kept, pa.bool_()))
 
-    return _hits(docs, text_col, items, item_id, item_text, window).mapInArrow(cut, schema)
+    return _hits(docs, text_col, items, item_id, item_text, window, cut)
 
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, query, table, texts
+from .common import frugal, prepare, query, table, texts
 from .substring_dedup import NO_ID, _minimizer
 from .words import LINES, Words, long_grams
 
@@ -65,7 +65,7 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFra
     """``docs`` and, in ``STARTS``, the first lines of its repeated windows."""
     prepare(docs.sparkSession)
     prints = texts(docs, id_col, text_col).mapInArrow(
-        _fingerprints(window), "print long, win long, doc long, start long")
+        frugal(_fingerprints(window)), "print long, win long, doc long, start long")
     first = (prints.groupBy("print", "win")
              .agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("places"))
              .where("places > 1").select("print", "win", "first"))
@@ -117,7 +117,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
                     for n in batch.schema.names if n != STARTS]
             yield pa.RecordBatch.from_arrays(cols, schema.names).filter(pa.array(kept, pa.bool_()))
 
-    return _marked(docs, id_col, text_col, window).mapInArrow(run, schema)
+    return _marked(docs, id_col, text_col, window).mapInArrow(frugal(run), schema)
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -149,7 +149,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  pa.array(found, arrow.field("runs").type), pa.array(kept, pa.string())], schema=arrow)
 
     d = texts(docs, id_col, text_col)
-    return _marked(d, "doc_id", "text", window).mapInArrow(run, schema)
+    return _marked(d, "doc_id", "text", window).mapInArrow(frugal(run), schema)
 
 
 ORACLE = rf"""

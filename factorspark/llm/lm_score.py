@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FLUSH_WORDS, cut_lineage, parts, prepare, query, table
+from .common import FLUSH_WORDS, cut_lineage, frugal, parts, prepare, query, table
 from .words import SPACED, U64, Words, mix, planes, unplanes
 
 END, START = U64(0xE7D5A1), U64(0x57A127)
@@ -293,9 +293,9 @@ def lm_score(docs: DataFrame, learned, id_col: str = "doc_id", text_col: str = "
     kind = F.when(~F.coalesce(learned, F.lit(False)), OTHER).when(fold, DELETED).otherwise(KEPT)
     chunks = cut_lineage(docs.select(
         docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), kind.alias("kind"))
-        .mapInArrow(_chunks(flush), _COLUMNS))
-    answers = cut_lineage(chunks.mapInArrow(_ask(n), _COLUMNS).repartitionById(n, F.col("block"))
-                          .mapInArrow(_answer, _COLUMNS))
+        .mapInArrow(frugal(_chunks(flush)), _COLUMNS))
+    answers = cut_lineage(chunks.mapInArrow(frugal(_ask(n)), _COLUMNS).repartitionById(n, F.col("block"))
+                          .mapInArrow(frugal(_answer), _COLUMNS))
     # Sums: known words without and with the deleted fold; texts and tokens of each kind.
     known = np.zeros(2, np.int64)
     for r in answers.where(F.col("kind") == STAT).select("a").collect():         # one row a block
@@ -311,17 +311,17 @@ def lm_score(docs: DataFrame, learned, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["k", "texts", "tokens"])
 
     size = {KEPT: (0, 0), DELETED: (0, 0)} | {
-        r.k: (r.texts, r.tokens) for r in chunks.select("b", "c").mapInArrow(sums, "k long, texts long, tokens long")
+        r.k: (r.texts, r.tokens) for r in chunks.select("b", "c").mapInArrow(frugal(sums), "k long, texts long, tokens long")
         .groupBy("k").agg(F.sum("texts").alias("texts"), F.sum("tokens").alias("tokens")).collect()}
 
     apart = chunks.where(F.col("grams") == 1)                # the deleted fold's chunks
     asked = answers.join(apart.select("chunk"), "chunk", "left_semi").select(answers.columns)
     # At most BUCKETS * (FINE * OCTAVES) ** 2 cells, a few ten thousand in practice.
-    cells = (_meet(apart, asked, n).mapInArrow(_cells(*size[KEPT]), "cell long, n long")
+    cells = (_meet(apart, asked, n).mapInArrow(frugal(_cells(*size[KEPT])), "cell long, n long")
              .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
     weights = expectation_maximisation(cells.column("cell").to_numpy(), cells.column("n").to_numpy(), int(known[0]))
     texts, tokens = (a + b for a, b in zip(size[KEPT], size[DELETED]))
-    scored = _meet(chunks, answers, n).mapInArrow(_scores(weights, texts, tokens, int(known[1])), _SCORES)
+    scored = _meet(chunks, answers, n).mapInArrow(frugal(_scores(weights, texts, tokens, int(known[1]))), _SCORES)
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
                          "base_score", "score")
 

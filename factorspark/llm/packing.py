@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import parts, prepare, query, table, texts
+from .common import frugal, parts, prepare, query, table, texts
 from .tokens import Encoder
 
 CAPACITY, WINDOWS, END_ID = 2048, 16, 1
@@ -185,8 +185,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     spark = prepare(docs.sparkSession)
     n = parts(spark)
     made = texts(docs, id_col, text_col).mapInArrow(
-        _pack(tokenizer, capacity, windows, end_id, n, with_ids), _COLUMNS + _TASK)
-    return made.repartitionById(n, F.col("key")).mapInArrow(_merge(capacity, with_ids), _COLUMNS)
+        frugal(_pack(tokenizer, capacity, windows, end_id, n, with_ids)), _COLUMNS + _TASK)
+    return made.repartitionById(n, F.col("key")).mapInArrow(frugal(_merge(capacity, with_ids)), _COLUMNS)
 
 
 @query("op2_packing")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FLUSH_WORDS, parts, prepare, query, table, texts
+from .common import FLUSH_WORDS, frugal, parts, prepare, query, table, texts
 from .words import SPACED, U64, Words, kgrams, long_grams, planes, unplanes
 
 WINDOW, SEED = 50, 16
@@ -217,8 +217,8 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     that have any; a document can have several rows."""
     spark = prepare(docs.sparkSession)
     n = parts(spark)
-    sent = texts(docs, id_col, text_col).mapInArrow(_send(n, window, seed, flush), _SENT)
-    return sent.repartitionById(n, F.col("block")).mapInArrow(_answer(window), _SPANS)
+    sent = texts(docs, id_col, text_col).mapInArrow(frugal(_send(n, window, seed, flush)), _SENT)
+    return sent.repartitionById(n, F.col("block")).mapInArrow(frugal(_answer(window)), _SPANS)
 
 
 def covered(raw: list[bytes], n_words: int) -> np.ndarray:
@@ -259,7 +259,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spans = spans.withColumnRenamed("doc_id", "of")
     joined = d.join(spans, F.coalesce("doc_id", F.lit(int(NO_ID))) == F.col("of"), "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(
-        cut, "doc_id long, n_words long, n_removed long, kept string, "
+        frugal(cut), "doc_id long, n_words long, n_removed long, kept string, "
              "factors array<struct<start:long,words:long,source:long,source_start:long>>")
 
 

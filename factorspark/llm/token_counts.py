@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, query, table, texts
+from .common import frugal, prepare, query, table, texts
 from .tokens import Encoder
 from .words import text_buffer
 
@@ -111,7 +111,7 @@ def token_counts(docs: DataFrame, sections: DataFrame | None = None, rule: str =
         own = sections.groupBy(F.col("doc_id").cast("long").alias("of")).agg(F.sort_array(F.collect_list(F.struct(
             *(F.col(n).cast("long").alias(n) for n in ("start", "end", "section"))))).alias("sections"))
         d = d.join(own, d["doc_id"] == own["of"], "left").select("doc_id", "text", "sections")
-    return d.mapInArrow(_count(tokenizer, rule, sections is None), _COLUMNS)
+    return d.mapInArrow(frugal(_count(tokenizer, rule, sections is None)), _COLUMNS)
 
 
 @query("op5_token_counts")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, query, table, texts
+from .common import frugal, prepare, query, table, texts
 from .words import SPACED, U64, Words
 
 #: The sample's bounds: rows of each class, rows to calibrate, characters of a text.
@@ -254,7 +254,7 @@ def _scored(docs: DataFrame, text_col: str, network: Network) -> DataFrame:
             s = pa.array(network.score(batch.column(text_col)), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, s], [*batch.schema.names, SCORE])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())]))
+    return docs.mapInArrow(frugal(run), T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text",
