@@ -3,6 +3,8 @@ built-in (JVM) functions; the same patterns run in DuckDB for the oracle."""
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,17 +50,37 @@ def normalise_item(header) -> Column:
     return F.regexp_replace(F.lower(_c(header)), r"&#160;|&nbsp;|\s|\.|>", "")
 
 
+ENTITY = r"&(#[0-9]{1,7}|#x[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+
+
+def _char(code: Column) -> Column:
+    """Character of a code point; of no character, U+FFFD."""
+    fine = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(fine, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+
+
+def decode_entities(text) -> Column:
+    """Named (HTML 4), decimal and hexadecimal entities to their characters, a
+    no-break space to a blank; unknown names stay."""
+    x = _c(text)
+    names = F.create_map(*[F.lit(v) for k, c in sorted(name2codepoint.items()) for v in (k, chr(c))])
+    found = F.transform(F.regexp_extract_all(x, F.lit(ENTITY), 1), lambda e: (
+        F.when(e.startswith("#x"), _char(F.conv(F.substr(e, F.lit(3)), 16, 10).cast("long")))
+        .when(e.startswith("#"), _char(F.substr(e, F.lit(2)).try_cast("long")))
+        .otherwise(F.coalesce(F.try_element_at(names, e), F.concat(F.lit("&"), e, F.lit(";"))))))
+    whole = F.array_join(F.transform(F.split(x, ENTITY, -1), lambda p, i: F.concat(
+        p, F.coalesce(F.get(found, i), F.lit("")))), "")
+    return F.replace(F.when(x.contains("&"), whole).otherwise(x), F.lit("\u00a0"), F.lit(" "))
+
+
 def strip_html(html) -> Column:
-    """drop script/style blocks, comments and tags, decode the common
-    entities, collapse blanks, lower-case."""
+    """drop script/style blocks, comments and tags, decode entities,
+    collapse blanks, lower-case."""
     x = F.regexp_replace(_c(html), r"(?is)<script[^>]*>.*?</script\s*>", " ")
     x = F.regexp_replace(x, r"(?is)<style[^>]*>.*?</style\s*>", " ")
     x = F.regexp_replace(x, r"(?s)<!--.*?-->", " ")
     x = F.regexp_replace(x, r"<[^>]*>", " ")
-    for ent, ch in (("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&gt;", ">"),
-                    ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    x = F.regexp_replace(x, r"\s+", " ")
+    x = F.regexp_replace(decode_entities(x), r"\s+", " ")
     return F.lower(F.trim(x))
 
 

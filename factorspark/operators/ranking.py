@@ -29,8 +29,10 @@ RANK_DIGITS = 10
 
 
 def _buckets(df: DataFrame) -> int:
+    """Value buckets a group: enough for the cluster to share a hot group, few
+    enough that finding a value's bucket stays cheap."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(64, 4 * n)
+    return min(512, max(64, n))
 
 
 def value_positions(df: DataFrame, by: Sequence[str], value: str,

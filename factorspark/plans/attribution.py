@@ -1,7 +1,10 @@
 """PnL attribution Q12, Q14, Q15: per-date cross-sectional regression of the
-delayed asset returns on the exposures (alphas and risk betas), solved from
-K x K sums.  The only Python step is the K x K solve per date
-(``applyInPandas`` on groups of K*K + K numbers)."""
+delayed asset returns on the exposures (alphas and risk betas).
+
+One aggregation per date sums the K (K + 1) / 2 products of the exposures, kept
+as columns of one row per (date, asset), and their K products with the return;
+a row of sums is solved on its own (``mapInPandas``, K x K numbers a row).
+"""
 
 from __future__ import annotations
 
@@ -13,43 +16,49 @@ from pyspark.sql import functions as F
 SOLVE_SCHEMA = "date date, factor string, f double"
 
 
-def _solve(pdf: pd.DataFrame) -> pd.DataFrame:
-    facs = sorted(set(pdf.loc[pdf.j != "", "i"]) | set(pdf.loc[pdf.j != "", "j"]))
-    idx = {f: n for n, f in enumerate(facs)}
-    g = np.zeros((len(facs), len(facs)))
-    b = np.zeros(len(facs))
-    for i, j, v in zip(pdf.i, pdf.j, pdf.v):
-        if j == "":
-            if i in idx:
-                b[idx[i]] = v
-        else:
-            g[idx[i], idx[j]] = v
-    f = np.linalg.pinv(g) @ b          # rank-deficient dates like a pinv OLS
-    return pd.DataFrame({"date": pdf.date.iloc[0], "factor": facs, "f": f})
+def wide_exposures(expo: DataFrame, factors: list[str]) -> DataFrame:
+    """(date, asset, x0, x1, ...): a missing exposure is 0."""
+    return expo.groupBy("date", "asset").agg(*[
+        F.coalesce(F.sum(F.when(F.col("factor") == f, F.col("x"))), F.lit(0.0)).alias(f"x{i}")
+        for i, f in enumerate(factors)])
 
 
-def factor_regression(expo: DataFrame, rets: DataFrame) -> DataFrame:
+def factor_regression(expo: DataFrame, rets: DataFrame, factors: list[str]) -> DataFrame:
     """Q12: factor returns f_t = pinv(X'X) X'r per date, X = exposures
     (date, asset, factor, x) and r = the delayed return (date, asset, r);
     assets without a return count 0."""
-    a = expo.select("date", "asset", F.col("factor").alias("i"), F.col("x").alias("xi"))
-    b = expo.select("date", "asset", F.col("factor").alias("j"), F.col("x").alias("xj"))
-    xx = a.join(b, ["date", "asset"]).groupBy("date", "i", "j").agg(
-        F.sum(F.col("xi") * F.col("xj")).alias("v"))
-    xy = (a.join(rets, ["date", "asset"]).groupBy("date", "i")
-          .agg(F.sum(F.col("xi") * F.col("r")).alias("v")).withColumn("j", F.lit("")))
-    sums = xx.unionByName(xy)
-    return sums.groupBy("date").applyInPandas(_solve, SOLVE_SCHEMA)
+    k = len(factors)
+    x = wide_exposures(expo, factors).join(rets, ["date", "asset"], "left")
+    sums = x.groupBy("date").agg(
+        *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)],
+        *[F.coalesce(F.sum(F.col(f"x{i}") * F.col("r")), F.lit(0.0)).alias(f"b{i}") for i in range(k)])
+
+    def solve(batches):
+        for pdf in batches:
+            out = []
+            for _, r in pdf.iterrows():
+                g = np.array([[r[f"g{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
+                f = np.linalg.pinv(g) @ np.array([r[f"b{i}"] for i in range(k)])   # rank-deficient dates like pinv OLS
+                out += [(r["date"], n, float(v)) for n, v in zip(factors, f)]
+            yield pd.DataFrame(out, columns=["date", "factor", "f"])
+
+    return sums.mapInPandas(solve, SOLVE_SCHEMA)
 
 
-def attribution(w: DataFrame, expo: DataFrame, rets: DataFrame, f: DataFrame,
-                component: dict[str, str]) -> DataFrame:
-    """Q14 / Q15: per portfolio and date the PnL of each exposure (E * f),
-    grouped into components (e.g. alpha / beta), the idiosyncratic rest
-    (total - factor PnL) and running totals."""
+def factor_pnl(w: DataFrame, expo: DataFrame, f: DataFrame) -> DataFrame:
+    """Q14: PnL of each exposure (E * f) per portfolio and date, with its
+    running total."""
     ex = (w.join(expo, ["date", "asset"]).groupBy("port_name", "date", "factor")
           .agg(F.sum(F.col("w") * F.col("x")).alias("exposure")))
     fp = ex.join(f, ["date", "factor"]).withColumn("pnl", F.col("exposure") * F.col("f"))
+    run = Window.partitionBy("port_name", "factor").orderBy("date") \
+        .rowsBetween(Window.unboundedPreceding, 0)       # one row per date
+    return fp.withColumn("cum_pnl", F.sum("pnl").over(run))
+
+
+def attribution(w: DataFrame, rets: DataFrame, fp: DataFrame, component: dict[str, str]) -> DataFrame:
+    """Q15: the factors' PnL grouped into components (e.g. alpha / beta), the
+    idiosyncratic rest (total - factor PnL) and running totals."""
     comp = F.create_map(*[x for k, v in component.items() for x in (F.lit(k), F.lit(v))])
     by_c = fp.groupBy("port_name", "date", comp[F.col("factor")].alias("component")).agg(
         F.sum("pnl").alias("pnl"))

@@ -44,6 +44,14 @@ def split_by_fraction(df: DataFrame, train: float = 0.6, valid: float = 0.2,
     return df.join(small_dim(lab, CALENDAR_BOUND), "date")
 
 
+def drop_last_sessions(df: DataFrame, tau: int) -> DataFrame:
+    """T5: without the last ``tau`` distinct dates."""
+    cal = calendar(df)
+    n = cal.agg(F.count(F.lit(1)).alias("_n"))               # one row
+    keep = cal.join(F.broadcast(n)).filter(F.col("session_idx") < F.col("_n") - tau).select("date")
+    return df.join(small_dim(keep, CALENDAR_BOUND), "date", "left_semi")
+
+
 def non_overlapping(df: DataFrame, n_skip: int, start: int = 0) -> DataFrame:
     """Keep dates start, start + skip + 1, ... of the distinct dates present."""
     cal = calendar(df)

@@ -7,7 +7,7 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,25 +39,48 @@ def score_linear(df: DataFrame, coefs: DataFrame, features: list[str], out: str
     return df.withColumn(out, sum(F.coalesce(F.col(f), F.lit(0.0)) * cf[f] for f in features))
 
 
-def naive_bayes_counts(counts: DataFrame, labels: DataFrame, key: str = "doc_id",
-                       label: str = "label", alpha: float = 1.0) -> tuple[DataFrame, DataFrame]:
-    """Multinomial naive Bayes in closed form: class log-priors and
-    log P(term | class) = ln((n_tc + alpha) / (n_c + alpha * V))."""
-    j = counts.join(labels.select(key, label), key)
-    tc = j.groupBy(label, "term").agg(F.sum("tf").alias("n_tc"))
-    v = counts.select("term").distinct().agg(F.count(F.lit(1)).alias("V"))
-    nc = tc.groupBy(label).agg(F.sum("n_tc").alias("n_c"))
-    full = (tc.join(nc, label).withColumn("_one", F.lit(1)).join(v.withColumn("_one", F.lit(1)), "_one")
-            .select(label, "term", F.log((F.col("n_tc") + alpha) / (F.col("n_c") + alpha * F.col("V")))
-                    .alias("log_prob")))
-    prior = labels.groupBy(label).agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "log_prior", F.log(F.col("n") / F.sum("n").over(Window.partitionBy())))   # a few classes
-    return prior.select(label, "log_prior"), full
+def class_priors(labels: DataFrame, label: str = "label") -> DataFrame:
+    """Log share of each class (0, 1) among the labelled rows."""
+    n = labels.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    total = labels.agg(F.count(F.lit(1)).alias("total"))
+    return n.join(F.broadcast(total)).select(label, F.log(F.col("n") / F.col("total")).alias("log_prior"))
+
+
+def naive_bayes(counts: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "label",
+                alpha: float = 1.0) -> DataFrame:
+    """Multinomial naive Bayes in closed form, one row per term of the
+    labelled documents: log_0, log_1 = ln((n_tc + alpha) / (n_c + alpha V)).
+    A term that a class lacks has the smoothed n_tc = 0."""
+    tc = (counts.join(labels.select(key, label), key).groupBy("term")
+          .agg(*[F.coalesce(F.sum(F.when(F.col(label) == k, F.col("tf"))), F.lit(0)).alias(f"n_{k}") for k in (0, 1)]))
+    tot = tc.agg(F.count(F.lit(1)).alias("V"), F.sum("n_0").alias("c_0"), F.sum("n_1").alias("c_1"))   # one row
+    return tc.join(F.broadcast(tot)).select(
+        "term", *[F.log((F.col(f"n_{k}") + alpha) / (F.col(f"c_{k}") + alpha * F.col("V"))).alias(f"log_{k}")
+                  for k in (0, 1)])
+
+
+def naive_bayes_probability(docs: DataFrame, counts: DataFrame, terms: DataFrame, priors: DataFrame,
+                            key: str = "doc_id", out: str = "prob") -> DataFrame:
+    """Probability of class 1 of every document; one without a known
+    term keeps the prior."""
+    pr = priors.agg(*[F.coalesce(F.max(F.when(F.col("label") == k, F.col("log_prior"))), F.lit(-1e9)).alias(f"p_{k}")
+                      for k in (0, 1)])                                                               # one row
+    s = counts.join(terms, "term").groupBy(key).agg(F.sum(F.col("tf") * (F.col("log_1") - F.col("log_0"))).alias("_llr"))
+    d = docs.join(s, key, "left").join(F.broadcast(pr))
+    odds = F.coalesce("_llr", F.lit(0.0)) + F.col("p_1") - F.col("p_0")
+    # exp of at most 700 stays finite
+    return d.withColumn(out, 1 / (1 + F.exp(-F.greatest(F.least(odds, F.lit(700.0)), F.lit(-700.0))))) \
+        .drop("_llr", "p_0", "p_1")
+
+
+def probability_score(prob) -> Column:
+    """a probability as a score from -1 to 1."""
+    return 2 * (F.col(prob) if isinstance(prob, str) else prob) - 1
 
 
 def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="error").transform(df)
 
 
 def regression_grid(train: DataFrame, valid: DataFrame, features: list[str], target: str,
@@ -88,13 +111,14 @@ def regression_grid(train: DataFrame, valid: DataFrame, features: list[str], tar
     return train.sparkSession.createDataFrame(rows, "model string, params string, rmse double, acc double")
 
 
-def sparse_term_vectors(counts: DataFrame, key: str = "doc_id", min_df: int = 2) -> DataFrame:
+def sparse_term_vectors(counts: DataFrame, key: str = "doc_id") -> DataFrame:
     """Sparse tf-idf vectors per document with Spark ML (CountVectorizer +
-    IDF) from the long (doc, term, tf) counts; the bag is rebuilt per
-    document (bounded by one document)."""
+    IDF) from the long (doc, term, tf) counts; every term is kept, and the bag
+    is rebuilt per document (bounded by one document)."""
     from pyspark.ml.feature import IDF, CountVectorizer
     bags = counts.groupBy(key).agg(F.flatten(F.collect_list(F.array_repeat("term", F.col("tf").cast("int"))))
                                    .alias("terms"))
-    cv = CountVectorizer(inputCol="terms", outputCol="tf_vec", minDF=min_df).fit(bags)
+    size = max(2, counts.select("term").distinct().count())
+    cv = CountVectorizer(inputCol="terms", outputCol="tf_vec", minDF=1, vocabSize=size).fit(bags)
     tf = cv.transform(bags)
     return IDF(inputCol="tf_vec", outputCol="features").fit(tf).transform(tf).select(key, "features")

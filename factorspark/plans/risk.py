@@ -8,7 +8,7 @@ formed: portfolio risk is two aggregations (R10).
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -102,46 +102,67 @@ def portfolio_risk(w: DataFrame, betas: DataFrame, fvar: DataFrame, ivar: DataFr
 
 def equal_weights(assets: DataFrame) -> DataFrame:
     """1 / N on every asset."""
-    return assets.select("asset").distinct().withColumn(
-        "w", 1.0 / F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))))
+    a = assets.select("asset").distinct()
+    n = a.agg(F.count(F.lit(1)).alias("_n"))                  # one row
+    return a.join(F.broadcast(n)).select("asset", (1.0 / F.col("_n")).alias("w"))
 
 
 # ---------------------------------------------------------------- PCA
 
-def return_vectors(rets: DataFrame, assets: list | None = None) -> tuple[DataFrame, list]:
-    """One dense return vector per date over the sorted asset list
-    (missing = 0).  The asset list is the model's dimension N (driver-side,
-    like any N x K loading matrix)."""
-    from pyspark.ml.functions import array_to_vector
-    if assets is None:
-        assets = [r.asset for r in rets.select("asset").distinct().orderBy("asset").collect()]
-    idx = {a: i for i, a in enumerate(assets)}
-    spark = rets.sparkSession
-    ix = spark.createDataFrame([(a, i) for a, i in idx.items()], "asset long, i int")
-    m = (rets.join(F.broadcast(ix), "asset")   # N rows, the model dimension
-         .groupBy("date").agg(F.map_from_entries(F.collect_list(F.struct("i", "r"))).alias("m")))
-    n = len(assets)
-    vec = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                      lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
-    return m.select("date", array_to_vector(vec).alias("features")), assets
-
-
-def fit_pca(vectors: DataFrame, k: int):
-    """R2: ``pyspark.ml.feature.PCA`` (distributed Gramian; centred
-    covariance)."""
-    from pyspark.ml.feature import PCA
-    return PCA(k=k, inputCol="features", outputCol="pcs").fit(vectors)
-
-
-def pca_betas(spark, model, assets: list) -> DataFrame:
-    """Loadings N x K as (asset, k, beta), sign fixed so the largest
-    absolute loading of each component is positive."""
-    pc = model.pc.toArray()
-    sign = np.sign(pc[np.abs(pc).argmax(axis=0), range(pc.shape[1])])
-    sign[sign == 0] = 1.0
-    pc = pc * sign
-    rows = [(assets[i], int(j), float(pc[i, j])) for i in range(pc.shape[0]) for j in range(pc.shape[1])]
-    return spark.createDataFrame(rows, "asset long, k int, beta double")
+def dates_gram(rets: DataFrame, dates: list) -> np.ndarray:
+    """G = Rc Rc' over the dates, Rc the returns (missing = 0) less each
+    asset's mean.  Dates are bounded by the calendar (T numbers an asset); the
+    assets stay distributed: a task adds up its assets' T x T products, and
+    only the tasks' sums are added up in Spark."""
+    import pandas as pd
+    t = len(dates)
+    at = {d: i for i, d in enumerate(dates)}
+
+    def products(batches):
+        g = np.zeros((t, t))
+        for pdf in batches:
+            x = np.zeros((len(pdf), t))
+            for row, (ds, rs) in enumerate(zip(pdf["d"], pdf["r"])):
+                x[row, [at[d] for d in ds]] = rs
+            x -= x.mean(axis=1, keepdims=True)
+            g += x.T @ x
+        yield pd.DataFrame({"i": range(t), "g": list(g)})
+
+    own = rets.groupBy("asset").agg(F.collect_list("date").alias("d"), F.collect_list("r").alias("r"))   # T an asset
+    sums = (own.select("d", "r").mapInPandas(products, "i int, g array<double>")
+            .select("i", F.posexplode("g").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v")))
+    out = np.zeros((t, t))
+    for r in sums.collect():                                  # T * T numbers
+        out[r.i, r.j] = r.v
+    return out
+
+
+class DualPca:
+    """R2: principal components of the returns' covariance from the T x T
+    Gram matrix: the same variances, and loadings b = Rc' u / sqrt(lambda)."""
+
+    def __init__(self, rets: DataFrame, k: int):
+        self.rets = rets
+        self.dates = [r.date for r in rets.select("date").distinct().orderBy("date").collect()]   # T
+        values, vectors = np.linalg.eigh(dates_gram(rets, self.dates))
+        o = np.argsort(values)[::-1]
+        values, self.vectors = np.maximum(values[o], 0.0), vectors[:, o]
+        self.k = int(min(k, (values > 1e-12 * max(values[0], 1e-300)).sum()))
+        self.total = float(values.sum()) / (len(self.dates) - 1)
+        self.variance = values[:self.k] / (len(self.dates) - 1)
+        self.scale = np.sqrt(values[:self.k])
+
+    def betas(self) -> DataFrame:
+        """(asset, k, beta); the largest absolute loading of a component
+        is positive.  A component's dates sum to 0, so means drop out."""
+        u = [(d, j, float(self.vectors[i, j] / self.scale[j])) for i, d in enumerate(self.dates)
+             for j in range(self.k)]
+        u = self.rets.sparkSession.createDataFrame(u, "date date, k int, u double")   # T * K rows, a calendar's bound
+        b = (self.rets.join(F.broadcast(u), "date").groupBy("asset", "k")
+             .agg(F.sum(F.col("r") * F.col("u")).alias("beta")))
+        top = b.groupBy("k").agg(F.max_by("beta", F.struct(F.abs("beta"), "asset")).alias("top"))
+        sign = F.when(F.col("top") < 0, -1.0).otherwise(1.0)
+        return b.join(F.broadcast(top), "k").select("asset", "k", (F.col("beta") * sign).alias("beta"))   # K rows
 
 
 def pca_factor_returns(rets: DataFrame, betas: DataFrame) -> DataFrame:

@@ -91,9 +91,15 @@ def combined(tf: DataFrame, lex: DataFrame, priority: list[str] = SENTIMENTS) ->
     first = lex.groupBy("word").agg(F.min_by("sentiment", pr).alias("first"))
     keep = tf.join(first.withColumnRenamed("word", "term"), "term").filter(
         F.col("sentiment") == F.col("first")).drop("first")
-    removed = (lex.join(first, "word").filter(F.col("sentiment") != F.col("first"))
-               .groupBy("sentiment").agg(F.count(F.lit(1)).alias("removed")))
-    return keep, removed
+    return keep, overlap(lex, priority)
+
+
+def overlap(lex: DataFrame, priority: list[str] = SENTIMENTS) -> DataFrame:
+    """Words that the first-list-wins merge removes from each list."""
+    pr = F.array_position(F.array(*[F.lit(s) for s in priority]), F.col("sentiment"))
+    first = lex.groupBy("word").agg(F.min_by("sentiment", pr).alias("first"))
+    return (lex.join(first, "word").filter(F.col("sentiment") != F.col("first"))
+            .groupBy("sentiment").agg(F.count(F.lit(1)).alias("removed")))
 
 
 def lexicon_stats(lex: DataFrame) -> DataFrame:

@@ -1,76 +1,100 @@
 """Filing structure X1-X7, S15, S18: documents, types, section headers and
-their positions, section text, cleaning.  Position-aware regex is done with
-``split`` piece lengths (no ``finditer`` in SQL); per-document windows are
-bounded by one document's header count."""
+their positions, section text, cleaning.  Everything about a filing happens in
+its own row: the main document is picked, headers are located (``split`` piece
+lengths stand in for ``finditer``) and sections are cut with array functions,
+and only small results are exploded, so no text is ever shuffled."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import text as tx
 
+KEY = ("ticker", "date", "doc_id")
+_BODIES = r"(?s)<DOCUMENT>(.*?)</DOCUMENT>"
+_TYPE = r"<TYPE>([^\n]+)"
 
-def split_documents(filings: DataFrame, key=("ticker", "date", "doc_id"), raw: str = "raw") -> DataFrame:
+
+def split_documents(filings: DataFrame, key=KEY, raw: str = "raw") -> DataFrame:
     """The ``<DOCUMENT>`` bodies of a submission with their position
     and ``<TYPE>``."""
-    bodies = F.regexp_extract_all(F.col(raw), F.lit(r"(?s)<DOCUMENT>(.*?)</DOCUMENT>"), 1)
+    bodies = F.regexp_extract_all(F.col(raw), F.lit(_BODIES), 1)
     d = filings.select(*key, F.posexplode(bodies).alias("doc_pos", "body"))
-    return d.withColumn("doc_type", F.regexp_extract("body", r"<TYPE>([^\n]+)", 1))
-
-
-def main_documents(docs: DataFrame, doc_type: str = "10-K", key=("ticker", "date", "doc_id")) -> DataFrame:
-    """Documents of the target type, first one per filing."""
-    w = Window.partitionBy(*key).orderBy("doc_pos")   # one filing's documents
-    return (docs.filter(F.col("doc_type") == doc_type)
-            .withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn"))
-
-
-def header_positions(docs: DataFrame, key=("ticker", "date", "doc_id"), text: str = "body",
-                     pattern: str = tx.SECTION_HEADER) -> DataFrame:
-    """every header match with its character offsets: start of match i
-    = sum of the lengths of pieces 0..i and matches 0..i-1."""
-    pieces = F.split(F.col(text), pattern, -1)
-    matches = F.regexp_extract_all(F.col(text), F.lit(pattern), 0)
-    d = docs.select(*key, F.length(text).alias("text_len"), pieces.alias("pieces"), matches.alias("m"))
-    e = d.select(*key, "text_len", "pieces", F.posexplode("m").alias("i", "header"))
-    w = Window.partitionBy(*key).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    e = e.withColumn("start_pos", F.sum(F.length(F.element_at("pieces", F.col("i") + 1))
-                                        + F.length("header")).over(w) - F.length("header"))
-    return e.select(*key, "text_len", "header", "start_pos",
-                    (F.col("start_pos") + F.length("header")).alias("end_pos"))
-
-
-def section_positions(docs: DataFrame, key=("ticker", "date", "doc_id"), text: str = "body") -> DataFrame:
-    """Normalised item of each header, last match per item kept (skips the
-    table of contents, B7 fixed), section ends at the next kept header's
-    start (B8 fixed) or at the end of the text; one 'all' row for a document
-    without headers.  Also the S15 audit table."""
-    h = header_positions(docs, key, text).withColumn("item", tx.normalise_item("header"))
-    last = (h.groupBy(*key, "item")
-            .agg(F.max_by(F.struct("start_pos", "end_pos", "text_len"), "start_pos").alias("s"))
-            .select(*key, "item", "s.*"))
-    w = Window.partitionBy(*key).orderBy("start_pos")      # a few headers per document
-    pos = last.withColumn("next_start", F.coalesce(F.lead("start_pos").over(w), F.col("text_len")))
-    none = (docs.join(h.select(*key).distinct(), list(key), "left_anti")
-            .select(*key, F.lit("all").alias("item"), F.lit(0).alias("start_pos"), F.lit(0).alias("end_pos"),
-                    F.length(text).alias("text_len"), F.length(text).alias("next_start")))
-    return pos.unionByName(none).drop("text_len")
-
-
-def section_text(docs: DataFrame, pos: DataFrame, key=("ticker", "date", "doc_id"),
-                 text: str = "body") -> DataFrame:
-    """Slice each section between its header end and next_start."""
-    j = docs.select(*key, text).join(pos, list(key))
-    return j.select(*key, "item", F.expr(f"substring({text}, end_pos + 1, next_start - end_pos)").alias("section"))
-
-
-def clean_sections(sections: DataFrame, key=("ticker", "date", "doc_id")) -> DataFrame:
+    return d.withColumn("doc_type", F.regexp_extract("body", _TYPE, 1))
+
+
+def main_documents(filings: DataFrame, doc_type: str = "10-K", key=KEY, raw: str = "raw",
+                   since: str | None = None) -> DataFrame:
+    """The first document of the target type of every filing that has one,
+    of filings not older than ``since`` (yyyy-mm-dd)."""
+    f = filings if since is None else filings.filter(F.col("date") >= F.lit(since).cast("date"))
+    own = F.filter(F.regexp_extract_all(F.col(raw), F.lit(_BODIES), 1),
+                   lambda b: F.regexp_extract(b, _TYPE, 1) == doc_type)
+    return f.select(*key, F.get(own, F.lit(0)).alias("body")).filter("body IS NOT NULL")
+
+
+def headers(text: Column, pattern: str = tx.SECTION_HEADER) -> Column:
+    """array of struct (start_pos, end_pos, item) of every header match:
+    a match starts after all pieces and matches before it."""
+    m = F.regexp_extract_all(text, F.lit(pattern), 0)
+    both = F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(m)).alias("piece"), m.alias("match"))
+    none = F.array().cast("array<struct<start_pos:bigint,end_pos:bigint,item:string>>")
+
+    def step(seen, x):
+        start = (seen["at"] + F.length(x["piece"])).cast("bigint")
+        end = (start + F.length(x["match"])).cast("bigint")
+        found = F.struct(start.alias("start_pos"), end.alias("end_pos"), tx.normalise_item(x["match"]).alias("item"))
+        return F.struct(end.alias("at"), F.concat(seen["found"], F.array(found)).alias("found"))
+
+    return F.aggregate(both, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found")), step,
+                       lambda seen: seen["found"])
+
+
+def sections(docs: DataFrame, key=KEY, text: str = "body") -> DataFrame:
+    """X4 / S15 in the document's row: ``sections``, an array of struct (item,
+    start_pos, end_pos, next_start).
+
+    The last match of an item counts (which skips the table of contents, B7
+    fixed); a section ends where the next one kept starts (B8 fixed) or with
+    the text; a document without headers is one section 'all'.
+    """
+    size = F.length(text).cast("bigint")
+    d = docs.select(*key, text, headers(F.col(text)).alias("_h"))
+    items = F.array_distinct(F.transform("_h", lambda h: h["item"]))
+    last = F.array_sort(F.transform(items, lambda i: F.element_at(F.filter("_h", lambda h: h["item"] == i), -1)))
+    d = d.select(*key, text, last.alias("_last"))
+    cut = F.transform("_last", lambda h, i: F.struct(
+        h["item"].alias("item"), h["start_pos"].alias("start_pos"), h["end_pos"].alias("end_pos"),
+        F.coalesce(F.get(F.col("_last"), i + 1)["start_pos"], size).alias("next_start")))
+    zero = F.lit(0).cast("bigint")
+    whole = F.array(F.struct(F.lit("all").alias("item"), zero.alias("start_pos"), zero.alias("end_pos"),
+                             size.alias("next_start")))
+    return d.select(*key, text, F.when(F.size("_last") > 0, cut).otherwise(whole).alias("sections"))
+
+
+def section_positions(docs: DataFrame, key=KEY, text: str = "body") -> DataFrame:
+    """One row per section (also the S15 audit table)."""
+    return sections(docs, key, text).select(*key, F.inline("sections"))
+
+
+def _cut(text: Column, s: Column) -> Column:
+    return F.substr(text, (s["end_pos"] + 1).cast("int"), (s["next_start"] - s["end_pos"]).cast("int"))
+
+
+def section_text(docs: DataFrame, key=KEY, text: str = "body") -> DataFrame:
+    """Each section between its header's end and the next section."""
+    cut = F.transform("sections", lambda s: F.struct(s["item"].alias("item"), _cut(F.col(text), s).alias("section")))
+    return sections(docs, key, text).select(*key, F.inline(cut))
+
+
+def clean_filing(docs: DataFrame, key=KEY, text: str = "body") -> DataFrame:
     """Cleaned (HTML-stripped, lower-case) text of all sections of a
-    filing, concatenated in section order."""
-    c = sections.withColumn("clean", tx.strip_html("section"))
-    return c.groupBy(*key).agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("item", "clean"))), lambda s: s["clean"]), " ").alias("text"))
+    filing, concatenated in item order."""
+    clean = F.array_sort(F.transform("sections", lambda s: F.struct(
+        s["item"].alias("item"), tx.strip_html(_cut(F.col(text), s)).alias("clean"))))
+    return sections(docs, key, text).select(*key, F.array_join(F.transform(clean, lambda s: s["clean"]), " ")
+                                            .alias("text"))
 
 
 def longest_sections(marked: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

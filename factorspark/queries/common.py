@@ -10,7 +10,7 @@ from ..session import configure, cut_lineage
 from ..sources import panels
 
 # Weekly supplier panel: ~357 sessions; windows scaled from days to weeks.
-WEEKLY = FactorConfig(adv_window=4, top=50, mom_window=5, mom_smooth=3, mr_window=3,
+WEEKLY = FactorConfig(adv_window=4, top=500, mom_window=5, mom_smooth=3, mr_window=3,
                       cto_window=2, trail_window=3, vol_window=8, adv_rank_window=8,
                       disp_window=8, mvol_window=8)
 

@@ -16,7 +16,7 @@ from ..registry import register
 from ..sources.tables import read
 from .common import WEEKLY, pw, r8
 from .q_factors import sql_factor_panel
-from .q_text import DOCS, LEX_CTE, Corpus
+from .q_text import DOCS, LEX_CTE, SCORE_CTE, Corpus
 
 FEATS = ["momentum", "mean_reversion"]
 
@@ -53,30 +53,66 @@ def interaction_features(spark, sf):
 
 NB_SQL = "WITH " + DOCS + LEX_CTE + """,
 lab AS (SELECT doc_id, quality AS label FROM labels),
-tc AS (SELECT label, term, sum(tf) AS n_tc FROM ncnt JOIN lab USING (doc_id) GROUP BY ALL),
-nc AS (SELECT label, sum(n_tc) AS n_c FROM tc GROUP BY label),
-vv AS (SELECT count(DISTINCT term) AS V FROM ncnt)"""
+lc AS (SELECT term, label, tf FROM ncnt JOIN lab USING (doc_id)),
+grid AS (SELECT t.term, k.label FROM (SELECT DISTINCT term FROM lc) t, (VALUES (0), (1)) k(label)),
+seen AS (SELECT term, label, sum(tf) AS n_tc FROM lc GROUP BY ALL),
+tot AS (SELECT k.label, coalesce(sum(tf), 0) AS n_c FROM (VALUES (0), (1)) k(label) LEFT JOIN lc USING (label) GROUP BY k.label),
+nb AS (SELECT g.label, g.term, ln((coalesce(n_tc, 0) + 1.0) / (n_c + (SELECT count(DISTINCT term) FROM lc))) AS lp
+       FROM grid g LEFT JOIN seen USING (term, label) JOIN tot USING (label)),
+prior AS (SELECT label, ln(count(*) / (SELECT count(*) FROM lab)) AS p FROM lab GROUP BY label),
+odds AS (SELECT d.doc_id, coalesce(sum(c.tf * (b.lp - a.lp)), 0)
+           + (SELECT p FROM prior WHERE label = 1) - (SELECT p FROM prior WHERE label = 0) AS o
+         FROM docs d LEFT JOIN ncnt c ON c.doc_id = d.doc_id LEFT JOIN nb a ON a.term = c.term AND a.label = 0
+         LEFT JOIN nb b ON b.term = c.term AND b.label = 1 GROUP BY d.doc_id),
+prob AS (SELECT doc_id, 1 / (1 + exp(-greatest(least(o, 700), -700))) AS prob FROM odds)"""
+
+#: X23 / D18 of one value per document: sector de-mean, rank, z-score a year.
+ML_ALPHA_SQL = """,
+my AS (SELECT d.doc_id, d.ticker, d.lang, d.date, CAST(date_trunc('year', d.date) AS DATE) AS year, prob FROM docs d JOIN prob USING (doc_id)),
+mdm AS (SELECT *, prob - avg(prob) OVER (PARTITION BY year, lang) AS d FROM my),
+mrk AS (SELECT *, rank() OVER (PARTITION BY year ORDER BY round(d, 10))
+          + (count(*) OVER (PARTITION BY year, round(d, 10)) - 1) / 2.0 AS r FROM mdm),
+mz AS (SELECT *, -(r - avg(r) OVER (PARTITION BY year)) / NULLIF(stddev_samp(r) OVER (PARTITION BY year), 0) AS alpha FROM mrk)"""
+
+
+def _labels(spark, sf):
+    return read(spark, sf, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
+
+
+def ml_alpha(spark, sf, c):
+    """Naive-Bayes quality probability of every filing as a yearly alpha."""
+    labels = _labels(spark, sf)
+    d = md.naive_bayes_probability(c.docs, c.counts, md.naive_bayes(c.counts, labels), md.class_priors(labels))
+    d = d.withColumn("year", F.trunc("date", "year")).withColumn("sentiment", F.lit("ml"))
+    return bw.sentiment_alpha(d, value="prob")
 
 
 @register("naive_bayes_counts", NB_SQL + """
-SELECT label, term, round(ln((n_tc + 1.0) / (n_c + 1.0 * V)), 8) AS log_prob FROM tc JOIN nc USING (label), vv""")
+SELECT label, term, round(lp, 8) AS log_prob FROM nb""")
 def naive_bayes_counts(spark, sf):
-    """Multinomial naive Bayes (alpha 1) term log-probabilities per
-    quality label, closed form over the labelled filings."""
-    c = Corpus(spark, sf)
-    labels = read(spark, sf, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
-    _, lp = md.naive_bayes_counts(c.counts, labels)
-    return lp.select("label", "term", r8("log_prob"))
+    """Multinomial naive Bayes (alpha 1) term log-probabilities of both
+    quality labels, closed form, all terms of the labelled filings."""
+    nb = md.naive_bayes(Corpus(spark, sf).counts, _labels(spark, sf))
+    both = F.explode(F.array(*[F.struct(F.lit(k).alias("label"), F.col(f"log_{k}").alias("lp")) for k in (0, 1)]))
+    return nb.select("term", both.alias("x")).select("x.label", "term", r8("x.lp", "log_prob"))
 
 
 @register("naive_bayes_prior", """
 SELECT quality AS label, round(ln(count(*) / sum(count(*)) OVER ()), 8) AS log_prior FROM labels GROUP BY quality""")
 def naive_bayes_prior(spark, sf):
     """Class log-priors."""
-    labels = read(spark, sf, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
+    return md.class_priors(_labels(spark, sf)).select("label", r8("log_prior"))
+
+
+@register("naive_bayes_probability", NB_SQL + """
+SELECT doc_id, round(prob, 6) AS prob, round(2 * prob - 1, 6) AS score FROM prob""")
+def naive_bayes_probability(spark, sf):
+    """Quality probability of every filing and the same as a score
+    from -1 to 1."""
     c = Corpus(spark, sf)
-    prior, _ = md.naive_bayes_counts(c.counts, labels)
-    return prior.select("label", r8("log_prior"))
+    labels = _labels(spark, sf)
+    d = md.naive_bayes_probability(c.docs, c.counts, md.naive_bayes(c.counts, labels), md.class_priors(labels))
+    return d.select("doc_id", r8("prob", d=6), r8(md.probability_score("prob"), "score", 6))
 
 
 def _split(spark, sf):
@@ -89,7 +125,7 @@ def forest_reg(spark, sf):
     """Random-forest regressor grid (depth 3/5), validation RMSE and
     direction accuracy per parameter set."""
     tr, va, _ = _split(spark, sf)
-    return md.regression_grid(tr, va, FEATS, "fwd_1", {"numTrees": [20], "maxDepth": [3, 5]}, "forest")
+    return md.regression_grid(tr, va, FEATS, "fwd_1", {"numTrees": [200], "maxDepth": [3, 5]}, "forest")
 
 
 @register("ridge_cv")
@@ -114,7 +150,7 @@ def ridge_cv(spark, sf):
 
 @register("voting_ensemble")
 def voting_ensemble(spark, sf):
-    """Non-overlapping voter: one forest per offset of every 3rd
+    """Non-overlapping voter: one forest per offset of every 5th
     session, class probabilities averaged; validation accuracy per setting."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import vector_to_array
@@ -125,12 +161,12 @@ def voting_ensemble(spark, sf):
     va = cut_lineage(va.select(*cols).withColumn("label", (F.col("fwd_1") > 0).cast("double")))
     rows = []
     for depth in (3, 5):
-        n_skip = 2
+        n_skip = 4
         probs = None
         vam = md.assemble(va, FEATS)
         for start in range(n_skip + 1):
             sub = md.assemble(tr.filter((F.col("session_idx") - start) % (n_skip + 1) == 0), FEATS)
-            m = RandomForestClassifier(numTrees=10, maxDepth=depth, seed=start, labelCol="label").fit(sub)
+            m = RandomForestClassifier(numTrees=50, maxDepth=depth, seed=start, labelCol="label").fit(sub)
             p = m.transform(vam).select("date", "asset", "label",
                                         vector_to_array("probability")[1].alias(f"p{start}"))
             probs = p if probs is None else probs.join(p.drop("label"), ["date", "asset"])
@@ -159,28 +195,21 @@ def logreg_grid(spark, sf):
     ev_ = BinaryClassificationEvaluator()
     out = []
     for l1 in (1.0, 0.0):
-        for cc in (1.0, 100.0):
+        for cc in (0.01, 0.1, 1.0, 10.0, 100.0):
             m = LogisticRegression(elasticNetParam=l1, regParam=1.0 / (cc * nt), fitIntercept=False,
-                                   standardization=False, maxIter=50).fit(train)
+                                   standardization=False, maxIter=1000 if l1 else 250).fit(train)
             auc = ev_.evaluate(m.transform(test))
             coef = m.coefficients.toArray()
             out.append(("l1" if l1 else "l2", float(cc), float(auc), float((coef == 0).mean())))
     return spark.createDataFrame(out, "penalty string, C double, test_auc double, share_zero double")
 
 
-@register("ml_sentiment_alpha")
+@register("ml_sentiment_alpha", NB_SQL + ML_ALPHA_SQL + """
+SELECT doc_id, year, round(alpha, 8) AS alpha FROM mz""")
 def ml_sentiment_alpha(spark, sf):
     """Naive-Bayes quality probability of every filing turned into a
     sector-neutral, ranked, z-scored alpha (D18) per year."""
-    c = Corpus(spark, sf)
-    labels = read(spark, sf, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
-    prior, lp = md.naive_bayes_counts(c.counts, labels)
-    lpw = lp.groupBy("term").pivot("label", [0, 1]).agg(F.first("log_prob"))
-    s = (c.counts.join(lpw, "term").groupBy("doc_id")
-         .agg(F.sum(F.col("tf") * (F.col("1") - F.col("0"))).alias("llr")))
-    d = c.docs.join(s, "doc_id").withColumn("year", F.trunc("date", "year")).withColumn("sentiment", F.lit("ml"))
-    a = bw.sentiment_alpha(d, value="llr")
-    return a.select("doc_id", "year", r8("alpha"))
+    return ml_alpha(spark, sf, Corpus(spark, sf)).select("doc_id", "year", r8("alpha"))
 
 
 @register("ml_factor_eval")
@@ -197,23 +226,66 @@ def ml_factor_eval(spark, sf):
     return sh.join(ic, "factor")
 
 
+FACTORS = ["alpha_momentum", "alpha_mean_reversion", "beta_0", "beta_1"]
+
+
+class Attribution:
+    """Exposures, delayed returns and factor returns of the two portfolios,
+    over the sessions that have a following one."""
+
+    def __init__(self, spark, sf):
+        from .q_portfolio import Book
+        from .q_risk import given_betas
+        b = Book(spark, sf)
+        ahead = b.cal.select((F.col("session_idx") - 1).alias("session_idx"))
+        self.w = b.w.join(ahead, "session_idx", "left_semi")
+        ex_b = self.w.select("date", "asset").distinct().join(given_betas(b.p), "asset").select(
+            "date", "asset", F.concat(F.lit("beta_"), F.col("k").cast("string")).alias("factor"),
+            F.col("beta").alias("x"))
+        ex_a = b.alpha.join(ahead, "session_idx", "left_semi").select(
+            "date", "asset", F.concat(F.lit("alpha_"), F.col("port_name")).alias("factor"),
+            F.col("alpha").alias("x")).distinct()
+        self.expo = ex_a.unionByName(ex_b)
+        self.rets = (b.rets.withColumn("session_idx", F.col("session_idx") - 1).join(b.cal, "session_idx")
+                     .select("date", "asset", "r").filter(F.col("r").isNotNull()))
+        f = at.factor_regression(self.expo, self.rets, FACTORS)
+        self.pnl = at.factor_pnl(self.w, self.expo, f)
+
+
 @register("pnl_attribution")
 def pnl_attribution(spark, sf):
-    """Q12 / Q14 / Q15: per-date regression of delayed returns on alpha and
-    beta exposures (pinv of K x K sums), then alpha / beta / idiosyncratic
-    PnL and running totals per portfolio."""
-    from .q_portfolio import Book
-    from .q_risk import given_betas
-    b = Book(spark, sf)
-    betas = given_betas(b.p)
-    dates = b.w.select("date", "asset").distinct()
-    ex_b = dates.join(betas, "asset").select("date", "asset", F.concat(F.lit("beta_"), F.col("k").cast("string"))
-                                             .alias("factor"), F.col("beta").alias("x"))
-    ex_a = b.alpha.select("date", "asset", F.concat(F.lit("alpha_"), F.col("port_name")).alias("factor"),
-                          F.col("alpha").alias("x")).distinct()
-    expo = ex_a.unionByName(ex_b)
-    rets = (b.rets.withColumn("session_idx", F.col("session_idx") - 1).join(b.cal, "session_idx")
-            .select("date", "asset", "r").filter(F.col("r").isNotNull()))
-    f = at.factor_regression(expo, rets)
-    comp = {"alpha_momentum": "alpha", "alpha_mean_reversion": "alpha", "beta_0": "beta", "beta_1": "beta"}
-    return at.attribution(b.w, expo, rets, f, comp)
+    """Q15: alpha / beta / idiosyncratic PnL and running totals per portfolio,
+    from a regression of delayed returns on alpha and beta exposures."""
+    a = Attribution(spark, sf)
+    return at.attribution(a.w, a.rets, a.pnl, {f: f.split("_")[0] for f in FACTORS})
+
+
+@register("pnl_by_factor")
+def pnl_by_factor(spark, sf):
+    """Q14: PnL of each factor exposure and its running total."""
+    return Attribution(spark, sf).pnl.select("port_name", "date", "factor", "exposure", "pnl", "cum_pnl")
+
+
+@register("alpha_merge", NB_SQL + ML_ALPHA_SQL + SCORE_CTE + """,
+sy AS (SELECT *, CAST(date_trunc('year', date) AS DATE) AS yr FROM scores WHERE sentiment = 'negative' AND score_scaled IS NOT NULL),
+sd AS (SELECT *, score_scaled - avg(score_scaled) OVER (PARTITION BY yr, lang) AS dv FROM sy),
+sr AS (SELECT *, rank() OVER (PARTITION BY yr ORDER BY round(dv, 10))
+         + (count(*) OVER (PARTITION BY yr, round(dv, 10)) - 1) / 2.0 AS rr FROM sd),
+sz AS (SELECT *, -(rr - avg(rr) OVER (PARTITION BY yr)) / NULLIF(stddev_samp(rr) OVER (PARTITION BY yr), 0) AS ra FROM sr),
+j AS (SELECT sz.yr AS year, sz.ticker, sz.date, sz.doc_id, ra, mz.alpha AS ma,
+        row_number() OVER (PARTITION BY sz.yr, sz.ticker ORDER BY sz.date DESC, sz.doc_id DESC) AS k
+      FROM sz LEFT JOIN mz USING (doc_id))
+SELECT year, ticker, doc_id, round(ra, 8) AS rule_alpha, round(ma, 8) AS ml_alpha FROM j WHERE k = 1""")
+def alpha_merge(spark, sf):
+    """Rule-based (negative list) and ML sentiment alphas of each filing
+    joined, then one row per (year, ticker) - the latest filing - kept with
+    ``max_by`` (no per-group sort)."""
+    c = Corpus(spark, sf)
+    s = bw.sentiment_scores(c.docs, c.tfidf()).withColumn("year", F.trunc("date", "year"))
+    rule = bw.sentiment_alpha(s.filter((F.col("sentiment") == "negative") & F.col("score_scaled").isNotNull())) \
+        .select("doc_id", "ticker", "year", "date", F.col("alpha").alias("rule_alpha"))
+    ml = ml_alpha(spark, sf, c).select("doc_id", F.col("alpha").alias("ml_alpha"))
+    j = rule.join(ml, "doc_id", "left")
+    return j.groupBy("year", "ticker").agg(
+        F.max_by(F.struct("doc_id", "rule_alpha", "ml_alpha"), F.struct("date", "doc_id")).alias("x")) \
+        .select("year", "ticker", "x.doc_id", r8("x.rule_alpha", "rule_alpha"), r8("x.ml_alpha", "ml_alpha"))

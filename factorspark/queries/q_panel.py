@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..registry import register
+from ..session import configure, small_dim
 from ..sources import panels
 from . import sqlkit as q
 from ..sources.tables import read
@@ -35,6 +36,11 @@ def calendar_index(spark, sf):
     return panels.calendar(pw(spark, sf))
 
 
+def shipped(start: str, end: str):
+    """Ship dates in [start, end), pushed into the scan; both are Mondays."""
+    return (F.col("l_shipdate") >= F.lit(start).cast("date")) & (F.col("l_shipdate") < F.lit(end).cast("date"))
+
+
 @register("price_slice", q.with_(q.PW) + """
 SELECT date, asset, round(close, 4) AS close FROM bars
 WHERE date > DATE '1996-01-01' AND date <= DATE '1997-06-30'
@@ -45,19 +51,22 @@ def price_slice(spark, sf):
     from ..sources.tables import read
     assets = read(spark, sf, "supplier", "s_suppkey", "s_acctbal").filter("s_acctbal > 0") \
         .select(F.col("s_suppkey").alias("asset"))
-    out = panels.price_slice(pw(spark, sf), assets, "1996-01-01", "1997-06-30")
+    configure(spark)
+    # sessions are Mondays: those in (1996-01-01, 1997-06-30] are whole weeks of ship dates
+    weeks = shipped("1996-01-08", "1997-07-07")
+    out = panels.price_slice(panels.weekly_supplier_bars(spark, sf, weeks, assets), assets, "1996-01-01", "1997-06-30")
     return out.select("date", "asset", r8("close", d=4))
 
 
 @register("sector_lookup", """
 SELECT c_custkey AS asset, coalesce(CAST(n.n_regionkey AS INTEGER), -1) AS sector_code
-FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_regionkey < 3""")
+FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""")
 def sector_lookup(spark, sf):
-    """Sector code per customer; -1 outside the covered regions (0-2)."""
+    """Sector code per customer; -1 if it has no known nation."""
     from ..sources.tables import read
     cust = read(spark, sf, "customer", "c_custkey", "c_nationkey")
-    nat = read(spark, sf, "nation", "n_nationkey", "n_regionkey").filter("n_regionkey < 3")
-    sectors = cust.join(F.broadcast(nat), cust.c_nationkey == nat.n_nationkey) \
+    nat = read(spark, sf, "nation", "n_nationkey", "n_regionkey")
+    sectors = cust.join(small_dim(nat, 1000), cust.c_nationkey == nat.n_nationkey) \
         .select(F.col("c_custkey").alias("asset"), F.col("n_regionkey").cast("int").alias("sector_code"))
     assets = cust.select(F.col("c_custkey").alias("asset"))
     return panels.sector_lookup(assets, sectors)
@@ -148,9 +157,10 @@ UNION ALL SELECT asset, 'only_first' FROM (SELECT asset FROM a EXCEPT SELECT ass
 def asset_key_sets(spark, sf):
     """Assets trading in both 1995 and 2001 (intersection) and
     those of 1995 missing in 2001 (difference / anti-join report)."""
-    p = pw(spark, sf)
-    a = p.filter(F.year("date") == 1995).select("asset").distinct()
-    b = p.filter(F.year("date") == 2001).select("asset").distinct()
+    configure(spark)
+    # the Mondays of 1995 and of 2001 with the weeks they begin
+    a = panels.weekly_supplier_bars(spark, sf, shipped("1995-01-02", "1996-01-01")).select("asset").distinct()
+    b = panels.weekly_supplier_bars(spark, sf, shipped("2001-01-01", "2002-01-07")).select("asset").distinct()
     return (a.intersect(b).withColumn("key_set", F.lit("both"))
             .unionByName(a.join(b, "asset", "left_anti").withColumn("key_set", F.lit("only_first"))))
 

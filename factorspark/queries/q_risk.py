@@ -133,56 +133,67 @@ def constraint_audit(spark, sf):
     return a.select("port_name", "date", "check_name", r8("value", d=6), r8("bound", d=6), "ok")
 
 
-# ------------------------------------------------------------------ PCA (rows-only)
+# ------------------------------------------------------------------ PCA
 
-def _pca(spark, sf, k=3):
+COMPONENTS, GRID = 20, (3, 5, 10, 20)
+
+
+def _pca(spark, sf):
     m = RiskModel(spark, sf)
-    vec, assets = rk.return_vectors(m.rets)
-    model = rk.fit_pca(vec, k)
-    return m, model, assets
+    return m, rk.DualPca(m.rets, COMPONENTS)
 
 
 @register("pca_betas")
 def pca_betas(spark, sf):
-    """PCA loadings (3 components) of the weekly return vectors,
+    """PCA loadings (20 components) of the weekly returns,
     sign-fixed, as (asset, k, beta)."""
-    m, model, assets = _pca(spark, sf)
-    return rk.pca_betas(spark, model, assets)
+    return _pca(spark, sf)[1].betas()
 
 
 @register("pca_factor_returns")
 def pca_factor_returns(spark, sf):
     """Factor returns = centred returns projected on the loadings."""
-    m, model, assets = _pca(spark, sf)
-    return rk.pca_factor_returns(m.rets, rk.pca_betas(spark, model, assets))
+    m, pca = _pca(spark, sf)
+    return rk.pca_factor_returns(m.rets, pca.betas())
+
+
+@register("pca_variance_total", RISK_SQL + """,
+v AS (SELECT date, asset, y - avg(y) OVER (PARTITION BY asset) AS c FROM grid),
+n AS (SELECT count(DISTINCT date) AS t FROM grid)
+SELECT round(sum(c * c) / (SELECT t - 1 FROM n), 6) AS total_variance, round(1.0, 6) AS norm FROM v""")
+def pca_variance_total(spark, sf):
+    """R2 checked in SQL: the components' variances add up to the returns'
+    total variance, and the mean squared norm of the loadings is 1."""
+    m, pca = _pca(spark, sf)
+    norm = pca.betas().groupBy("k").agg(F.sum(F.col("beta") ** 2).alias("n"))
+    return norm.agg(F.avg("n").alias("norm")).select(
+        r8(F.lit(pca.total), "total_variance", 6), r8("norm", d=6))
 
 
 @register("pca_top_loadings")
 def pca_top_loadings(spark, sf):
     """Explained-variance ratio of each component and the 10 assets with
-    the lowest PC1 loadings (top-k report)."""
-    m, model, assets = _pca(spark, sf)
-    b = rk.pca_betas(spark, model, assets).filter("k = 0")
-    low = b.orderBy("beta", "asset").limit(10)
-    ev = spark.createDataFrame([(int(i), float(v)) for i, v in enumerate(model.explainedVariance.toArray())],
+    its lowest loadings (top-k report)."""
+    from pyspark.sql import Window
+    m, pca = _pca(spark, sf)
+    ev = spark.createDataFrame([(i, float(v / pca.total)) for i, v in enumerate(pca.variance)],
                                "k int, explained_variance_ratio double")
-    return low.join(F.broadcast(ev), "k")
+    low = pca.betas().withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy("beta", "asset")))
+    return low.filter("rank <= 10").join(F.broadcast(ev), "k")
 
 
 @register("pca_expvar_grid")
 def pca_expvar_grid(spark, sf):
-    """Cumulative explained variance for k in (1, 2, 3, 5) on three
-    expanding date folds (one eigen-decomposition per fold)."""
+    """Variance explained by the first k components, k in (3, 5, 10, 20),
+    and its share of the total, on three expanding date folds."""
     from ..plans.features import time_folds
     m = RiskModel(spark, sf)
     folds = time_folds(m.rets, 3).filter("role = 'train'")
     rows = []
-    grid = (1, 2, 3, 5)
     for fold in range(3):
-        r = m.rets.join(folds.filter(F.col("fold") == fold).select("date"), "date", "left_semi")
-        vec, assets = rk.return_vectors(r)
-        model = rk.fit_pca(vec, max(grid))
-        ratios = model.explainedVariance.toArray()
-        for kk in grid:
-            rows.append((fold, kk, float(ratios[:kk].sum())))
-    return spark.createDataFrame(rows, "fold int, k int, cum_explained_variance double")
+        own = m.rets.join(folds.filter(F.col("fold") == fold).select("date"), "date", "left_semi")
+        pca = rk.DualPca(cut_lineage(own), max(GRID))
+        for k in GRID:
+            v = float(pca.variance[:k].sum())
+            rows.append((fold, k, v, v / pca.total))
+    return spark.createDataFrame(rows, "fold int, k int, cum_explained_variance double, share double")

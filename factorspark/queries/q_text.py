@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+from html.entities import name2codepoint
+
 from pyspark.sql import functions as F
 
 from ..functions import stats
@@ -64,9 +67,13 @@ secs AS (SELECT p.ticker, p.date, p.doc_id, p.item, substring(m.body, p.end_pos
 def _strip(x):
     s = (f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({x}, '(?is)<script[^>]*>.*?</script\\s*>', ' ', 'g'), "
          f"'(?is)<style[^>]*>.*?</style\\s*>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g')")
-    for ent, ch in (("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&gt;", ">"),
-                    ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
-        s = f"replace({s}, '{ent}', '{ch}')"
+    names = ", ".join(f"'{k}': chr({c})" for k, c in name2codepoint.items())
+    code = "CASE WHEN e[2:2] = 'x' THEN CAST('0x' || e[3:] AS BIGINT) ELSE CAST(e[2:] AS BIGINT) END"
+    e = (f"CASE WHEN e[1:1] = '#' THEN chr(CAST({code} AS INTEGER)) "
+         f"ELSE coalesce(map_extract(MAP {{{names}}}, e)[1], '&' || e || ';') END")
+    s = (f"array_to_string(list_transform(list_zip(string_split_regex({s}, '{tx.ENTITY}'), list_transform("
+         f"regexp_extract_all({s}, '{tx.ENTITY}', 1), lambda e: {e})), lambda z: z[1] || coalesce(z[2], '')), '')")
+    s = f"replace({s}, chr(160), ' ')"
     return f"lower(trim(regexp_replace({s}, '\\s+', ' ', 'g')))"
 
 
@@ -76,7 +83,7 @@ def _filings(spark, sf):
 
 
 def _main(spark, sf):
-    return sc.main_documents(sc.split_documents(_filings(spark, sf)))
+    return sc.main_documents(_filings(spark, sf))
 
 
 @register("document_split", "WITH " + RAW + "\nSELECT doc_id, doc_pos, doc_type, length(body) AS body_len FROM dtyped")
@@ -100,8 +107,7 @@ SELECT doc_id, item, length(section) AS n_chars, md5(section) AS section_md5,
   {_strip('section')} AS clean FROM secs""")
 def section_text(spark, sf):
     """Section slices and their cleaned (HTML-stripped) text."""
-    m = _main(spark, sf)
-    s = sc.section_text(m, sc.section_positions(m))
+    s = sc.section_text(_main(spark, sf))
     return s.select("doc_id", "item", F.length("section").cast("bigint").alias("n_chars"),
                     F.md5("section").alias("section_md5"), tx.strip_html("section").alias("clean"))
 
@@ -111,9 +117,7 @@ cl AS (SELECT ticker, date, doc_id, item, {_strip('section')} AS clean FROM secs
 SELECT doc_id, string_agg(clean, ' ' ORDER BY item, clean) AS text FROM cl GROUP BY ticker, date, doc_id""")
 def clean_filing(spark, sf):
     """Cleaned risk sections of each filing concatenated in item order."""
-    m = _main(spark, sf)
-    c = sc.clean_sections(sc.section_text(m, sc.section_positions(m)))
-    return c.select("doc_id", "text")
+    return sc.clean_filing(_main(spark, sf)).select("doc_id", "text")
 
 
 @register("html_clean", f"SELECT page_id, {_strip('html')} AS text FROM pages")
@@ -253,19 +257,16 @@ class Corpus:
         self.counts = bw.normalised_counts(raw, self.lemmas)
         self.lex = bw.normalised_lexicon(st.lexicon(spark, sf, raw.select("term")), self.lemmas)
         self.n = self.docs.agg(F.count(F.lit(1)).alias("n"))
-        self._tf = None
 
-    def tfidf(self, lex=None):
-        if lex is not None:
-            return bw.tfidf(self.counts, lex, self.n)
-        if self._tf is None:   # reused by scores, similarity and models
-            self._tf = cut_lineage(bw.tfidf(self.counts, self.lex, self.n))
-        return self._tf
+    def tfidf(self, lex=None, again=False):
+        """The tf-idf table; written first if a job reads it ``again``."""
+        t = bw.tfidf(self.counts, self.lex if lex is None else lex, self.n)
+        return cut_lineage(t) if again else t
 
     def pairs(self):
-        d = self.docs.withColumn("ord", F.datediff("date", F.lit("1970-01-01").cast("date")).cast("long")
-                                 * 100000000000 + F.col("doc_id"))
-        return bw.pairs(d)
+        # (date, doc_id) as one number: any doc_id of 64 bits stays below 10**19
+        days = F.datediff("date", F.lit("1970-01-01").cast("date")).cast("decimal(10,0)")
+        return bw.pairs(self.docs.withColumn("ord", days * F.lit(Decimal(10 ** 19)) + F.col("doc_id").cast("decimal(19,0)")))
 
 
 @register("lemmas", TF_SQL + "\nSELECT word, lemma FROM lem")
@@ -326,14 +327,11 @@ first_s AS (SELECT word, arg_min(sentiment, list_position({SENTS}, sentiment)) A
 SELECT sentiment, count(*) AS removed FROM lex JOIN first_s USING (word) WHERE sentiment <> first GROUP BY sentiment""")
 def lexicon_overlap(spark, sf):
     """Words removed from each list by the first-list-wins merge."""
-    c = Corpus(spark, sf)
-    _, removed = bw.combined(c.tfidf(), c.lex)
-    return removed
+    return bw.overlap(Corpus(spark, sf).lex)
 
 
 PAIRS = """,
-ords AS (SELECT ticker, doc_id, CAST(date - DATE '1970-01-01' AS BIGINT) * 100000000000 + doc_id AS ord FROM docs),
-pr AS (SELECT ticker, lag(doc_id) OVER (PARTITION BY ticker ORDER BY ord) AS doc_a, doc_id AS doc_b FROM ords
+pr AS (SELECT ticker, lag(doc_id) OVER (PARTITION BY ticker ORDER BY date, doc_id) AS doc_a, doc_id AS doc_b FROM docs
        QUALIFY doc_a IS NOT NULL),
 prs AS (SELECT pr.*, unnest(""" + SENTS + """) AS sentiment FROM pr)"""
 
@@ -366,16 +364,17 @@ LEFT JOIN nr nb ON nb.doc_id = p.doc_b AND nb.sentiment = p.sentiment""")
 def cosine_neighbours(spark, sf):
     """Cosine similarity of consecutive filings' tf-idf rows, per list."""
     c = Corpus(spark, sf)
-    j = bw.cosine(c.tfidf(), c.pairs())
+    j = bw.cosine(c.tfidf(again=True), c.pairs())
     return j.select("ticker", "doc_a", "doc_b", "sentiment", r8("cosine"))
 
 
-SCORE = TF_SQL + f""",
+SCORE_CTE = f""",
 base AS (SELECT doc_id, ticker, date, lang, len(regexp_extract_all(text, '{W1}', 1)) AS doc_len,
            unnest({SENTS}) AS sentiment FROM docs),
 ss AS (SELECT doc_id, sentiment, sum(tfidf) AS score FROM tfidf GROUP BY ALL),
 scores AS (SELECT b.*, coalesce(s.score, 0) AS score, coalesce(s.score, 0) / NULLIF(doc_len, 0) AS score_scaled
            FROM base b LEFT JOIN ss s USING (doc_id, sentiment))"""
+SCORE = TF_SQL + SCORE_CTE
 
 
 @register("sentiment_score", SCORE + """
@@ -393,7 +392,7 @@ FROM pr p JOIN scores a ON a.doc_id = p.doc_a JOIN scores b ON b.doc_id = p.doc_
 def sentiment_change(spark, sf):
     """Change of a filing's score against the ticker's previous filing."""
     c = Corpus(spark, sf)
-    s = bw.sentiment_scores(c.docs, c.tfidf())
+    s = bw.sentiment_scores(c.docs, c.tfidf(again=True))
     pr = c.pairs()
     a = s.select(F.col("doc_id").alias("doc_a"), "sentiment", F.col("score").alias("sa"))
     b = s.select(F.col("doc_id").alias("doc_b"), "sentiment", F.col("score").alias("sb"))
@@ -455,7 +454,7 @@ def phrases_npmi(spark, sf):
     return ng.detect_phrases(s, 5, 0.3).select("a", "b", "count", r8("score"))
 
 
-@register("phrases_applied", NG + """,
+APPLIED = NG + """,
 acc AS (SELECT a, b FROM ph WHERE score > 0.3),
 fl AS (SELECT g.doc_id, g.sent_id, g.i, g.tokens, (acc.a IS NOT NULL) AS hit FROM bg g
        LEFT JOIN acc ON acc.a = g.tokens[g.i + 1] AND acc.b = g.tokens[g.i + 2]),
@@ -468,7 +467,10 @@ out AS (SELECT tk.doc_id, tk.sent_id, tk.j,
           CASE WHEN a.i IS NOT NULL THEN tokens[j + 1] || '_' || tokens[j + 2] ELSE tokens[j + 1] END AS tok,
           (b.i IS NOT NULL) AS dropped
         FROM tk LEFT JOIN st_ a ON a.doc_id = tk.doc_id AND a.sent_id = tk.sent_id AND a.i = tk.j
-        LEFT JOIN st_ b ON b.doc_id = tk.doc_id AND b.sent_id = tk.sent_id AND b.i = tk.j - 1)
+        LEFT JOIN st_ b ON b.doc_id = tk.doc_id AND b.sent_id = tk.sent_id AND b.i = tk.j - 1)"""
+
+
+@register("phrases_applied", APPLIED + """
 SELECT doc_id, sent_id, string_agg(tok, ' ' ORDER BY j) AS tokens FROM out WHERE NOT dropped GROUP BY ALL""")
 def phrases_applied(spark, sf):
     """Accepted bigrams merged greedily left to right in every sentence."""
@@ -479,13 +481,24 @@ def phrases_applied(spark, sf):
                       F.array_join("tokens", " ").alias("tokens"))
 
 
-@register("phrase_catalogue")
+@register("phrase_catalogue", APPLIED + """,
+m5 AS (SELECT doc_id, sent_id, list(tok ORDER BY j) AS tokens FROM out WHERE NOT dropped GROUP BY ALL),
+u2 AS (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM m5) GROUP BY token),
+t2 AS (SELECT sum(n) AS total FROM u2),
+g2 AS (SELECT tokens[i + 1] AS a, tokens[i + 2] AS b, count(*) AS count FROM (
+         SELECT unnest(range(0, len(tokens) - 1)) AS i, tokens FROM m5 WHERE len(tokens) > 1) GROUP BY ALL HAVING count(*) >= 5),
+p2 AS (SELECT a, b, count, ln((count / total) / ((ua.n / total) * (ub.n / total))) / (-ln(count / total)) AS score
+       FROM g2 JOIN u2 ua ON ua.token = a JOIN u2 ub ON ub.token = b, t2),
+both_ AS (SELECT a, b, score, count, 2 AS length FROM ph WHERE score > 0.3
+          UNION ALL SELECT a, b, score, count, 3 FROM p2 WHERE score > 0.3)
+SELECT replace(a, '_', ' ') || ' ' || replace(b, '_', ' ') AS phrase, round(score, 8) AS score, count,
+  CAST(length AS INTEGER) AS length, replace(replace(a, '_', ' ') || ' ' || replace(b, '_', ' '), ' ', '_') AS ngram FROM both_""")
 def phrase_catalogue(spark, sf):
     """Two detection passes (phrases up to three words) with
     blank and underscore spellings, score and length."""
     configure(spark)
     s = ng.sentence_table(st.documents(spark, sf), min_tokens=5)
-    return ng.phrase_passes(s, 3, 5, 0.3)
+    return ng.phrase_passes(s, 3, 5, 0.3).select("phrase", r8("score"), "count", "length", "ngram")
 
 
 @register("label_by_membership", TF_SQL + f"""
@@ -544,28 +557,3 @@ def filing_returns(spark, sf):
          .join(small_dim(nx, panels.CALENDAR_BOUND), "date", "left")
          .join(f5, ["asset", "next_idx"], "left"))
     return d.select("doc_id", "doc_len", r8("fwd_1y"), r8("fwd_5"))
-
-
-@register("alpha_merge")
-def alpha_merge(spark, sf):
-    """Rule-based (negative list) and ML sentiment alphas of each filing
-    joined, then one row per (year, ticker) - the latest filing - kept with
-    ``max_by`` (no per-group sort)."""
-    from pyspark.sql import functions as G
-    from ..plans import models as md
-    c = Corpus(spark, sf)
-    s = bw.sentiment_scores(c.docs, c.tfidf()).withColumn("year", F.trunc("date", "year"))
-    rule = bw.sentiment_alpha(s.filter(F.col("score_scaled").isNotNull())).filter("sentiment = 'negative'") \
-        .select("doc_id", "ticker", "year", "date", G.col("alpha").alias("rule_alpha"))
-    labels = read(spark, sf, "labels", "doc_id", "quality").withColumnRenamed("quality", "label")
-    _, lp = md.naive_bayes_counts(c.counts, labels)
-    lpw = lp.groupBy("term").pivot("label", [0, 1]).agg(F.first("log_prob"))
-    llr = (c.counts.join(lpw, "term").groupBy("doc_id")
-           .agg(F.sum(F.col("tf") * (F.col("1") - F.col("0"))).alias("llr")))
-    ml = bw.sentiment_alpha(c.docs.join(llr, "doc_id").withColumn("year", F.trunc("date", "year"))
-                            .withColumn("sentiment", F.lit("ml")), value="llr") \
-        .select("doc_id", G.col("alpha").alias("ml_alpha"))
-    j = rule.join(ml, "doc_id", "left")
-    return j.groupBy("year", "ticker").agg(
-        F.max_by(F.struct("date", "doc_id", "rule_alpha", "ml_alpha"), F.struct("date", "doc_id")).alias("x")) \
-        .select("year", "ticker", "x.doc_id", "x.rule_alpha", "x.ml_alpha")

@@ -80,27 +80,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def small_dim(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint for a dimension whose row count is bounded by
-    construction (``max_rows`` states the bound, e.g. 25 nations).  Data-sized
-    sides are never hinted; AQE measures them and picks the join."""
-    del max_rows  # documented bound; the table is fixed-size by definition
-    return F.broadcast(df)
+    """Broadcast hint for a dimension that ``max_rows`` bounds: the rows are
+    counted, up to one more than that, and a larger table keeps the join that
+    Spark picks for it."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def rnd(c: Column | str, digits: int = 8) -> Column:
     """Round for oracle comparison (same half-up rule in Spark and DuckDB)."""
     c = F.col(c) if isinstance(c, str) else c
     return F.round(c, digits)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan that yields fewer partitions than the cluster has
-    cores (a few large row groups of text); on a big input the scan already
-    has thousands of splits and this is a no-op."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores)
-    except Exception:  # noqa: BLE001 - no RDD API (Spark Connect): keep the scan
-        pass
-    return df

@@ -12,7 +12,7 @@ Everything downstream takes any DataFrame of that schema.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import nan_to_null, small_dim
@@ -32,9 +32,16 @@ def require_panel(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
-def weekly_supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weekly_supplier_bars(spark: SparkSession, sf_dir: str, weeks: Column | None = None,
+                         assets: DataFrame | None = None) -> DataFrame:
+    """Weekly bars; ``weeks`` (a condition on ``l_shipdate`` that keeps or
+    drops weeks, Monday to Sunday, whole) and ``assets`` reach the scan."""
     li = read(spark, sf_dir, "lineitem", "l_suppkey", "l_shipdate",
               "l_extendedprice", "l_quantity")
+    if weeks is not None:
+        li = li.filter(weeks)
+    if assets is not None:
+        li = li.join(assets.select(F.col("asset").alias("l_suppkey")), "l_suppkey", "left_semi")
     # partial aggregation map-side: a hot supplier collapses to one row per day
     daily = (li.groupBy(F.col("l_suppkey").alias("asset"),
                         F.col("l_shipdate").cast("date").alias("d"))

@@ -22,11 +22,9 @@ def _process(batch: DataFrame, out_dir: str, epoch: int) -> None:
     """One micro-batch; output goes to a folder named after the batch id and
     is overwritten, so a batch replayed after a failure replaces its own
     output instead of appending a second copy (idempotent sink)."""
-    main = sc.main_documents(sc.split_documents(batch))
-    pos = sc.section_positions(main)
-    clean = sc.clean_sections(sc.section_text(main, pos))
-    clean.write.mode("overwrite").parquet(f"{out_dir}/sections/batch={epoch}")
-    pos.write.mode("overwrite").parquet(f"{out_dir}/audit/batch={epoch}")
+    main = sc.main_documents(batch)
+    sc.clean_filing(main).write.mode("overwrite").parquet(f"{out_dir}/sections/batch={epoch}")
+    sc.section_positions(main).write.mode("overwrite").parquet(f"{out_dir}/audit/batch={epoch}")
 
 
 def ingest(spark: SparkSession, landing: str, out_dir: str, checkpoint: str) -> int:

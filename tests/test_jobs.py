@@ -12,16 +12,63 @@ def test_pnl_attribution_reconciles(spark):
     tot = E.queries()["weights_pnl_join"](spark, SF0)
     s = a.groupBy("port_name", "date").agg(F.sum("pnl").alias("s"))
     t = tot.groupBy("port_name", "date").agg(F.sum("asset_pnl").alias("t"))
-    j = s.join(t, ["port_name", "date"]).collect()
-    assert j and all(abs(r.s - r.t) < 1e-6 for r in j)
+    j = s.join(t, ["port_name", "date"], "full_outer").collect()
+    assert j and all(r.s is not None and r.t is not None and abs(r.s - r.t) < 1e-6 for r in j)
+    f = E.queries()["pnl_by_factor"](spark, SF0).groupBy("port_name", "date").agg(F.sum("pnl").alias("f"))
+    k = f.join(a.filter("component <> 'idiosyncratic'").groupBy("port_name", "date").agg(F.sum("pnl").alias("c")),
+               ["port_name", "date"], "full_outer").collect()
+    assert k and all(abs(r.f - r.c) < 1e-6 for r in k)
 
 
 def test_pca_loadings_orthonormal(spark):
     b = E.queries()["pca_betas"](spark, SF0).toPandas()
     m = b.pivot(index="asset", columns="k", values="beta").fillna(0).values
     assert np.allclose(m.T @ m, np.eye(m.shape[1]), atol=1e-8)
-    ev = E.queries()["pca_top_loadings"](spark, SF0).select("explained_variance_ratio").first()[0]
-    assert 0 < ev <= 1
+    low = E.queries()["pca_top_loadings"](spark, SF0).toPandas()
+    share = low.groupby("k").explained_variance_ratio.first()
+    assert (share > 0).all() and share.sum() <= 1 + 1e-9 and (share.diff().dropna() <= 1e-12).all()
+    grid = E.queries()["pca_expvar_grid"](spark, SF0).toPandas()
+    assert (grid.groupby("fold").cum_explained_variance.diff().dropna() >= 0).all() and (grid.share <= 1 + 1e-9).all()
+
+
+def test_dual_pca_equals_the_covariance_matrix(spark):
+    import datetime
+    from factorspark.plans import risk
+    r = np.random.default_rng(0).normal(size=(12, 40))
+    day = lambda i: datetime.date(2020, 1, 1) + datetime.timedelta(i)
+    rets = spark.createDataFrame([(day(t), a, float(r[t, a])) for t in range(12) for a in range(40)
+                                  if (t + a) % 7], "date date, asset long, r double")
+    full = np.where(np.add.outer(np.arange(12), np.arange(40)) % 7, r, 0.0)
+    values = np.linalg.eigvalsh(np.cov(full.T))[::-1]
+    pca = risk.DualPca(rets, 20)
+    assert pca.k == 11 and np.allclose(pca.variance, values[:11]) and np.isclose(pca.total, values.sum())
+    b = pca.betas().toPandas().pivot(index="asset", columns="k", values="beta").fillna(0).values
+    assert np.allclose(b.T @ np.cov(full.T) @ b, np.diag(values[:11]), atol=1e-10)
+
+
+def test_small_column_tools(spark):
+    from factorspark.functions import columns as co
+    from factorspark.functions.text import decode_entities
+    d = spark.createDataFrame([("2024-03-10 03:30:00", 1)], "ts string, k int").withColumn("ts", F.col("ts").cast("timestamp"))
+    x = d.select(co.local_date("ts", "America/New_York").cast("string").alias("day"),
+                 co.replace_values("k", {2: 5}).alias("k")).first()
+    assert (x.day, x.k) == ("2024-03-09", 1)
+    e = spark.createDataFrame([("a&lt;b&#233;&#xE9;&eacute;&nope;&#160;c&amp;lt; &#1114112;",)], "t string")
+    assert e.select(decode_entities("t")).first()[0] == "a<b\u00e9\u00e9\u00e9&nope; c&lt; \ufffd"
+
+
+def test_naive_bayes_by_hand(spark):
+    from factorspark.plans import models as md
+    counts = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (2, "b", 1), (3, "c", 4), (4, "zz", 1)],
+                                   "doc_id long, term string, tf long")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, label int")
+    nb = {r.term: (r.log_0, r.log_1) for r in md.naive_bayes(counts, labels).collect()}
+    assert set(nb) == {"a", "b", "c"}                          # class 0 has 5 tokens, class 1 has 3, V = 3
+    assert np.allclose(nb["a"], np.log([1 / 8, 3 / 6])) and np.allclose(nb["c"], np.log([5 / 8, 1 / 6]))
+    p = {r.doc_id: r.prob for r in md.naive_bayes_probability(
+        counts.select("doc_id").distinct(), counts, md.naive_bayes(counts, labels), md.class_priors(labels)).collect()}
+    odds = 0.5 * (4 ** 2) * ((2 / 6) / (2 / 8))
+    assert np.isclose(p[4], 1 / 3) and np.isclose(p[1], odds / (1 + odds))
 
 
 def test_incremental_rerun_adds_nothing(spark):
@@ -45,7 +92,7 @@ def test_phrase_merge_is_greedy(spark):
 
 
 def test_rows_only_jobs_run(spark):
-    for n in ["var_kde", "forest_reg", "ml_sentiment_alpha", "phrase_catalogue"]:
+    for n in ["var_kde", "forest_reg", "phrase_catalogue"]:
         assert E.queries()[n](spark, SF0).count() > 0, n
 
 
