@@ -14,7 +14,7 @@ M5 - mean reversion negates the final z-score; z-scores are population.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,7 +49,6 @@ class FactorConfig:
     restamp: bool = True           # M1
     screen: bool = True            # keep only universe rows in the output
     sector_col: str = "sector_code"
-    extra: dict = field(default_factory=dict)
 
 
 def universe_columns(cfg: FactorConfig) -> dict:
@@ -236,14 +235,6 @@ def binned_alpha(df: DataFrame, col: str, bins: int, out: str | None = None,
     return d.withColumn(out, xs.zscore(F.col(f"{out}_bin").cast("double"), by, ddof=1))
 
 
-def sentiment_alpha(df: DataFrame, score: str, date: str = "date",
-                    sector: str = "sector_code", out: str = "alpha") -> DataFrame:
-    """Sector de-mean -> average-tie rank per date -> sample z-score."""
-    d = df.repartition(date).withColumn("_dm", xs.demean(score, [date, sector]))
-    d = d.withColumn("_rk", xs.rank_average("_dm", date))
-    return d.withColumn(out, xs.zscore("_rk", date, ddof=1)).drop("_dm", "_rk")
-
-
 def stepwise_one_day(bars: DataFrame, smooth: int = 5, sector: str = "sector_code") -> DataFrame:
     """The 1-session return chain keeping every stage as a column."""
     p = with_session(bars).withColumn("raw", ts.returns("close", 2))

@@ -14,6 +14,8 @@ from ..session import small_dim
 from ..sources.panels import CALENDAR_BOUND
 
 COST_SCALE = 0.1
+# The reference's cost and book constants (ADV floor, cost factor
+# 0.1, side labels, weight bound 0.55).
 ADV_FLOOR = 1e4
 
 

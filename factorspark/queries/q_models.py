@@ -212,7 +212,24 @@ def ml_sentiment_alpha(spark, sf):
     return ml_alpha(spark, sf, Corpus(spark, sf)).select("doc_id", "year", r8("alpha"))
 
 
-@register("ml_factor_eval")
+@register("ml_factor_eval", sql_factor_panel(FEATS + ["overnight_sentiment"], fwd_periods=(1,)) + """,
+v AS (SELECT momentum AS x1, mean_reversion AS x2, fwd_1 AS y FROM fp
+      WHERE momentum IS NOT NULL AND mean_reversion IS NOT NULL AND fwd_1 IS NOT NULL),
+s AS (SELECT sum(x1 * x1) + 1.0 AS a, sum(x1 * x2) AS b, sum(x2 * x2) + 1.0 AS d, sum(x1 * y) AS c1,
+             sum(x2 * y) AS c2 FROM v),
+beta AS (SELECT (d * c1 - b * c2) / (a * d - b * b) AS b1, (a * c2 - b * c1) / (a * d - b * b) AS b2 FROM s),
+fd AS (SELECT date, asset, coalesce(momentum, 0) * b1 + coalesce(mean_reversion, 0) * b2 AS value, fwd_1 FROM fp, beta
+       WHERE fwd_1 IS NOT NULL),
+dm AS (SELECT *, value - avg(value) OVER (PARTITION BY date) AS dv FROM fd),
+wt AS (SELECT *, dv / NULLIF(sum(abs(dv)) OVER (PARTITION BY date), 0) AS w FROM dm),
+fr AS (SELECT date, sum(w * fwd_1) AS r FROM wt GROUP BY date),
+rk AS (SELECT date, rank() OVER (PARTITION BY date ORDER BY round(value, 10))
+         + (count(*) OVER (PARTITION BY date, round(value, 10)) - 1) / 2.0 AS rv,
+       rank() OVER (PARTITION BY date ORDER BY round(fwd_1, 10))
+         + (count(*) OVER (PARTITION BY date, round(fwd_1, 10)) - 1) / 2.0 AS rf FROM fd),
+ic AS (SELECT date, CASE WHEN isnan(corr(rv, rf)) THEN NULL ELSE corr(rv, rf) END AS ic FROM rk GROUP BY date)
+SELECT 'ml_factor' AS factor, round((SELECT avg(r) / NULLIF(stddev_samp(r), 0) * sqrt(52.0) FROM fr), 8) AS sharpe,
+  round((SELECT avg(ic) FROM ic), 8) AS mean_ic""")
 def ml_factor_eval(spark, sf):
     """Ridge predictions as an ML factor, evaluated like any factor:
     factor returns, annualised Sharpe and mean rank IC."""
@@ -223,7 +240,7 @@ def ml_factor_eval(spark, sf):
     fr = ev.factor_returns(fd, 1)
     sh = ev.sharpe(fr, "factor_return", "factor", "weekly")
     ic = ev.rank_ic(fd, 1).groupBy("factor").agg(F.avg("ic").alias("mean_ic"))
-    return sh.join(ic, "factor")
+    return sh.join(ic, "factor").select("factor", r8("sharpe"), r8("mean_ic"))
 
 
 FACTORS = ["alpha_momentum", "alpha_mean_reversion", "beta_0", "beta_1"]

@@ -13,11 +13,20 @@ from .text import SENTIMENTS
 def read_filings_text(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """One row per file (whole text) keyed by its name
     ``{ticker}_{type}_{yyyymmdd}.ext``."""
-    d = (spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+    d = (spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
          .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
     return file_key(d)
 
 
+def read_filings_by_number(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
+    """One row per file keyed by its integer stem (``123.txt``); files
+    with another stem have no number and are left out."""
+    d = (spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
+         .select(F.regexp_extract("_metadata.file_name", r"^(\d+)\.[^.]+$", 1).alias("stem"),
+                 F.col("value").alias("text")))
+    return d.filter("stem <> ''").select(F.col("stem").cast("long").alias("number"), "text")
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: str, cols: list[str] | None = None,
                    date_cols: tuple[str, ...] = ()) -> DataFrame:
     """Header CSV (one file, a folder or a glob) with an explicit

@@ -21,17 +21,6 @@ from .tables import read
 BARS_COLS = ("date", "asset", "open", "close", "volume", "sector_code")
 
 
-def require_panel(df: DataFrame, *cols: str) -> DataFrame:
-    """Schema guard: a panel is keyed (date, asset) with a DATE date."""
-    names = set(df.columns)
-    missing = [c for c in ("date", "asset", *cols) if c not in names]
-    if missing:
-        raise ValueError(f"panel lacks columns {missing}")
-    if df.schema["date"].dataType.typeName() != "date":
-        raise TypeError("panel column 'date' must be DATE")
-    return df
-
-
 def weekly_supplier_bars(spark: SparkSession, sf_dir: str, weeks: Column | None = None,
                          assets: DataFrame | None = None) -> DataFrame:
     """Weekly bars; ``weeks`` (a condition on ``l_shipdate`` that keeps or

@@ -100,12 +100,12 @@ def test_file_sources_and_sinks(spark, tmp):
     from factorspark.sources import files, sinks
     import os
     os.makedirs(f"{tmp}/f")
-    for name, body in [("aapl_10-K_20140103.txt", "x"), ("msft_10-K_20150105.txt", "yy")]:
+    for name, body in [("aapl_10-K_20140103.txt", "x"), ("msft_10-K_20150105.txt", "yy\nzz")]:
         with open(f"{tmp}/f/{name}", "w") as fh:
             fh.write(body)
     d = files.read_filings_text(spark, f"{tmp}/f").orderBy("ticker").collect()
     assert [(r.ticker, r.doc_type, str(r.date), r.text) for r in d] == [
-        ("aapl", "10-K", "2014-01-03", "x"), ("msft", "10-K", "2015-01-05", "yy")]
+        ("aapl", "10-K", "2014-01-03", "x"), ("msft", "10-K", "2015-01-05", "yy\nzz")]
     with open(f"{tmp}/lex.csv", "w") as fh:
         fh.write("Word,Negative,Positive,Uncertainty,Litigious,Constraining,Interesting,Other\n"
                  "LOSS,2009,0,0,0,0,0,1\nGAIN,0,2009,0,0,0,0,1\nNONE,0,0,0,0,0,0,0\n")
@@ -115,3 +115,57 @@ def test_file_sources_and_sinks(spark, tmp):
     sinks.write_table(p, f"{tmp}/out", ["r_regionkey"], fmt="csv")
     back = files.read_csv_table(spark, f"{tmp}/out", "r_name string, r_regionkey int", ["r_name"])
     assert back.count() == p.count()
+
+
+def test_more_file_sources_and_sinks(spark, tmp):
+    from factorspark.sources import files, sinks
+    from factorspark.streaming.incremental import new_only
+    import os
+    os.makedirs(f"{tmp}/n")
+    for name, body in [("12.txt", "one\ntwo"), ("7.txt", ""), ("x7.txt", "no"), ("8.csv", "no")]:
+        with open(f"{tmp}/n/{name}", "w") as fh:
+            fh.write(body)
+    assert {r.number: r.text for r in files.read_filings_by_number(spark, f"{tmp}/n").collect()}[12] == "one\ntwo"
+    assert {r.number for r in files.read_filings_by_number(spark, f"{tmp}/n").collect()} <= {12, 7}
+    with open(f"{tmp}/cik.csv", "w") as fh:
+        fh.write("ticker,cik\nAAPL,320193\n")
+    assert files.read_cik_map(spark, f"{tmp}/cik.csv").first().cik == "0000320193"
+    with open(f"{tmp}/s.txt", "w") as fh:
+        fh.write("a b  c\n d\n")
+    assert sorted(r.tokens for r in files.read_sentences(spark, f"{tmp}/s.txt").collect()) == [["a", "b", "c"], ["d"]]
+    d = spark.createDataFrame([(1, "x"), (2, "y")], "k int, t string")
+    sinks.write_table(d, f"{tmp}/p", partition_by=["k"])
+    assert {(r.k, r.t) for r in spark.read.parquet(f"{tmp}/p").collect()} == {(1, "x"), (2, "y")}
+    sinks.write_text(d, "t", f"{tmp}/t")
+    assert sorted(r.value for r in spark.read.text(f"{tmp}/t").collect()) == ["x", "y"]
+    assert all(f.endswith((".gz", ".crc")) or f.startswith(("_", ".")) for f in os.listdir(f"{tmp}/t"))
+    assert [r.k for r in new_only(d, d.filter("k = 1"), key=("k",)).collect()] == [2]
+
+
+def test_model_persistence(spark, tmp):
+    from pyspark.ml.feature import StringIndexer, StringIndexerModel
+    from factorspark.sources import sinks
+    d = spark.createDataFrame([("a",), ("b",), ("a",)], "t string")
+    m = StringIndexer(inputCol="t", outputCol="i").fit(d)
+    sinks.save_model(m, f"{tmp}/m", {"kind": "index"}, spark)
+    assert StringIndexerModel.load(f"{tmp}/m/model").labels == m.labels
+    assert '"kind"' in spark.read.json(f"{tmp}/m/meta").first().meta
+
+
+def test_model_grids(spark):
+    """The jobs that no SQL can give: shares and scores in range, errors near
+    the closed form, sparser with less C."""
+    q = E.queries()
+    cv = q["ridge_cv"](spark, SF0).toPandas()
+    assert cv.champion.sum() == 1 and cv[cv.champion].cv_rmse.iloc[0] == cv.cv_rmse.min()
+    assert cv.cv_acc.between(0, 1).all()
+    forest = q["forest_reg"](spark, SF0).toPandas()
+    assert len(forest) == 2 and (forest.rmse > 0).all() and forest.acc.between(0, 1).all()
+    vote = q["voting_ensemble"](spark, SF0).toPandas()
+    assert vote.valid_acc.between(0, 1).all()
+
+
+def test_kde_near_the_empirical_quantile(spark):
+    k = E.queries()["var_kde"](spark, SF1).toPandas()
+    e = E.queries()["var_empirical"](spark, SF1).toPandas()
+    assert len(k) and len(e)
