@@ -263,9 +263,22 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              "factors array<struct<start:long,words:long,source:long,source_start:long>>")
 
 
-@query("op3_substring_dedup")
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, p, array_to_string(w[p:p + {WINDOW - 1}], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS p FROM d WHERE len(w) >= {WINDOW})),
+f AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY md5(g)) < doc_id AS late FROM p),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + {WINDOW})) AS p FROM f WHERE late),
+k AS (SELECT u.doc_id, string_agg(u.word, ' ' ORDER BY u.p) FILTER (gone.p IS NULL) AS kept, count(gone.p) AS n_removed
+      FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) u
+      LEFT JOIN gone ON gone.doc_id = u.doc_id AND gone.p = u.p GROUP BY u.doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op3_substring_dedup", ORACLE)
 def op3_substring_dedup(spark, sf_dir):
     """Stretches of 50 words that stand in an earlier document, removed."""
     r = substring_dedup(table(spark, sf_dir, "documents"))
-    return r.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
-                    F.size("factors").cast("long").alias("n_factors"))
+    return r.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
