@@ -34,6 +34,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    import ctypes
+    import gc
+
+    import pyarrow
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def frugal(run):
     """``run`` for ``mapInArrow``; the worker, which Spark keeps for later
     tasks, gives the memory of this one back to the system."""
@@ -41,15 +54,7 @@ def frugal(run):
         try:
             yield from run(batches)
         finally:
-            import ctypes
-            import gc
-
-            import pyarrow
-            gc.collect()
-            pyarrow.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # where the C library has it
-            if trim is not None:
-                trim(0)
+            give_back()
     return tidy
 
 
@@ -73,5 +78,5 @@ def keyed(docs: DataFrame, id_col: str) -> Column:
     return docs[id_col].cast("long")
 
 
-__all__ = ["QUERIES", "ORACLES", "query", "prepare", "parts", "table", "texts", "keyed", "cut_lineage", "frugal",
+__all__ = ["QUERIES", "ORACLES", "query", "prepare", "parts", "table", "texts", "keyed", "cut_lineage", "frugal", "give_back",
            "BATCH_ROWS", "BATCH_BYTES", "FLUSH_WORDS"]

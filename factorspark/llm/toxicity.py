@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import frugal, prepare, query, table, texts
+from .common import frugal, give_back, prepare, query, table, texts
 from .words import SPACED, U64, Words
 
 #: The sample's bounds: rows of each class, rows to calibrate, characters of a text.
@@ -165,7 +165,7 @@ class Network:
         for a, z in zip(first, first[1:]):
             texts[np.unique(ids[a:z])] += 1
         self.embed[texts < MIN_TEXTS] = 0
-        ids[texts[ids] < MIN_TEXTS] = 0
+        ids[(texts < MIN_TEXTS)[ids]] = 0
         state = {q: like(w) for q, w in enumerate(self.filters)}
         state |= {"out": like(self.out), "shift": like(self.shift), "bias": like(self.bias),
                   "embed": np.full((len(self.embed), 1), 1e-3, np.float32)}
@@ -230,11 +230,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = d.join(F.broadcast(picked), "id").dropDuplicates(["id"]).orderBy("h", "id").toArrow()
     y = rows.column("y").to_numpy().astype(np.float32)
     apart = rows.column("apart").to_numpy(zero_copy_only=False) if len(rows) else np.zeros(0, bool)
-    fitted = rows.filter(pa.array(~apart)), y[~apart]
-    if not len(y) or not 0 < fitted[1].sum() < len(fitted[1]):
+    fitted = y[~apart]
+    if not len(y) or not 0 < fitted.sum() < len(fitted):
         return Classifier(Network(float(y.mean()) if len(y) else 0.0), {}, 0.5)
-    network = Network().train(*gathered(fitted[0].column("text")), fitted[1])
+    ids, first = gathered(rows.filter(pa.array(~apart)).column("text"))
     held = rows.filter(pa.array(apart))
+    del rows                                     # the texts that have become numbers
+    network = Network().train(ids, first, fitted)
+    del ids
     scores = np.concatenate([network.score(held.column("text").slice(i, 500)) for i in range(0, max(len(held), 1), 500)])
     langs = np.array(held.column("lang").to_pylist(), object)
     thresholds = {}
@@ -242,6 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         at = langs == k
         if y[apart][at].sum() >= min_positive:
             thresholds[k] = best_threshold(scores[at], y[apart][at], precision)
+    give_back()
     return Classifier(network, thresholds, best_threshold(scores, y[apart], precision) if y[apart].any() else 0.5)
 
 
