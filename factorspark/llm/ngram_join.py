@@ -372,9 +372,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     blocks = components(spread.join(heads, "col").select(F.col("node").alias("a"), "b"))
 
     placed = classes.select("node", "n", "cols").join(blocks, "node")
-    sizes = placed.groupBy("label").agg(F.greatest(
+    sizes = cut_lineage(placed.groupBy("label").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / TILE_ROWS), F.ceil(F.sum(F.length("cols")) / (8 * TILE_ENTRIES))).cast("int")
-        .alias("k"))
+        .alias("k")))
     side = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
     tiles = (placed.join(sizes, "label").withColumn("side", side)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
@@ -388,7 +388,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lowest = (members.where("n > 0").groupBy("node", "two").agg(F.min("doc_id").alias("low"))
               .join(joined, "node", "left").join(linked, "node", "left")
               .withColumn("label", F.coalesce("label", "node")))
-    least = lowest.groupBy("label").agg(F.min("low").alias("component"))
+    least = cut_lineage(lowest.groupBy("label").agg(F.min("low").alias("component")))
     known = lowest.join(least, "label").select("node", "two", "component", "links")
     return (members.join(known, ["node", "two"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
