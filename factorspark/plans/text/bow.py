@@ -68,8 +68,7 @@ def tfidf(counts: DataFrame, lex: DataFrame, n_docs: DataFrame, key: str = "doc_
     one job.  IDF is corpus-wide (B6 fixed).  ``n_docs``: one row ``n``."""
     bow = bag_of_words(counts, lex, key)
     df_ = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    j = bow.join(df_, "term").withColumn("_one", F.lit(1)).join(
-        n_docs.withColumn("_one", F.lit(1)), "_one").drop("_one")      # n: one row
+    j = bow.join(df_, "term").join(F.broadcast(n_docs))               # n: one row
     j = j.withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
     norm = F.sqrt(F.sum(F.col("w") ** 2).over(Window.partitionBy(key, "sentiment")))
     return j.select(key, "sentiment", "term", "tf", (F.col("w") / norm).alias("tfidf"))
@@ -77,8 +76,7 @@ def tfidf(counts: DataFrame, lex: DataFrame, n_docs: DataFrame, key: str = "doc_
 
 def df_filtered_vocab(counts: DataFrame, n_docs: DataFrame, min_df: float, max_df: float) -> DataFrame:
     """Corpus words whose document share lies in [min_df, max_df]."""
-    d = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("_one", F.lit(1)) \
-        .join(n_docs.withColumn("_one", F.lit(1)), "_one")
+    d = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n_docs))   # one row
     share = F.col("df") / F.col("n")
     return d.filter((share >= min_df) & (share <= max_df)).select(
         F.col("term").alias("word"), F.lit("all").alias("sentiment"))
