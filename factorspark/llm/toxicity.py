@@ -9,11 +9,15 @@ fewer than ``MIN_TEXTS`` training texts stay zero.
 
 Training uses a bounded sample of the labelled rows: of each class the
 ``train_rows`` with the smallest id hashes, texts up to ``train_chars``
-characters.  Other labelled rows (by id hash) are kept apart to calibrate a
-threshold for each language: of those with at least ``precision`` the one with
-the best F1, or none is rejected.  Languages with fewer than ``min_positive``
-toxic rows have that of all rows together.  The language chooses the threshold
-and is no input of the score.
+characters, none of them from the fifth of the ids that is kept apart.  All
+other labelled rows, whole texts, calibrate a threshold for each language: of
+those with at least ``precision`` the one with the best F1, or none is
+rejected.  They are scored in a Spark job without a shuffle of texts; what
+returns are counts by language, label and bin of the score.  The sample takes
+more of the rarer class, so each class weighs what it has with the trained
+rows: precision is that of the labels' own share.  Languages with fewer than
+``min_positive`` toxic rows have the threshold of all rows together.  The
+language chooses the threshold and is no input of the score.
 
 Scoring streams over the documents, whole texts, without a shuffle; the model
 has a fixed size (2 MB).
@@ -36,8 +40,10 @@ from pyspark.sql import types as T
 from .common import frugal, give_back, prepare, query, table, texts
 from .words import SPACED, U64, Words
 
-#: The sample's bounds: rows of each class, rows to calibrate, characters of a text.
-TRAIN_ROWS, CALIBRATE_ROWS, TRAIN_CHARS = 3000, 1500, 100_000
+#: The training sample's bounds: rows of each class, characters of a text.
+TRAIN_ROWS, TRAIN_CHARS = 3000, 100_000
+#: Bins of the score for each unit of its log-odds.
+BINS = 128
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 8, 8, (1, 2, 3)
 PREFIXES = (4, 6)
@@ -183,17 +189,22 @@ class Network:
         return _sigmoid(self.logit(*features(column)))
 
 
-def best_threshold(scores: np.ndarray, y: np.ndarray, precision: float) -> float:
+def best_threshold(scores: np.ndarray, y: np.ndarray, precision: float, weight=None, low=None, high=None) -> float:
     """Of the thresholds that reach the precision the one with the best F1,
-    half-way between two scores; 1, which no score reaches, if there is none."""
+    half-way between two scores; 1, which no score reaches, if there is none.
+    An entry can stand for ``weight`` rows in a bin ``scores``, whose scores
+    lie between ``low`` and ``high``."""
     o = np.argsort(-scores, kind="stable")
-    s, hits, n = scores[o], np.cumsum(y[o]), np.arange(1, len(scores) + 1)
+    s, w = scores[o], np.ones(len(o), int) if weight is None else weight[o]
+    low, high = s if low is None else low[o], s if high is None else high[o]
+    hits, n = np.cumsum(y[o] * w), np.cumsum(w)
     ends = np.r_[s[1:] != s[:-1], True]          # equal scores are told apart by none
     fine = ends & (hits >= precision * n) & (hits > 0)
     if not fine.any():
         return 1.0
-    k = int(np.argmax(np.where(fine, 2 * hits / (n + y.sum()), -1)))
-    return float((s[k] + (s[k + 1] if k + 1 < len(s) else 0)) / 2)
+    k = int(np.argmax(np.where(fine, 2 * hits / (n + (y[o] * w).sum()), -1)))
+    rest = s[k + 1:]
+    return float((low[s == s[k]].min() + (high[s == rest[0]].max() if len(rest) else 0)) / 2)
 
 
 class Classifier:
@@ -210,8 +221,8 @@ class Classifier:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        label_col: str = "toxic", train_rows: int = TRAIN_ROWS, calibrate_rows: int = CALIBRATE_ROWS,
-        train_chars: int = TRAIN_CHARS, min_positive: int = 20, precision: float = 0.9) -> Classifier:
+        label_col: str = "toxic", train_rows: int = TRAIN_ROWS, train_chars: int = TRAIN_CHARS,
+        min_positive: int = 20, precision: float = 0.9) -> Classifier:
     """Train on the labelled rows of ``labels`` (id, 0/1); the caller leaves
     out what is not to be learnt from."""
     prepare(docs.sparkSession)
@@ -220,33 +231,50 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
              .withColumn("h", F.xxhash64("id")).withColumn("apart", F.pmod("h", F.lit(5)) == 0))
     picked = None
     for y in (0, 1):
-        for apart, rows in ((False, train_rows), (True, calibrate_rows)):
-            own = known.where((F.col("y") == y) & (F.col("apart") == apart)).orderBy("h", "id").limit(rows)
-            picked = own if picked is None else picked.unionAll(own)
+        own = known.where((F.col("y") == y) & ~F.col("apart")).orderBy("h", "id").limit(train_rows)
+        picked = own if picked is None else picked.unionAll(own)
     lang = docs[lang_col] if lang_col in docs.columns else F.lit(None)
     d = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"),
-                    lang.cast("string").alias("lang")).where(F.length("text") <= train_chars)
-    # At most 2 * (train_rows + calibrate_rows) ids: a bounded side.
-    rows = d.join(F.broadcast(picked), "id").dropDuplicates(["id"]).orderBy("h", "id").toArrow()
+                    lang.cast("string").alias("lang"))
+    # At most 2 * train_rows ids: a bounded side.
+    rows = (d.where(F.length("text") <= train_chars).join(F.broadcast(picked), "id")
+            .dropDuplicates(["id"]).orderBy("h", "id").toArrow())
     y = rows.column("y").to_numpy().astype(np.float32)
-    apart = rows.column("apart").to_numpy(zero_copy_only=False) if len(rows) else np.zeros(0, bool)
-    fitted = y[~apart]
-    if not len(y) or not 0 < fitted.sum() < len(fitted):
-        return Classifier(Network(float(y.mean()) if len(y) else 0.0), {}, 0.5)
-    ids, first = gathered(rows.filter(pa.array(~apart)).column("text"))
-    held = rows.filter(pa.array(apart))
+    if not 0 < y.sum() < len(y):
+        both = d.join(known, "id").agg(F.avg("y")).first()[0]
+        return Classifier(Network(float(both or 0.0)), {}, 0.5)
+    ids, first = gathered(rows.column("text"))
+    fitted = rows.select(["id"]).to_pandas()
     del rows                                     # the texts that have become numbers
-    network = Network().train(ids, first, fitted)
+    network = Network().train(ids, first, y)
     del ids
-    scores = np.concatenate([network.score(held.column("text").slice(i, 500)) for i in range(0, max(len(held), 1), 500)])
-    langs = np.array(held.column("lang").to_pylist(), object)
-    thresholds = {}
-    for k in sorted({x for x in langs if x is not None}):
-        at = langs == k
-        if y[apart][at].sum() >= min_positive:
-            thresholds[k] = best_threshold(scores[at], y[apart][at], precision)
     give_back()
-    return Classifier(network, thresholds, best_threshold(scores, y[apart], precision) if y[apart].any() else 0.5)
+    return _calibrated(network, d, known, docs.sparkSession.createDataFrame(fitted, "id long"), min_positive, precision)
+
+
+def _calibrated(network: Network, d: DataFrame, known: DataFrame, fitted: DataFrame, min_positive: int,
+                precision: float) -> Classifier:
+    """Thresholds from all labelled rows of ``d`` that are not ``fitted``."""
+    score = F.col(SCORE)
+    seen = (_scored(d, "text", network).select("id", "lang", score)
+            .join(known.select("id", "y"), "id").join(F.broadcast(fitted.withColumn("own", F.lit(True))), "id", "left"))
+    found = (seen.withColumn("own", F.col("own").isNotNull())
+             .withColumn("bin", F.floor(F.log(score / (1 - score)) * BINS))
+             .groupBy("own", "lang", "y", "bin")
+             .agg(F.count(F.lit(1)).alias("n"), F.min(score).alias("low"), F.max(score).alias("high")).toArrow())
+    own, y, bins, n, low, high = (found.column(c).to_numpy(zero_copy_only=False) for c in ("own", "y", "bin", "n", "low", "high"))
+    langs = np.array(found.column("lang").to_pylist(), object)
+    weight = np.zeros(len(n))
+    for k in (0, 1):
+        rest = (y == k) & ~own
+        weight[rest] = n[rest] * (n[y == k].sum() / max(n[rest].sum(), 1))
+    of = lambda at: best_threshold(bins[at], y[at], precision, weight[at], low[at], high[at])
+    thresholds = {}
+    for k in sorted({x for x in langs[~own] if x is not None}):
+        at = (langs == k) & ~own
+        if n[at & (y == 1)].sum() >= min_positive:
+            thresholds[k] = of(at)
+    return Classifier(network, thresholds, of(~own) if (y[~own] == 1).any() else 0.5)
 
 
 def _scored(docs: DataFrame, text_col: str, network: Network) -> DataFrame:

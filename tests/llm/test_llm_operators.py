@@ -306,6 +306,29 @@ def test_best_threshold():
     assert toxicity.best_threshold(s, 1 - y, 0.9) == 1.0
 
 
+def test_toxicity_thresholds_hold_for_the_natural_share(spark):
+    r = random.Random(9)
+    kinds = ["vilename"] * 1000 + ["maybe"] * 4000 + ["fine"] * 27_000
+    rows = [(i, f"{prose(r, 3)} {k}", "en") for i, k in enumerate(kinds)]
+    # A quarter of the texts with "maybe" is toxic: both words together have a precision of 0.4.
+    labels = [(i, int(k == "vilename" or k == "maybe" and i % 4 == 0)) for i, k in enumerate(kinds)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), train_rows=300, precision=0.5)
+    y = dict(labels)
+    out = [y[x.doc_id] for x in toxicity.toxicity(docs, model).where("toxic").select("doc_id").collect()]
+    assert len(out) >= 900 and np.mean(out) >= 0.5
+    assert min(model.thresholds["en"], model.other) < 1
+
+
+def test_best_threshold_of_weighted_bins():
+    bins, y = np.array([9, 9, 5, 5, 1]), np.array([1, 0, 1, 0, 0])
+    low, high = np.array([0.8, 0.7, 0.5, 0.4, 0.1]), np.array([0.9, 0.75, 0.6, 0.45, 0.2])
+    best = lambda *w: toxicity.best_threshold(bins, y, 0.9, np.array(w), low, high)
+    assert best(90, 1, 9, 1, 50) == pytest.approx(0.3)
+    assert best(90, 1, 9, 100, 50) == pytest.approx(0.65)
+    assert best(90, 20, 9, 1, 50) == 1.0
+
+
 # --- 7
 
 
