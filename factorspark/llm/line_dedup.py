@@ -11,12 +11,18 @@ and the join has no window above it, so Spark can split its hot keys.  Joined
 windows of a document that overlap or touch grow into maximal runs.  The run
 is deleted where it is the later one, in the order of (doc_id, line).
 
+What counts as a repeat: ``window`` consecutive lines whatever their length, or
+one line of at least ``long_words`` words or ``LONG_BYTES`` bytes a word of
+those (for scripts without spaces), which is a window of its own.  Without
+``long_words`` only the first rule holds; so it is in the query
+``op10_line_dedup``, which its SQL defines by two lines.
+
 Lines are what stands between line breaks (LF or CR); empty ones neither match
 nor go.  Hashes have 64 bits, and a match has both fingerprint and window
 equal.
 
 Defined cases: a null or empty text has no lines; texts with fewer lines than
-``window`` stay; a line that repeats itself within a document goes where a
+``window``, none of them long, stay; a line that repeats itself within a document goes where a
 window of it starts again; rows that repeat an id count as the same place, so
 none of them repeats the other; rows without id come last; further columns are
 kept by ``remove`` and ignored by ``line_dedup``; an empty table stays empty.
@@ -32,40 +38,65 @@ from pyspark.sql import types as T
 
 from .common import frugal, prepare, query, table, texts
 from .substring_dedup import NO_ID, _minimizer
-from .words import LINES, Words, long_grams
+from .words import LINES, SPACED, U64, Words, long_grams, mix
 
 WINDOW = 2
+#: Words of a line that is compared on its own, and bytes that stand for a word.
+LONG_WORDS, LONG_BYTES = 50, 6
 
 #: Added by ``_marked``; the name is not one that data would use.
 STARTS = "_llm_starts"
 
 
-def _fingerprints(window: int):
-    """A row per window: its fingerprint, its own hash, and where it starts."""
+def _long(w: Words, long_words: int) -> np.ndarray:
+    """The lines that are compared on their own."""
+    size = w.end - w.start
+    long = size >= LONG_BYTES * long_words
+    some = np.flatnonzero(~long & (size >= 2 * long_words - 1))
+    if len(some):
+        word = ~SPACED[w.buf]
+        heads = np.zeros(len(w.buf) + 1, bool)
+        heads[1:-1] = word[1:] & ~word[:-1]
+        heads[w.start[some]] = word[w.start[some]]
+        edges = np.stack([w.start[some], w.end[some]], 1).reshape(-1)
+        long[some] = np.add.reduceat(heads, edges, dtype=np.int64)[::2] >= long_words
+    return np.flatnonzero(long)
+
+
+def _fingerprints(window: int, long_words: int | None):
+    """A row per window: its fingerprint, its own hash, and where it starts:
+    twice the line, and 1 more for a long line."""
     schema = pa.schema([("print", pa.int64()), ("win", pa.int64()), ("doc", pa.int64()), ("start", pa.int64())])
 
     def run(batches):
         for batch in batches:
             w = Words(batch.column("text"), LINES, False)
-            n = len(w.hash) - window + 1
-            if n <= 0:
-                continue
-            at = _minimizer(w.hash, window)
-            doc = np.repeat(np.arange(batch.num_rows), np.diff(w.first))[:n]
-            inside = np.flatnonzero(np.arange(n) + window <= w.first[doc + 1])
-            full = long_grams(w.hash, window)
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(w.first))
             ids = np.array([NO_ID if x is None else x for x in batch.column("doc_id").to_pylist()], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(w.hash[at[inside]].view(np.int64)), pa.array(full[inside].view(np.int64)),
-                 pa.array(ids[doc[inside]]), pa.array(inside - w.first[doc[inside]])], schema=schema)
+
+            def found(line, prints, full, kind):
+                doc = owner[line]
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(prints.view(np.int64)), pa.array(full.view(np.int64)), pa.array(ids[doc]),
+                     pa.array(2 * (line - w.first[doc]) + kind)], schema=schema)
+
+            n = len(w.hash) - window + 1
+            if n > 0:
+                at = _minimizer(w.hash, window)
+                inside = np.flatnonzero(np.arange(n) + window <= w.first[owner[:n] + 1])
+                yield found(inside, w.hash[at[inside]], long_grams(w.hash, window)[inside], 0)
+            line = _long(w, long_words) if long_words is not None and len(w.hash) else ()
+            if len(line):
+                h = w.hash[line]
+                yield found(line, h, mix(h ^ U64(1)), 1)
     return run
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """``docs`` and, in ``STARTS``, the first lines of its repeated windows."""
+def _marked(docs: DataFrame, id_col: str, text_col: str, window: int, long_words: int | None) -> DataFrame:
+    """``docs`` and, in ``STARTS``, where its repeated windows start."""
     prepare(docs.sparkSession)
     prints = texts(docs, id_col, text_col).mapInArrow(
-        frugal(_fingerprints(window)), "print long, win long, doc long, start long")
+        frugal(_fingerprints(window, long_words)), "print long, win long, doc long, start long")
     first = (prints.groupBy("print", "win")
              .agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("places"))
              .where("places > 1").select("print", "win", "first"))
@@ -78,13 +109,14 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFra
 def _runs(starts, window: int, lines: int) -> list[tuple[int, int]]:
     """Maximal runs [first, end) of the windows that start there."""
     out: list[list[int]] = []
-    for s in starts or ():
-        if s + window > lines:                   # of another row with this id
+    for x in starts or ():
+        s, z = x // 2, x // 2 + (1 if x % 2 else window)
+        if z > lines:                            # of another row with this id
             continue
         if out and s <= out[-1][1]:
-            out[-1][1] = s + window
+            out[-1][1] = max(out[-1][1], z)
         else:
-            out.append([s, s + window])
+            out.append([s, z])
     return [(a, z) for a, z in out]
 
 
@@ -98,7 +130,8 @@ def _cut(words: Words, i: int, runs) -> str:
     return b"".join(out).decode()
 
 
-def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+           long_words: int | None = LONG_WORDS) -> DataFrame:
     """``docs``, all columns, without later repeated runs of lines; documents
     whose lines all were in such runs go."""
     schema = docs.schema
@@ -117,10 +150,11 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
                     for n in batch.schema.names if n != STARTS]
             yield pa.RecordBatch.from_arrays(cols, schema.names).filter(pa.array(kept, pa.bool_()))
 
-    return _marked(docs, id_col, text_col, window).mapInArrow(frugal(run), schema)
+    return _marked(docs, id_col, text_col, window, long_words).mapInArrow(frugal(run), schema)
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+               long_words: int | None = LONG_WORDS) -> DataFrame:
     """doc_id, n_lines, n_removed, runs (array of struct start, end: lines),
     kept (the text without them); one row per input row."""
     schema = T.StructType([
@@ -149,7 +183,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  pa.array(found, arrow.field("runs").type), pa.array(kept, pa.string())], schema=arrow)
 
     d = texts(docs, id_col, text_col)
-    return _marked(d, "doc_id", "text", window).mapInArrow(frugal(run), schema)
+    return _marked(d, "doc_id", "text", window, long_words).mapInArrow(frugal(run), schema)
 
 
 ORACLE = rf"""
@@ -169,7 +203,8 @@ SELECT doc_id, n_lines, n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FRO
 
 @query("op10_line_dedup", ORACLE)
 def op10_line_dedup(spark, sf_dir):
-    """Runs of lines that stand earlier in the corpus, removed."""
-    r = line_dedup(table(spark, sf_dir, "documents"))
+    """Runs of lines that stand earlier in the corpus, removed; the SQL's
+    runs are of two lines at least."""
+    r = line_dedup(table(spark, sf_dir, "documents"), long_words=None)
     kept = F.array_join(F.filter(F.split("kept", r"[\r\n]"), lambda x: x != ""), "\n")
     return r.select("doc_id", "n_lines", "n_removed", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))

@@ -525,6 +525,20 @@ def test_line_dedup_repeated_ids(spark):
     assert sorted((x.doc_id or 99, x.n_removed) for x in out) == [(1, 0), (1, 0), (2, 2), (99, 2)]
 
 
+def test_line_dedup_of_one_long_line(spark):
+    r = random.Random(3)
+    long, wide, short = prose(r, 50), "漢" * 100, prose(r, 49)
+    rows = [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd\n{long}"), (3, long), (4, f"{wide}\ne"), (5, f"f\n{wide}"),
+            (6, f"g\n{short}"), (7, f"h\n{short}\ni"), (8, f"j\n{long}\ne\nk"), (9, f"l\n{long}\ne")]
+    d = docs_of(spark, rows)
+    got = {x.doc_id: (x.n_removed, [tuple(y) for y in x.runs]) for x in line_dedup.line_dedup(d).collect()}
+    assert got == {1: (0, []), 2: (2, [(1, 2), (3, 4)]), 3: (1, [(0, 1)]), 4: (0, []), 5: (1, [(1, 2)]), 6: (0, []),
+                   7: (0, []), 8: (1, [(1, 2)]), 9: (2, [(1, 3)])}
+    left = {x.doc_id: x.text.split() for x in line_dedup.remove(d).collect()}
+    assert 3 not in left and (left[2], left[5], left[8], left[9]) == (["c", "d"], ["f"], ["j", "e", "k"], ["l"])
+    assert not any(x.n_removed for x in line_dedup.line_dedup(d, long_words=None).collect() if x.doc_id != 9)
+
+
 # --- all
 
 
