@@ -13,6 +13,9 @@ BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 #: Words that a task gathers before it sends what it has found (bounds memory).
 FLUSH_WORDS = 2_000_000
 
+#: Stands for a missing id, after all others.
+NO_ID = (1 << 63) - 1
+
 QUERIES: dict = {}
 ORACLES: dict = {}
 
@@ -74,9 +77,22 @@ def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 
 
+def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``texts`` and the key of the row itself, (place, one, two): its id, with
+    ``NO_ID`` for none, and 64 bits of the text's hash, 128 without an id.
+    Rows with the same id and text share it."""
+    d = texts(docs, id_col, text_col)
+    return d.select("doc_id", "text", *row_key(d["doc_id"], d["text"]))
+
+
+def row_key(doc_id: Column, text: Column) -> list[Column]:
+    return [F.coalesce(doc_id, F.lit(NO_ID)).alias("place"), F.xxhash64(text).alias("one"),
+            F.when(doc_id.isNull(), F.xxhash64(F.lit(1), text)).otherwise(F.lit(0).cast("long")).alias("two")]
+
+
 def keyed(docs: DataFrame, id_col: str) -> Column:
     return docs[id_col].cast("long")
 
 
-__all__ = ["QUERIES", "ORACLES", "query", "prepare", "parts", "table", "texts", "keyed", "cut_lineage", "frugal", "give_back",
+__all__ = ["QUERIES", "ORACLES", "query", "prepare", "parts", "table", "texts", "identified", "row_key", "NO_ID", "keyed", "cut_lineage", "frugal", "give_back",
            "BATCH_ROWS", "BATCH_BYTES", "FLUSH_WORDS"]

@@ -9,7 +9,7 @@ the earliest one with its fingerprint and window keeps a line that stands in a
 third of all documents linear: the earliest places are pre-aggregated minima
 and the join has no window above it, so Spark can split its hot keys.  Joined
 windows of a document that overlap or touch grow into maximal runs.  The run
-is deleted where it is the later one, in the order of (doc_id, line).
+is deleted where it is the later one, in the order of (doc_id, text hash, line).
 
 What counts as a repeat: ``window`` consecutive lines whatever their length, or
 one line of at least ``long_words`` words or ``LONG_BYTES`` bytes a word of
@@ -23,8 +23,10 @@ equal.
 
 Defined cases: a null or empty text has no lines; texts with fewer lines than
 ``window``, none of them long, stay; a line that repeats itself within a document goes where a
-window of it starts again; rows that repeat an id count as the same place, so
-none of them repeats the other; rows without id come last; further columns are
+window of it starts again; rows with the same id and text count as the same
+place, so none of them repeats the other; rows that share an id alone, or have
+none, are documents of their own, in the order of their texts' hashes (whatever
+was found in a row is cut out of that text only); rows without id come last; further columns are
 kept by ``remove`` and ignored by ``line_dedup``; an empty table stays empty.
 """
 
@@ -36,14 +38,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import frugal, prepare, query, table, texts
-from .substring_dedup import NO_ID, _minimizer
+from .common import frugal, identified, prepare, query, row_key, table, texts
+from .substring_dedup import _minimizer
 from .words import LINES, SPACED, U64, Words, long_grams, mix
 
 WINDOW = 2
 #: Words of a line that is compared on its own, and bytes that stand for a word.
 LONG_WORDS, LONG_BYTES = 50, 6
 
+#: A row's own key (``row_key``).
+KEY = ("place", "one", "two")
 #: Added by ``_marked``; the name is not one that data would use.
 STARTS = "_llm_starts"
 
@@ -66,19 +70,20 @@ def _long(w: Words, long_words: int) -> np.ndarray:
 def _fingerprints(window: int, long_words: int | None):
     """A row per window: its fingerprint, its own hash, and where it starts:
     twice the line, and 1 more for a long line."""
-    schema = pa.schema([("print", pa.int64()), ("win", pa.int64()), ("doc", pa.int64()), ("start", pa.int64())])
+    schema = pa.schema([("print", pa.int64()), ("win", pa.int64()), *((k, pa.int64()) for k in KEY),
+                        ("start", pa.int64())])
 
     def run(batches):
         for batch in batches:
             w = Words(batch.column("text"), LINES, False)
             owner = np.repeat(np.arange(batch.num_rows), np.diff(w.first))
-            ids = np.array([NO_ID if x is None else x for x in batch.column("doc_id").to_pylist()], np.int64)
+            key = [batch.column(k).to_numpy() for k in KEY]
 
             def found(line, prints, full, kind):
                 doc = owner[line]
                 return pa.RecordBatch.from_arrays(
-                    [pa.array(prints.view(np.int64)), pa.array(full.view(np.int64)), pa.array(ids[doc]),
-                     pa.array(2 * (line - w.first[doc]) + kind)], schema=schema)
+                    [pa.array(prints.view(np.int64)), pa.array(full.view(np.int64)),
+                     *(pa.array(k[doc]) for k in key), pa.array(2 * (line - w.first[doc]) + kind)], schema=schema)
 
             n = len(w.hash) - window + 1
             if n > 0:
@@ -95,24 +100,23 @@ def _fingerprints(window: int, long_words: int | None):
 def _marked(docs: DataFrame, id_col: str, text_col: str, window: int, long_words: int | None) -> DataFrame:
     """``docs`` and, in ``STARTS``, where its repeated windows start."""
     prepare(docs.sparkSession)
-    prints = texts(docs, id_col, text_col).mapInArrow(
-        frugal(_fingerprints(window, long_words)), "print long, win long, doc long, start long")
+    prints = identified(docs, id_col, text_col).mapInArrow(
+        frugal(_fingerprints(window, long_words)), "print long, win long, place long, one long, two long, start long")
     first = (prints.groupBy("print", "win")
-             .agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("places"))
+             .agg(F.min(F.struct(*KEY, "start")).alias("first"), F.count(F.lit(1)).alias("places"))
              .where("places > 1").select("print", "win", "first"))
-    late = prints.join(first, ["print", "win"]).where(F.struct("doc", "start") > F.col("first"))
-    starts = late.groupBy("doc").agg(F.sort_array(F.collect_set("start")).alias(STARTS))
-    key = F.coalesce(docs[id_col].cast("long"), F.lit(int(NO_ID)))
-    return docs.join(starts, key == starts["doc"], "left").select(*(docs[c] for c in docs.columns), STARTS)
+    late = prints.join(first, ["print", "win"]).where(F.struct(*KEY, "start") > F.col("first"))
+    starts = late.groupBy(*KEY).agg(F.sort_array(F.collect_set("start")).alias(STARTS))
+    own = row_key(docs[id_col].cast("long"), F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    same = [a == starts[k] for a, k in zip(own, KEY)]
+    return docs.join(starts, same, "left").select(*(docs[c] for c in docs.columns), STARTS)
 
 
-def _runs(starts, window: int, lines: int) -> list[tuple[int, int]]:
+def _runs(starts, window: int) -> list[tuple[int, int]]:
     """Maximal runs [first, end) of the windows that start there."""
     out: list[list[int]] = []
     for x in starts or ():
         s, z = x // 2, x // 2 + (1 if x % 2 else window)
-        if z > lines:                            # of another row with this id
-            continue
         if out and s <= out[-1][1]:
             out[-1][1] = max(out[-1][1], z)
         else:
@@ -142,7 +146,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
             new, kept = batch.column(text_col).to_pylist(), [True] * batch.num_rows
             lines = np.diff(words.first).tolist()
             for i, starts in enumerate(batch.column(STARTS).to_pylist()):
-                runs = _runs(starts, window, lines[i])
+                runs = _runs(starts, window)
                 if runs:
                     new[i] = _cut(words, i, runs)
                     kept[i] = sum(z - a for a, z in runs) < lines[i]
@@ -173,7 +177,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             kept, lines = batch.column("text").to_pylist(), np.diff(words.first)
             found = []
             for i, starts in enumerate(batch.column(STARTS).to_pylist()):
-                runs = _runs(starts, window, int(lines[i]))
+                runs = _runs(starts, window)
                 if runs:
                     kept[i] = _cut(words, i, runs)
                 found.append([{"start": a, "end": z} for a, z in runs])

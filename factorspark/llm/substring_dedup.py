@@ -20,8 +20,9 @@ those of its minimizer.
 
 Defined cases: a null or short text has no windows and keeps its words; rows
 that repeat an id are one document (nothing in them repeats an earlier one
-because of each other) and each returns its row; rows without id count as the
-largest id; an empty table gives no rows; further columns are ignored.
+because of each other) and each returns its row, without what was found in its
+own text; rows without id come after all others, in the order of their texts'
+hashes, those with the same text as one document; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,14 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FLUSH_WORDS, frugal, parts, prepare, query, table, texts
+from .common import FLUSH_WORDS, NO_ID, frugal, identified, parts, prepare, query, table
 from .words import SPACED, U64, Words, kgrams, long_grams, planes, unplanes
 
 WINDOW, SEED = 50, 16
-NO_ID = np.iinfo(np.int64).max
 
 _SENT = "block int, bucket int, ids binary, anchors binary, runs binary, windows binary, spans binary"
-_SPANS = "doc_id long, spans binary"
+_SPANS = "doc_id long, one long, two long, spans binary"
 #: A factor: first word, number of words, source document and the source's first word.
 SPAN = np.dtype([("start", "<i8"), ("words", "<i8"), ("source", "<i8"), ("source_start", "<i8")])
 
@@ -61,24 +61,34 @@ def _minimizer(seeds: np.ndarray, width: int) -> np.ndarray:
     return np.where(a <= b, at[:n], at[width - k:width - k + n])
 
 
-def _repeats(ids, doc, start, anchor, full) -> tuple[np.ndarray, np.ndarray]:
-    """Windows that also start in a document with a smaller id, and for each
-    the earliest place (by id, then position) of its words."""
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """The order of rows by their keys (place, one, two): rows that repeat an
+    id are one document, those without id are told apart by their texts."""
+    k = np.where(keys[0] == NO_ID, keys, np.stack([keys[0], *np.zeros_like(keys[1:])]))
+    o = np.lexsort(k[::-1])
+    rank = np.empty(len(o), np.int64)
+    rank[o] = np.cumsum(np.r_[False, (k[:, o[1:]] != k[:, o[:-1]]).any(0)])
+    return rank
+
+
+def _repeats(rank, doc, start, anchor, full) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that also start in a document of a smaller rank, and for each
+    the earliest place (by rank, then position) of its words."""
     o = np.argsort(full, kind="stable")
     f = full[o]
     same = np.r_[False, f[1:] == f[:-1]]
     o = o[same | np.r_[same[1:], False]]           # a window that stands alone repeats nothing
     if not len(o):
         return o, o
-    o = o[np.lexsort((start[o], ids[doc[o]], anchor[o], full[o]))]
+    o = o[np.lexsort((start[o], rank[doc[o]], anchor[o], full[o]))]
     head = np.r_[True, (full[o][1:] != full[o][:-1]) | (anchor[o][1:] != anchor[o][:-1])]
     lead = o[head][np.cumsum(head) - 1]
-    repeat = ids[doc[lead]] < ids[doc[o]]
+    repeat = rank[doc[lead]] < rank[doc[o]]
     return o[repeat], lead[repeat]
 
 
-def _spans(doc, start, source, source_start, ids, window) -> list[tuple[int, bytes]]:
-    """Windows that repeat, in any order -> factors by document."""
+def _spans(doc, start, source, source_start, keys, window) -> list[tuple[np.ndarray, bytes]]:
+    """Windows that repeat, in any order -> factors by document (its key)."""
     if not len(doc):
         return []
     o = np.lexsort((start, doc))
@@ -92,7 +102,7 @@ def _spans(doc, start, source, source_start, ids, window) -> list[tuple[int, byt
     out["source"], out["source_start"] = source[a], source_start[a]
     owner = doc[a]
     cut = np.r_[0, np.flatnonzero(np.diff(owner)) + 1, len(owner)]
-    return [(int(ids[owner[i]]), out[i:j].tobytes()) for i, j in zip(cut, cut[1:])]
+    return [(keys[:, owner[i]], out[i:j].tobytes()) for i, j in zip(cut, cut[1:])]
 
 
 def _windows(words: Words, window: int, seed: int):
@@ -111,11 +121,11 @@ def _windows(words: Words, window: int, seed: int):
 
 def _send(n_buckets: int, window: int, seed: int, flush: int):
     """Index and first reduction, chunk by chunk of about ``flush`` words."""
-    def emit(held, ids):
+    def emit(held, keys):
         doc, start, anchor, full = (np.concatenate(x) for x in zip(*held))
-        ids = np.asarray(ids, np.int64)
-        late, lead = _repeats(ids, doc, start, anchor, full)
-        yield from _spans(doc[late], start[late], ids[doc[lead]], start[lead], ids, window)
+        keys = np.concatenate(keys, axis=1)
+        late, lead = _repeats(_ranks(keys), doc, start, anchor, full)
+        yield from _spans(doc[late], start[late], keys[0, doc[lead]], start[lead], keys, window)
         keep = np.ones(len(doc), bool)           # what is left waits for the index's answer
         keep[late] = False
         doc, start, anchor, full = doc[keep], start[keep], anchor[keep], full[keep]
@@ -131,18 +141,18 @@ def _send(n_buckets: int, window: int, seed: int, flush: int):
             new = np.r_[0, np.flatnonzero((np.diff(d) != 0) | (np.diff(s) != 1) | (a[1:] != a[:-1])) + 1]
             present, index = np.unique(d[new], return_inverse=True)
             runs = np.stack([index, s[new], np.diff(np.r_[new, j - i])]).astype(np.uint32)
-            yield b, ids[present], a[new], runs, full[i:j]
+            yield b, keys[:, present], a[new], runs, full[i:j]
 
     def run(batches):
-        held, ids, words = [], [], 0
+        held, keys, rows_held, words = [], [], 0, 0
 
         def out(found):
             rows = {"block": [], "bucket": [], "ids": [], "anchors": [], "runs": [], "windows": [], "spans": []}
-            for x in found:
-                if len(x) == 2:
-                    row = (x[0] % n_buckets, None, np.int64(x[0]).tobytes(), None, None, None, x[1])
+            for i, x in enumerate(found):
+                if len(x) == 2:              # to any block; copies are spread as others are
+                    row = ((int(x[0].sum()) + i) % n_buckets, None, x[0].tobytes(), None, None, None, x[1])
                 else:
-                    row = (x[0], x[0], planes(x[1]), planes(x[2]), planes(x[3].reshape(-1)), planes(x[4]), None)
+                    row = (x[0], x[0], planes(x[1].reshape(-1)), planes(x[2]), planes(x[3].reshape(-1)), planes(x[4]), None)
                 for name, v in zip(rows, row):
                     rows[name].append(v)
                 if len(rows["block"]) >= 256:
@@ -155,15 +165,16 @@ def _send(n_buckets: int, window: int, seed: int, flush: int):
             w = Words(batch.column("text"), SPACED, False)
             got = _windows(w, window, seed)
             if got is not None and len(got[0]):
-                held.append((got[0] + len(ids), *got[1:]))
+                held.append((got[0] + rows_held, *got[1:]))
                 words += len(got[0])
-            ids.extend(NO_ID if x is None else x for x in batch.column("doc_id").to_pylist())
+            keys.append(np.stack([batch.column(k).to_numpy() for k in ("place", "one", "two")]))
+            rows_held += batch.num_rows
             if words >= flush:
-                for rows in out(emit(held, ids)):
+                for rows in out(emit(held, keys)):
                     yield pa.RecordBatch.from_pydict(rows, _sent_schema())
-                held, ids, words = [], [], 0
+                held, keys, rows_held, words = [], [], 0, 0
         if held:
-            for rows in out(emit(held, ids)):
+            for rows in out(emit(held, keys)):
                 yield pa.RecordBatch.from_pydict(rows, _sent_schema())
     return run
 
@@ -176,48 +187,51 @@ def _sent_schema():
 def _answer(window: int):
     """A reference block: all entries of its minimizers, the earliest place of
     each window, and the factors of the later ones."""
-    schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("one", pa.int64()), ("two", pa.int64()), ("spans", pa.binary())])
+    named = lambda keys, spans: dict(zip(schema.names, (*np.array(keys).T, spans)))
 
     def run(batches):
-        ids, doc, start, anchor, full = [], [], [], [], []
+        keys, doc, start, anchor, full = [], [], [], [], []
         n = 0
         for batch in batches:
-            passed = {"doc_id": [], "spans": []}
+            passed, spans = [], []
             for row in batch.to_pylist():
                 if row["bucket"] is None:
-                    passed["doc_id"].append(int(np.frombuffer(row["ids"], np.int64)[0]))
-                    passed["spans"].append(row["spans"])
+                    passed.append(np.frombuffer(row["ids"], np.int64))
+                    spans.append(row["spans"])
                     continue
-                own = unplanes(row["ids"], np.int64)
+                own = unplanes(row["ids"], np.int64).reshape(3, -1)
                 index, first, length = unplanes(row["runs"], np.uint32).reshape(3, -1).astype(np.int64)
-                ids.append(own)
+                keys.append(own)
                 doc.append(np.repeat(index + n, length))
                 step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
                 start.append(np.repeat(first, length) + step)
                 anchor.append(np.repeat(unplanes(row["anchors"], U64), length))
                 full.append(unplanes(row["windows"], U64))
-                n += len(own)
-            if passed["doc_id"]:
-                yield pa.RecordBatch.from_pydict(passed, schema)
-        if not ids:
+                n += own.shape[1]
+            if passed:
+                yield pa.RecordBatch.from_pydict(named(passed, spans), schema)
+        if not keys:
             return
-        ids, doc, start, anchor, full = map(np.concatenate, (ids, doc, start, anchor, full))
-        late, lead = _repeats(ids, doc, start, anchor, full)
+        keys = np.concatenate(keys, axis=1)
+        doc, start, anchor, full = map(np.concatenate, (doc, start, anchor, full))
+        late, lead = _repeats(_ranks(keys), doc, start, anchor, full)
         if len(late):
-            rows = _spans(doc[late], start[late], ids[doc[lead]], start[lead], ids, window)
+            rows = _spans(doc[late], start[late], keys[0, doc[lead]], start[lead], keys, window)
             for i in range(0, len(rows), 4096):
                 a, b = zip(*rows[i:i + 4096])
-                yield pa.RecordBatch.from_pydict({"doc_id": a, "spans": b}, schema)
+                yield pa.RecordBatch.from_pydict(named(a, b), schema)
     return run
 
 
 def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
             seed: int = SEED, flush: int = FLUSH_WORDS // 2) -> DataFrame:
-    """(doc_id, spans): packed ``SPAN`` records of the factors of documents
-    that have any; a document can have several rows."""
+    """(doc_id, one, two, spans): packed ``SPAN`` records of the factors of
+    documents that have any, under the row's own key; a document can have
+    several rows."""
     spark = prepare(docs.sparkSession)
     n = parts(spark)
-    sent = texts(docs, id_col, text_col).mapInArrow(frugal(_send(n, window, seed, flush)), _SENT)
+    sent = identified(docs, id_col, text_col).mapInArrow(frugal(_send(n, window, seed, flush)), _SENT)
     return sent.repartitionById(n, F.col("block")).mapInArrow(frugal(_answer(window)), _SPANS)
 
 
@@ -254,10 +268,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     out[name].append(v)
             yield pa.RecordBatch.from_pydict(out, schema)
 
-    d = texts(docs, id_col, text_col)
-    spans = factors(docs, id_col, text_col, window, seed).groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
-    spans = spans.withColumnRenamed("doc_id", "of")
-    joined = d.join(spans, F.coalesce("doc_id", F.lit(int(NO_ID))) == F.col("of"), "left")
+    d = identified(docs, id_col, text_col)
+    spans = (factors(docs, id_col, text_col, window, seed).withColumnRenamed("doc_id", "place")
+             .groupBy("place", "one", "two").agg(F.collect_set("spans").alias("spans")))
+    joined = d.join(spans, ["place", "one", "two"], "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(
         frugal(cut), "doc_id long, n_words long, n_removed long, kept string, "
              "factors array<struct<start:long,words:long,source:long,source_start:long>>")

@@ -539,6 +539,23 @@ def test_line_dedup_of_one_long_line(spark):
     assert not any(x.n_removed for x in line_dedup.line_dedup(d, long_words=None).collect() if x.doc_id != 9)
 
 
+def test_rows_are_told_apart_by_their_texts(spark):
+    """Rows without an id, or with the same one, lose what their own text repeats."""
+    r = random.Random(8)
+    a, b, c, own = (prose(r, 60) for _ in range(4))
+    rows = [(1, a), (None, f"{a} {own}"), (None, f"{b} {c}"), (None, f"{c} {b}"), (2, f"{a} {a}"), (2, f"{own} {c}")]
+    got = [(x.doc_id, x.n_words, x.n_removed, x.kept) for x in substring_dedup.substring_dedup(docs_of(spark, rows)).collect()]
+    left = Counter(w for x in got for w in [x[3]] if w)
+    assert (2, 120, 0, f"{own} {c}") in got and (2, 120, 120, "") in got and (None, 120, 120, "") in got
+    assert sorted(x[2] for x in got if x[0] is None) == [60, 120, 120] and left[b] == 1
+
+    rows = [(1, "a\nb"), (None, "a\nb\nu\nv"), (None, "m\nn\no\np"), (None, "m\nn\nq"), (3, "s\nt"), (2, "a\nb\nx"), (2, "y\nz\nw")]
+    got = [(x.doc_id, x.n_lines, x.n_removed) for x in line_dedup.line_dedup(docs_of(spark, rows)).collect()]
+    assert {(1, 2, 0), (None, 4, 2), (2, 3, 2), (2, 3, 0), (3, 2, 0)} <= set(got)
+    assert sorted(n for i, m, n in got if i is None) == [0, 2, 2] and len(got) == 7
+    assert line_dedup.remove(docs_of(spark, [(1, "a\nb"), (2, "a\nb"), (2, "y\nz")])).count() == 2
+
+
 # --- all
 
 
