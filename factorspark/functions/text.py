@@ -59,18 +59,28 @@ def _char(code: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(F.when(fine, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
 
 
-def decode_entities(text) -> Column:
-    """Named (HTML 4), decimal and hexadecimal entities to their characters, a
-    no-break space to a blank; unknown names stay."""
-    x = _c(text)
+def bound(value, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body
+    names it (a lambda's variable is not spelled out again)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _decoded(x: Column) -> Column:
     names = F.create_map(*[F.lit(v) for k, c in sorted(name2codepoint.items()) for v in (k, chr(c))])
     found = F.transform(F.regexp_extract_all(x, F.lit(ENTITY), 1), lambda e: (
         F.when(e.startswith("#x"), _char(F.conv(F.substr(e, F.lit(3)), 16, 10).cast("long")))
         .when(e.startswith("#"), _char(F.substr(e, F.lit(2)).try_cast("long")))
         .otherwise(F.coalesce(F.try_element_at(names, e), F.concat(F.lit("&"), e, F.lit(";"))))))
-    whole = F.array_join(F.transform(F.split(x, ENTITY, -1), lambda p, i: F.concat(
-        p, F.coalesce(F.get(found, i), F.lit("")))), "")
-    return F.replace(F.when(x.contains("&"), whole).otherwise(x), F.lit("\u00a0"), F.lit(" "))
+    # There is one piece more than there are entities.
+    return F.array_join(F.zip_with(F.split(x, ENTITY, -1), found, lambda piece, e: F.concat(
+        piece, F.coalesce(e, F.lit("")))), "")
+
+
+def decode_entities(text) -> Column:
+    """Named (HTML 4), decimal and hexadecimal entities to their characters, a
+    no-break space to a blank; unknown names stay.  Linear in the text."""
+    return bound(_c(text), lambda x: F.replace(F.when(x.contains("&"), _decoded(x)).otherwise(x),
+                                               F.lit("\u00a0"), F.lit(" ")))
 
 
 def strip_html(html) -> Column:

@@ -57,6 +57,24 @@ def test_small_column_tools(spark):
     assert e.select(decode_entities("t")).first()[0] == "a<b\u00e9\u00e9\u00e9&nope; c&lt; \ufffd"
 
 
+def test_entity_decoding_is_linear(spark):
+    import time
+
+    from factorspark.functions.text import decode_entities
+    n = 10_000
+    d = spark.createDataFrame([("x&lt;" * n,)], "t string").repartition(1).select(decode_entities("t").alias("t"))
+    assert d.first()[0] == "x<" * n
+    began = time.time()
+    d.first()
+    assert time.time() - began < 3
+
+
+def test_document_pattern_is_not_repeated_in_the_plan(spark):
+    for job in ("section_positions", "section_text"):
+        plan = E.queries()[job](spark, SF0)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("<DOCUMENT>(.*?)") == 1, job
+
+
 def test_naive_bayes_by_hand(spark):
     from factorspark.plans import models as md
     counts = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (2, "b", 1), (3, "c", 4), (4, "zz", 1)],
