@@ -1,6 +1,8 @@
 """Operators for preparing training text; nothing else in the library imports this folder."""
 
 from .common import ORACLES, QUERIES
-from . import chat_format, decontaminate, exact_dedup, line_dedup, lm_score, ngram_join, packing, substring_dedup, token_counts, toxicity  # noqa: F401
+from . import (  # noqa: F401
+    chat_format, decontaminate, exact_dedup, hard_negatives, line_dedup, lm_score, ngram_join, packing,
+    substring_dedup, token_counts, toxicity)
 
 __all__ = ["QUERIES", "ORACLES"]
