@@ -2,7 +2,7 @@
 
 from .common import ORACLES, QUERIES
 from . import (  # noqa: F401
-    chat_format, decontaminate, exact_dedup, hard_negatives, line_dedup, lm_score, ngram_join, packing,
-    substring_dedup, token_counts, toxicity)
+    chat_format, decontaminate, exact_dedup, filter_audit, hard_negatives, line_dedup, lm_score, ngram_join, packing,
+    substring_dedup, token_counts, toxicity, warc)
 
 __all__ = ["QUERIES", "ORACLES"]
