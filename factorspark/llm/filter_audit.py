@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import frugal, prepare, query, table
+from .common import cut_lineage, frugal, prepare, query, table
 from .words import SPACED, Words
 
 #: Fixed values of the filters: fewest words, least percentage of distinct
@@ -82,9 +82,10 @@ def measured(docs: DataFrame, id_col: str, text_col: str, part_col: str) -> Data
                 [*batch.columns[:3], pa.array(failures(batch.column(3)), pa.int32())], ["doc_id", "part", "hash", "bits"])
 
     d = d.mapInArrow(frugal(run), "doc_id long, part string, hash binary, bits int")
-    first = (docs.select(docs[id_col].cast("long").alias("doc_id"), F.unhex(F.md5(text.cast("binary"))).alias("hash"))
-             .groupBy("hash").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").drop("n"))
+    # Written before it is joined, so that Spark can split the rows of a hot text.
+    first = cut_lineage(docs.select(docs[id_col].cast("long").alias("doc_id"), F.unhex(F.md5(text.cast("binary"))).alias("hash"))
+                        .groupBy("hash").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+                        .where("n > 1").drop("n"))
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).cast("int") * (1 << 4)
     return d.join(first, "hash", "left").select("doc_id", "part", F.col("bits").bitwiseOR(copy).alias("fails"))
 
