@@ -52,9 +52,9 @@ MEMBERS, ENTRIES, SHARED = 0, 1, 2
 _PARTS = ("one", "two", "n", "index", "hash", "more")
 _SENT = "dest int, kind int, " + ", ".join(f"{n} binary" for n in _PARTS)
 _SENT_SCHEMA = pa.schema([("dest", pa.int32()), ("kind", pa.int32()), *((n, pa.binary()) for n in _PARTS)])
-_ROWS = "doc_id long, node long, two long, n long, prefix array<long>, cols binary"
-_ROWS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("two", pa.int64()), ("n", pa.int64()),
-                          ("prefix", pa.list_(pa.int64())), ("cols", pa.binary())])
+_ROWS = "doc_id long, own long, node long, two long, n long, prefix array<long>, cols binary"
+_ROWS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("own", pa.int64()), ("node", pa.int64()), ("two", pa.int64()),
+                          ("n", pa.int64()), ("prefix", pa.list_(pa.int64())), ("cols", pa.binary())])
 
 
 def _shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +94,7 @@ def _record(rows, schema):
 
 
 def _send(n: int, size: int, flush: int):
-    def emit(held, ids, docs):
+    def emit(held, ids, owns, docs):
         doc, h = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.int64), np.zeros(0, U64))
         o = np.argsort(h, kind="stable")
         again = np.zeros(len(h), bool)           # a document's shingle that came before in it
@@ -111,9 +111,9 @@ def _send(n: int, size: int, flush: int):
                 p[has] = np.add.reduceat(v, first[has])
             prints.append(mix(p + count.astype(U64)))
         one, two = prints
-        ids = np.array(ids, np.int64)
+        ids, owns = np.array(ids, np.int64), np.concatenate(owns)
         for k, at in _dealt((mix(one ^ ids.astype(U64)) % U64(n)).astype(np.int64), n):
-            yield k, MEMBERS, planes(one[at]), planes(two[at]), planes(count[at]), planes(ids[at]), None, None
+            yield k, MEMBERS, planes(one[at]), planes(two[at]), planes(count[at]), planes(ids[at]), planes(owns[at]), None
         # One document a class stands for it.
         o2 = np.lexsort((two, one))
         lead = np.zeros(docs, bool)
@@ -136,18 +136,19 @@ def _send(n: int, size: int, flush: int):
                    planes((index - int(marks.sum())).astype(np.int32)), planes(step), None)
 
     def run(batches):
-        held, ids, docs, total = [], [], 0, 0
+        held, ids, owns, docs, total = [], [], [], 0, 0
         for batch in batches:
             w = Words(batch.column("text"), SPACED, True)
             doc, h = _shingles(w, size)
             held.append((doc + docs, h))
             ids.extend(NO_ID if x is None else x for x in batch.column("doc_id").to_pylist())
+            owns.append(batch.column("own").to_numpy())
             docs, total = len(ids), total + len(h)
             if total >= flush:
-                yield from _flush(emit(held, ids, docs))
-                held, ids, docs, total = [], [], 0, 0
+                yield from _flush(emit(held, ids, owns, docs))
+                held, ids, owns, docs, total = [], [], [], 0, 0
         if docs:
-            yield from _flush(emit(held, ids, docs))
+            yield from _flush(emit(held, ids, owns, docs))
     return run
 
 
@@ -221,8 +222,9 @@ def _classes(percent: int):
                 if r["kind"] == MEMBERS:
                     ids = unplanes(r["index"], np.int64)
                     members.append(pa.RecordBatch.from_arrays(
-                        [pa.array(ids, mask=ids == NO_ID), pa.array(unplanes(r["one"], np.int64)),
-                         pa.array(unplanes(r["two"], np.int64)), pa.array(unplanes(r["n"], np.int32).astype(np.int64)),
+                        [pa.array(ids, mask=ids == NO_ID), pa.array(unplanes(r["hash"], np.int64)),
+                         pa.array(unplanes(r["one"], np.int64)), pa.array(unplanes(r["two"], np.int64)),
+                         pa.array(unplanes(r["n"], np.int32).astype(np.int64)),
                          pa.nulls(len(ids), pa.list_(pa.int64())), pa.nulls(len(ids), pa.binary())],
                         schema=_ROWS_SCHEMA))
                     continue
@@ -254,7 +256,7 @@ def _classes(percent: int):
             n, shared = int(size[c]), int(z - a)
             if shared >= _need(n, percent):
                 ahead = n - _need(n, percent) + 1 - (n - shared)
-                out.append((None, int(one[c].view(np.int64)), int(two[c].view(np.int64)), n,
+                out.append((None, None, int(one[c].view(np.int64)), int(two[c].view(np.int64)), n,
                             h[a:a + ahead].view(np.int64).tolist(), h[a:z].tobytes()))
             if len(out) == 256:
                 yield _record(out, _ROWS_SCHEMA)
@@ -353,16 +355,15 @@ def _tiles(percent: int):
     return run
 
 
-def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
-               percent: int = PERCENT, flush: int = FLUSH_WORDS // 2) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (to documents with other
-    shingle sets, each set counted once), one row per input row."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, flush: int) -> DataFrame:
+    """doc_id, own (the text's hash), n, label (of the component; null without
+    shingles), component (its smallest id), links, one row per input row."""
     spark = prepare(docs.sparkSession)
     n = parts(spark)
-    sent = texts(docs, id_col, text_col).mapInArrow(frugal(_send(n, size, flush)), _SENT).repartitionById(n, F.col("dest"))
+    sent = texts(docs, id_col, text_col).withColumn("own", F.xxhash64("text")).mapInArrow(frugal(_send(n, size, flush)), _SENT).repartitionById(n, F.col("dest"))
     shared = sent.mapInArrow(frugal(_columns(n)), _SENT).repartitionById(n, F.col("dest"))
     rows = cut_lineage(shared.mapInArrow(frugal(_classes(percent)), _ROWS))
-    members = rows.where("cols IS NULL").select("doc_id", "node", "two", "n")
+    members = rows.where("cols IS NULL").select("doc_id", "own", "node", "two", "n")
     classes = rows.where("cols IS NOT NULL").select("node", "n", "prefix", "cols")
 
     spread = classes.select("node", F.explode("prefix").alias("col"))
@@ -389,11 +390,43 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .join(joined, "node", "left").join(linked, "node", "left")
               .withColumn("label", F.coalesce("label", "node")))
     least = cut_lineage(lowest.groupBy("label").agg(F.min("low").alias("component")))
-    known = lowest.join(least, "label").select("node", "two", "component", "links")
-    return (members.join(known, ["node", "two"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.coalesce("links", F.lit(0)).cast("long").alias("n_links")))
+    known = lowest.join(least, "label").select("node", "two", "label", "component", "links")
+    return members.join(known, ["node", "two"], "left").select("doc_id", "own", "n", "label", "component", "links")
+
+
+def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
+               percent: int = PERCENT, flush: int = FLUSH_WORDS // 2) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links (to documents with other
+    shingle sets, each set counted once), one row per input row."""
+    return _grouped(docs, id_col, text_col, size, percent, flush).select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
+                percent: int = PERCENT, flush: int = FLUSH_WORDS // 2) -> DataFrame:
+    """``docs``, all columns, with one row of each component: that with the
+    smallest id (rows without id last), then the smallest hash of the text.
+
+    Rows are told apart by id and text: rows that share an id stay each for its
+    own component, whatever the other's text.  Rows that repeat id and text are
+    one document, which the row with the smallest hash of all its columns
+    stands for; so are wordless ones.
+    """
+    groups = _grouped(docs, id_col, text_col, size, percent, flush)
+    key = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("place"), "own")
+    best = groups.where("n > 0").groupBy("label").agg(F.min(key).alias("k")).select("k.*")
+    stay = best.unionAll(groups.where("n = 0").select(key.alias("k")).select("k.*").distinct())
+    place = F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID))
+    own = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    # A map has no hash; its text has.
+    cells = [F.to_json(F.struct(docs[c])) if "map<" in t or "variant" in t else docs[c] for c, t in docs.dtypes]
+    rows = docs.select(place.alias("_llm_place"), own.alias("_llm_own"), F.xxhash64(*cells).alias("_llm_rank"),
+                       F.struct(*docs.columns).alias("_llm_row"))
+    kept = rows.join(stay, (rows["_llm_place"] == stay["place"]) & (rows["_llm_own"] == stay["own"]), "left_semi")
+    return (kept.groupBy("_llm_place", "_llm_own").agg(F.min_by("_llm_row", "_llm_rank").alias("_llm_row"))
+            .select("_llm_row.*"))
 
 
 ORACLE = r"""

@@ -7,7 +7,7 @@ logistic unit.  Gradients flow to the places of the maxima alone, so a step
 touches few embeddings; all parameters are trained by Adagrad.  Embeddings of
 fewer than ``MIN_TEXTS`` training texts stay zero.
 
-Training uses a bounded sample of the labelled rows: of each class the
+Training, in one task, uses a bounded sample of the labelled rows: of each class the
 ``train_rows`` with the smallest id hashes, texts up to ``train_chars``
 characters, none of them from the fifth of the ids that is kept apart.  All
 other labelled rows, whole texts, calibrate a threshold for each language: of
@@ -24,8 +24,8 @@ has a fixed size (2 MB).
 
 Defined cases: a null or empty text scores as padding alone; without labels
 of both classes every score is the share of toxic labels (0 without labels);
-rows that repeat an id score one by one; of labels that repeat an id the
-largest counts; labels that are null, or of no document, are left out; further
+rows that repeat an id score one by one, and the one with the smallest text is
+trained on; of labels that repeat an id the largest counts; labels that are null, or of no document, are left out; further
 columns are kept by ``reject``; an empty table gives no rows.
 """
 
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import frugal, give_back, prepare, query, table, texts
+from .common import frugal, prepare, query, table, texts
 from .words import SPACED, U64, Words
 
 #: The training sample's bounds: rows of each class, characters of a text.
@@ -185,6 +185,22 @@ class Network:
         self.trained = True
         return self
 
+    def dumps(self) -> bytes:
+        """The trained parameters, one after the other."""
+        return b"".join(np.ascontiguousarray(p, np.float32).tobytes() for p in self._parameters())
+
+    @classmethod
+    def loads(cls, raw: bytes) -> Network:
+        out, at = cls(), 0
+        for p in out._parameters():
+            p[...] = np.frombuffer(raw, np.float32, p.size, at).reshape(p.shape)
+            at += p.nbytes
+        out.trained = True
+        return out
+
+    def _parameters(self):
+        return [self.embed, *self.filters, self.shift, self.out, self.bias]
+
     def score(self, column) -> np.ndarray:
         return _sigmoid(self.logit(*features(column)))
 
@@ -238,18 +254,36 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     lang.cast("string").alias("lang"))
     # At most 2 * train_rows ids: a bounded side.
     rows = (d.where(F.length("text") <= train_chars).join(F.broadcast(picked), "id")
-            .dropDuplicates(["id"]).orderBy("h", "id").toArrow())
-    y = rows.column("y").to_numpy().astype(np.float32)
-    if not 0 < y.sum() < len(y):
+            .groupBy("h", "id", "y").agg(F.min("text").alias("text")))
+    trained = (rows.repartition(1).sortWithinPartitions("h", "id")
+               .mapInArrow(frugal(_train), "network binary, ids binary").first())
+    if trained is None:
         both = d.join(known, "id").agg(F.avg("y")).first()[0]
         return Classifier(Network(float(both or 0.0)), {}, 0.5)
-    ids, first = gathered(rows.column("text"))
-    fitted = rows.select(["id"]).to_pandas()
-    del rows                                     # the texts that have become numbers
+    fitted = docs.sparkSession.createDataFrame(
+        pa.table({"id": np.frombuffer(trained["ids"], np.int64)}))
+    return _calibrated(Network.loads(trained["network"]), d, known, fitted, min_positive, precision)
+
+
+def _train(batches):
+    """The network of the sample's rows, which one task holds: at most twice
+    ``train_rows`` texts of ``train_chars`` characters, made into numbers batch
+    by batch."""
+    found, y, own = [], [], []
+    for batch in batches:
+        found.append(gathered(batch.column("text")))
+        y.append(batch.column("y").to_numpy())
+        own.append(batch.column("id").to_numpy())
+    y = np.concatenate(y).astype(np.float32) if y else np.zeros(0, np.float32)
+    if not 0 < y.sum() < len(y):
+        return
+    first = np.cumsum(np.concatenate([[0], *(np.diff(f) for _, f in found)]))
+    ids = np.concatenate([i for i, _ in found])
+    del found
     network = Network().train(ids, first, y)
-    del ids
-    give_back()
-    return _calibrated(network, d, known, docs.sparkSession.createDataFrame(fitted, "id long"), min_positive, precision)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([network.dumps()], pa.binary()), pa.array([np.concatenate(own).tobytes()], pa.binary())],
+        ["network", "ids"])
 
 
 def _calibrated(network: Network, d: DataFrame, known: DataFrame, fitted: DataFrame, min_positive: int,
