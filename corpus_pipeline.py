@@ -7,8 +7,9 @@ toxicity         documents that are toxic by their language's threshold go
 line_dedup       later repeated runs of lines are cut; a document whose lines
                  all were in such runs goes
 ngram_join       of documents linked at 80 % of their shingles the one with the
-                 smallest id stays; rows that repeat an id become one; rows
-                 without id, which cannot be told apart, all stay
+                 smallest id stays, then the smallest hash of the text (rows
+                 are told apart by id and text; rows without id come last);
+                 rows that repeat id and text become one
 decontamination  spans that match the benchmark are cut; documents that mostly
                  consist of them go
 packing          what is left becomes token sequences
@@ -40,12 +41,7 @@ def cut_repeated_lines(spark, docs, sf_dir):
 
 
 def one_of_each_group(spark, docs, sf_dir):
-    groups = ngram_join.ngram_join(docs)
-    stay = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_llm_stay"))
-    named = docs.where("doc_id IS NOT NULL")
-    # The semi join leaves the rows dealt by id, so the rest needs no shuffle.
-    kept = named.join(stay, named["doc_id"].cast("long") == stay["_llm_stay"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    return ngram_join.one_of_each(docs)
 
 
 def cut_benchmark(spark, docs, sf_dir):
