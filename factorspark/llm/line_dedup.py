@@ -204,11 +204,39 @@ k AS (SELECT d.doc_id, string_agg(u.line, chr(10) ORDER BY u.p) FILTER (gone.p I
 SELECT doc_id, n_lines, n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM k
 """
 
+#: The operator's own rule: a long line is a window as well.
+FULL_ORACLE = rf"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\r\n]'), lambda x: x <> '') AS l
+           FROM documents),
+w AS (SELECT doc_id, p, 'pair ' || array_to_string(l[p:p + {WINDOW - 1}], chr(10)) AS g, {WINDOW} AS n
+      FROM (SELECT doc_id, l, unnest(range(1, len(l) - {WINDOW - 2})) AS p FROM d WHERE len(l) >= {WINDOW})
+      UNION ALL
+      SELECT doc_id, p, 'line ' || l[p], 1 FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS p FROM d)
+      WHERE strlen(l[p]) >= {LONG_BYTES * LONG_WORDS} OR len(regexp_extract_all(l[p], '[^\x20\x09-\x0D]+')) >= {LONG_WORDS}),
+f AS (SELECT doc_id, p, n, row_number() OVER (PARTITION BY g ORDER BY doc_id, p) > 1 AS late FROM w),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS p FROM f WHERE late),
+k AS (SELECT d.doc_id, string_agg(u.line, chr(10) ORDER BY u.p) FILTER (gone.p IS NULL) AS kept,
+             count(u.p) AS n_lines, count(gone.p) AS n_removed
+      FROM d LEFT JOIN (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS p FROM d) u USING (doc_id)
+      LEFT JOIN gone ON gone.doc_id = u.doc_id AND gone.p = u.p GROUP BY d.doc_id)
+SELECT doc_id, n_lines, n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM k
+"""
+
+
+def _digest(r: DataFrame) -> DataFrame:
+    kept = F.array_join(F.filter(F.split("kept", r"[\r\n]"), lambda x: x != ""), "\n")
+    return r.select("doc_id", "n_lines", "n_removed", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
+
 
 @query("op10_line_dedup", ORACLE)
 def op10_line_dedup(spark, sf_dir):
     """Runs of lines that stand earlier in the corpus, removed; the SQL's
     runs are of two lines at least."""
-    r = line_dedup(table(spark, sf_dir, "documents"), long_words=None)
-    kept = F.array_join(F.filter(F.split("kept", r"[\r\n]"), lambda x: x != ""), "\n")
-    return r.select("doc_id", "n_lines", "n_removed", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
+    return _digest(line_dedup(table(spark, sf_dir, "documents"), long_words=None))
+
+
+@query("line_dedup_long_lines", FULL_ORACLE)
+def line_dedup_long_lines(spark, sf_dir):
+    """The same with the operator's own rule, as the pipeline applies it: one
+    line of 50 words or 300 bytes is a run as well."""
+    return _digest(line_dedup(table(spark, sf_dir, "documents")))
