@@ -1,11 +1,10 @@
 """Model jobs L8-L17, E9 on Spark ML.  Closed forms (ridge on Gram sums,
-multinomial naive Bayes counts) run as aggregations; iterative learners are
-Spark ML estimators fitted on distributed data, looped over small grids."""
+multinomial naive Bayes counts) run as aggregations; grids over date folds are
+in ``ridge``, ``selectk``, ``ensemble`` and ``crossval``, text classifiers in
+``text.classify``."""
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,44 +80,3 @@ def probability_score(prob) -> Column:
 def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
     return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="error").transform(df)
-
-
-def regression_grid(train: DataFrame, valid: DataFrame, features: list[str], target: str,
-                    grid: dict[str, list], learner: str = "forest", seed: int = 0) -> DataFrame:
-    """Fit every parameter set on ``train`` and score ``valid``
-    (RMSE and direction accuracy), one row per parameter set."""
-    from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-
-    from ..session import cut_lineage
-    # iterative learners re-read their input every pass: materialise it once
-    tr = cut_lineage(assemble(train, features).select("features", target))
-    va = cut_lineage(assemble(valid, features).select("features", target))
-    rows = []
-    keys = sorted(grid)
-    for vals in itertools.product(*[grid[k] for k in keys]):
-        params = dict(zip(keys, vals))
-        if learner == "forest":
-            est = RandomForestRegressor(labelCol=target, featuresCol="features", seed=seed,
-                                        featureSubsetStrategy="all", **params)
-        else:
-            est = LinearRegression(labelCol=target, featuresCol="features", fitIntercept=False,
-                                   standardization=False, **params)
-        m = est.fit(tr)
-        p = m.transform(va)
-        r = p.agg(F.sqrt(F.avg((F.col("prediction") - F.col(target)) ** 2)).alias("rmse"),
-                  F.avg(((F.col("prediction") > 0) == (F.col(target) > 0)).cast("double")).alias("acc")).first()
-        rows.append((learner, str(params), float(r.rmse), float(r.acc)))
-    return train.sparkSession.createDataFrame(rows, "model string, params string, rmse double, acc double")
-
-
-def sparse_term_vectors(counts: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Sparse tf-idf vectors per document with Spark ML (CountVectorizer +
-    IDF) from the long (doc, term, tf) counts; every term is kept, and the bag
-    is rebuilt per document (bounded by one document)."""
-    from pyspark.ml.feature import IDF, CountVectorizer
-    bags = counts.groupBy(key).agg(F.flatten(F.collect_list(F.array_repeat("term", F.col("tf").cast("int"))))
-                                   .alias("terms"))
-    size = max(2, counts.select("term").distinct().count())
-    cv = CountVectorizer(inputCol="terms", outputCol="tf_vec", minDF=1, vocabSize=size).fit(bags)
-    tf = cv.transform(bags)
-    return IDF(inputCol="tf_vec", outputCol="features").fit(tf).transform(tf).select(key, "features")

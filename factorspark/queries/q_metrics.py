@@ -172,3 +172,23 @@ def predict_and_score(spark, sf):
         .withColumn("pred", F.col("momentum") / 100.0)
     r = mt.predict_and_score(s, "fwd_1", "pred")
     return r.select("split", *[r8(c) for c in ("pmean", "mse", "acc_target_pos", "acc_target_neg", "acc")])
+
+
+@register("predict_and_score_classes", S_SQL + """,
+lab AS (SELECT date, CASE WHEN session_idx < floor(count(*) OVER () * 0.6) THEN 'train'
+  WHEN session_idx < floor(count(*) OVER () * 0.8) THEN 'valid' ELSE 'test' END AS split
+  FROM (SELECT DISTINCT date, dense_rank() OVER (ORDER BY date) - 1 AS session_idx FROM fp)),
+s AS (SELECT split, CAST(momentum > 0 AS INTEGER) AS pred, CAST(fwd_1 > 0 AS INTEGER) AS y
+      FROM fp JOIN lab USING (date) WHERE momentum IS NOT NULL AND fwd_1 IS NOT NULL)
+SELECT split, round(avg(pred), 8) AS pmean, round(avg(CAST(pred = y AS DOUBLE)), 8) AS accuracy,
+  round(avg(CAST(pred = y AS DOUBLE)) FILTER (y = 1), 8) AS acc_target_pos,
+  round(avg(CAST(pred = y AS DOUBLE)) FILTER (y = 0), 8) AS acc_target_neg, round(avg(CAST(pred = y AS DOUBLE)), 8) AS acc
+FROM s GROUP BY split""")
+def predict_and_score_classes(spark, sf):
+    """L4 (classes): mean predicted class, accuracy and hit rates by class per
+    split (class = the factor's sign)."""
+    s = ft.split_by_fraction(_scored(spark, sf)).filter(
+        F.col("momentum").isNotNull() & F.col("fwd_1").isNotNull()).withColumns({
+            "pred": (F.col("momentum") > 0).cast("int"), "y": (F.col("fwd_1") > 0).cast("int")})
+    r = mt.predict_and_score(s, "y", "pred", kind="clf")
+    return r.select("split", *[r8(c) for c in ("pmean", "accuracy", "acc_target_pos", "acc_target_neg", "acc")])

@@ -14,7 +14,7 @@ from ..plans import models as md
 from ..plans.text import bow as bw
 from ..registry import register
 from ..sources.tables import read
-from .common import WEEKLY, pw, r8
+from .common import WEEKLY, nn, pw, r8
 from .q_factors import sql_factor_panel
 from .q_text import DOCS, LEX_CTE, SCORE_CTE, Corpus
 
@@ -115,93 +115,63 @@ def naive_bayes_probability(spark, sf):
     return d.select("doc_id", r8("prob", d=6), r8(md.probability_score("prob"), "score", 6))
 
 
-def _split(spark, sf):
-    p = ft.split_by_fraction(_panel(spark, sf)).dropna(subset=FEATS + ["fwd_1"])
-    return p.filter("split = 'train'"), p.filter("split = 'valid'"), p.filter("split = 'test'")
-
-
 @register("forest_reg")
 def forest_reg(spark, sf):
-    """Random-forest regressor grid (depth 3/5), validation RMSE and
-    direction accuracy per parameter set."""
-    tr, va, _ = _split(spark, sf)
-    return md.regression_grid(tr, va, FEATS, "fwd_1", {"numTrees": [200], "maxDepth": [3, 5]}, "forest")
+    """Random-forest regressor grid (200 trees; share of the rows 0.25, 0.5,
+    0.75; depth 3, 5) over expanding date folds: a row per fold and scorer."""
+    from .q_selection import FEATS as TWO, forest_cv, small_panel
+    return forest_cv(small_panel(spark, sf), TWO).frame(spark, "forest")
 
 
 @register("ridge_cv")
 def ridge_cv(spark, sf):
-    """Linear model grid over three expanding date folds; mean
-    validation metrics per parameter set and the champion flag."""
-    from ..session import cut_lineage
-    p = cut_lineage(_panel(spark, sf).dropna(subset=FEATS + ["fwd_1"]).select("date", *FEATS, "fwd_1"))
-    folds = ft.time_folds(p, 3)
-    res = None
-    for k in range(3):
-        f = folds.filter(F.col("fold") == k)
-        tr = p.join(f.filter("role = 'train'").select("date"), "date", "left_semi")
-        te = p.join(f.filter("role = 'test'").select("date"), "date", "left_semi")
-        g = md.regression_grid(tr, te, FEATS, "fwd_1", {"regParam": [0.0, 0.1, 1.0]}, "linear") \
-            .withColumn("fold", F.lit(k))
-        res = g if res is None else res.unionByName(g)
-    s = res.groupBy("model", "params").agg(F.avg("rmse").alias("cv_rmse"), F.avg("acc").alias("cv_acc"))
-    best = s.agg(F.min_by("params", "cv_rmse").alias("best")).first().best
-    return s.withColumn("champion", F.col("params") == F.lit(best))
+    """Ridge on two factors over three expanding date folds; mean
+    metrics per penalty and the champion by RMSE."""
+    from ..plans import ridge as rg
+    from .q_selection import FEATS as TWO, small_panel
+    g = rg.ridge_grid(small_panel(spark, sf), {"two": TWO}, "fwd_1", [0.0, 0.1, 1.0, 10.0])
+    s = g.summary().drop("rank")
+    return s.withColumn("champion", F.col("alpha") == g.best("rmse")[1])
 
 
 @register("voting_ensemble")
 def voting_ensemble(spark, sf):
     """Non-overlapping voter: one forest per offset of every 5th
-    session, class probabilities averaged; validation accuracy per setting."""
+    session, class probabilities averaged; figures of both splits per depth."""
     from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.functions import vector_to_array
-    from ..session import cut_lineage
-    tr, va, _ = _split(spark, sf)
-    cols = ["date", "asset", "session_idx", *FEATS, "fwd_1"]
-    tr = cut_lineage(tr.select(*cols).withColumn("label", (F.col("fwd_1") > 0).cast("double")))
-    va = cut_lineage(va.select(*cols).withColumn("label", (F.col("fwd_1") > 0).cast("double")))
-    rows = []
-    for depth in (3, 5):
-        n_skip = 4
-        probs = None
-        vam = md.assemble(va, FEATS)
-        for start in range(n_skip + 1):
-            sub = md.assemble(tr.filter((F.col("session_idx") - start) % (n_skip + 1) == 0), FEATS)
-            m = RandomForestClassifier(numTrees=50, maxDepth=depth, seed=start, labelCol="label").fit(sub)
-            p = m.transform(vam).select("date", "asset", "label",
-                                        vector_to_array("probability")[1].alias(f"p{start}"))
-            probs = p if probs is None else probs.join(p.drop("label"), ["date", "asset"])
-        avg = sum(F.col(f"p{s}") for s in range(n_skip + 1)) / (n_skip + 1)
-        r = probs.agg(F.avg(((avg > 0.5).cast("double") == F.col("label")).cast("double")).alias("acc")).first()
-        rows.append((int(depth), float(r.acc)))
-    return spark.createDataFrame(rows, "max_depth int, valid_acc double")
+    from ..plans import ensemble as en
+    from .q_selection import FEATS as TWO, labelled, of, small_panel
+    p = ft.split_by_fraction(small_panel(spark, sf))
+
+    def build(maxDepth):
+        return en.NoOverlapVoter(estimator=RandomForestClassifier(numTrees=50, maxDepth=maxDepth, seed=0))
+
+    return en.train_valid_grid(build, {"maxDepth": [3, 5]}, labelled(of(p, "train"), TWO), labelled(of(p, "valid"), TWO))[1]
 
 
 @register("logreg_grid")
 def logreg_grid(spark, sf):
     """L1 and L2 logistic regression (no intercept) of the
-    quality label on sparse tf-idf vectors (CountVectorizer + IDF); test AUC
-    and the share of zero coefficients."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    quality label on hashed tf-idf vectors over three expanding date folds;
+    mean AUC and accuracy, and the share of terms that the model of all dates
+    holds at 0."""
+    from ..plans import crossval as cv
+    from ..plans.text import classify as tc
     from ..session import cut_lineage
     c = Corpus(spark, sf)
-    lab = read(spark, sf, "labels", "doc_id", "quality")
-    vec = md.sparse_term_vectors(c.counts.join(lab.select("doc_id"), "doc_id", "left_semi"))
-    data = cut_lineage(vec.join(lab, "doc_id").select("doc_id", "features",
-                                                      F.col("quality").cast("double").alias("label")))
-    train = data.filter(F.col("doc_id") % 5 != 0)
-    test = data.filter(F.col("doc_id") % 5 == 0)
-    nt = max(train.count(), 1)
-    ev_ = BinaryClassificationEvaluator()
+    lab = read(spark, sf, "labels", "doc_id", "quality").dropna().groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    counts = cut_lineage(c.counts.join(lab.select("doc_id"), "doc_id", "left_semi"))
+    terms = cut_lineage(tc.term_table(counts))
+    data = cut_lineage(tc.hashed_tfidf(counts).join(lab, "doc_id").join(c.docs.select("doc_id", "date"), "doc_id").select(
+        "doc_id", "date", "features", F.col("quality").cast("double").alias("label")))
     out = []
-    for l1 in (1.0, 0.0):
-        for cc in (0.01, 0.1, 1.0, 10.0, 100.0):
-            m = LogisticRegression(elasticNetParam=l1, regParam=1.0 / (cc * nt), fitIntercept=False,
-                                   standardization=False, maxIter=1000 if l1 else 250).fit(train)
-            auc = ev_.evaluate(m.transform(test))
-            coef = m.coefficients.toArray()
-            out.append(("l1" if l1 else "l2", float(cc), float(auc), float((coef == 0).mean())))
-    return spark.createDataFrame(out, "penalty string, C double, test_auc double, share_zero double")
+    for penalty in ("l1", "l2"):
+        for weight in (0.01, 0.1, 1.0, 10.0, 100.0):
+            own = tc.PenalisedLogistic(C=weight, penalty=penalty, maxIter=100)
+            m = cv.DateFoldCrossValidator(estimator=own, evaluator=tc.ClassEvaluator(), numFolds=3).fit(data)
+            zero = tc.share_zero(tc.coefficient_table(m.bestModel, terms)).first().share_zero
+            out.append((penalty, weight, *(m.mean()[x] for x in ("auc", "accuracy")), float(zero)))
+    return spark.createDataFrame(out, "penalty string, C double, cv_auc double, cv_accuracy double, share_zero double")
 
 
 @register("ml_sentiment_alpha", NB_SQL + ML_ALPHA_SQL + """
@@ -212,7 +182,7 @@ def ml_sentiment_alpha(spark, sf):
     return ml_alpha(spark, sf, Corpus(spark, sf)).select("doc_id", "year", r8("alpha"))
 
 
-@register("ml_factor_eval", sql_factor_panel(FEATS + ["overnight_sentiment"], fwd_periods=(1,)) + """,
+_ML_SQL = sql_factor_panel(FEATS + ["overnight_sentiment"], fwd_periods=(1,)) + """,
 v AS (SELECT momentum AS x1, mean_reversion AS x2, fwd_1 AS y FROM fp
       WHERE momentum IS NOT NULL AND mean_reversion IS NOT NULL AND fwd_1 IS NOT NULL),
 s AS (SELECT sum(x1 * x1) + 1.0 AS a, sum(x1 * x2) AS b, sum(x2 * x2) + 1.0 AS d, sum(x1 * y) AS c1,
@@ -227,22 +197,86 @@ rk AS (SELECT date, rank() OVER (PARTITION BY date ORDER BY round(value, 10))
          + (count(*) OVER (PARTITION BY date, round(value, 10)) - 1) / 2.0 AS rv,
        rank() OVER (PARTITION BY date ORDER BY round(fwd_1, 10))
          + (count(*) OVER (PARTITION BY date, round(fwd_1, 10)) - 1) / 2.0 AS rf FROM fd),
-ic AS (SELECT date, CASE WHEN isnan(corr(rv, rf)) THEN NULL ELSE corr(rv, rf) END AS ic FROM rk GROUP BY date)
+ic AS (SELECT date, CASE WHEN isnan(corr(rv, rf)) THEN NULL ELSE corr(rv, rf) END AS ic FROM rk GROUP BY date)"""
+
+
+@register("ml_factor_eval", _ML_SQL + """
 SELECT 'ml_factor' AS factor, round((SELECT avg(r) / NULLIF(stddev_samp(r), 0) * sqrt(52.0) FROM fr), 8) AS sharpe,
   round((SELECT avg(ic) FROM ic), 8) AS mean_ic""")
 def ml_factor_eval(spark, sf):
     """Ridge predictions as an ML factor, evaluated like any factor:
     factor returns, annualised Sharpe and mean rank IC."""
-    p = _panel(spark, sf)
-    coefs = md.ridge_gram(p, FEATS, "fwd_1", 1.0)
-    sc = md.score_linear(p, coefs, FEATS, "ml_factor")
-    fd = ev.factor_data(ev.to_long(sc, ["ml_factor"], ["fwd_1"]), (1,), quantiles=5)
+    fd = _ml_factor(spark, sf)
     fr = ev.factor_returns(fd, 1)
     sh = ev.sharpe(fr, "factor_return", "factor", "weekly")
     ic = ev.rank_ic(fd, 1).groupBy("factor").agg(F.avg("ic").alias("mean_ic"))
     return sh.join(ic, "factor").select("factor", r8("sharpe"), r8("mean_ic"))
 
 
+def _ml_factor(spark, sf):
+    """The ridge's predictions as long factor data."""
+    p = _panel(spark, sf)
+    sc = md.score_linear(p, md.ridge_gram(p, FEATS, "fwd_1", 1.0), FEATS, "ml_factor")
+    return ev.factor_data(ev.to_long(sc, ["ml_factor"], ["fwd_1"]), (1,), quantiles=5)
+
+
+@register("ml_factor_series", _ML_SQL.replace("fd AS (SELECT date, asset,", "fd AS (SELECT date, asset, session_idx,") + """,
+rt AS (SELECT date, session_idx, asset, rv FROM (SELECT fd.*, rank() OVER (PARTITION BY date ORDER BY round(value, 10))
+         + (count(*) OVER (PARTITION BY date, round(value, 10)) - 1) / 2.0 AS rv FROM fd)),
+ac AS (SELECT a.date, CASE WHEN isnan(corr(a.rv, b.rv)) THEN NULL ELSE corr(a.rv, b.rv) END AS autocorr
+       FROM rt a JOIN rt b ON b.asset = a.asset AND b.session_idx = a.session_idx - 1 GROUP BY a.date)
+SELECT date, round(r, 8) AS factor_return, round(ln(abs(product(1 + r) OVER (ORDER BY date))), 8) AS log_cum_return,
+  product(1 + r) OVER (ORDER BY date) > 0 AS cum_positive, round(autocorr, 8) AS autocorr FROM fr LEFT JOIN ac USING (date)""")
+def ml_factor_series(spark, sf):
+    """E9 with E5 and E7: return, cumulative return (the logarithm of its size,
+    and its sign) and rank autocorrelation of the ML factor by date."""
+    fd = _ml_factor(spark, sf)
+    fr = ev.cumulative(ev.factor_returns(fd, 1), "factor_return")
+    return fr.join(ev.rank_autocorr(fd), ["factor", "date"], "left").select(
+        "date", r8("factor_return"), r8(F.log(F.abs("cum_return")), "log_cum_return"),
+        (F.col("cum_return") > 0).alias("cum_positive"), r8(nn(F.col("autocorr")), "autocorr"))
+
+
+@register("ml_model_eval")
+def ml_model_eval(spark, sf):
+    """A forest trained on the training dates as a factor of the others:
+    Sharpe, mean rank IC, mean rank autocorrelation and final cumulative
+    return."""
+    from pyspark.ml.regression import RandomForestRegressor
+    from ..session import cut_lineage
+    cols = [*FEATS, "overnight_sentiment"]
+    p = cut_lineage(ft.split_by_fraction(_panel(spark, sf).dropna(subset=[*cols, "fwd_1"])))
+    d = md.assemble(p, cols)
+    m = RandomForestRegressor(labelCol="fwd_1", numTrees=50, maxDepth=4, seed=1).fit(d.where("split = 'train'"))
+    said = m.transform(d.where("split <> 'train'")).select("date", "asset", "session_idx", "fwd_1",
+                                                          F.col("prediction").alias("forest"))
+    fd = cut_lineage(ev.factor_data(ev.to_long(said, ["forest"], ["fwd_1"]), (1,), quantiles=5))
+    fr = ev.cumulative(ev.factor_returns(fd, 1), "factor_return")
+    total = fr.groupBy("factor").agg(F.max_by("cum_return", "date").alias("cum_return"))
+    ic = ev.rank_ic(fd, 1).groupBy("factor").agg(F.avg("ic").alias("mean_ic"))
+    ac = ev.rank_autocorr(fd).groupBy("factor").agg(F.avg("autocorr").alias("mean_autocorr"))
+    return ev.sharpe(fr, "factor_return", "factor", "weekly").join(ic, "factor").join(ac, "factor").join(total, "factor")
+
+
+@register("scored_table", _ML_SQL[:_ML_SQL.index(",\ndm AS")] + """,
+pr AS (SELECT fp.*, coalesce(momentum, 0) * b1 + coalesce(mean_reversion, 0) * b2 AS ml FROM fp, beta),
+cb AS (SELECT *, (coalesce(momentum, 0) + coalesce(mean_reversion, 0) + coalesce(overnight_sentiment, 0)) / NULLIF(
+         CAST(momentum IS NOT NULL AS INTEGER) + CAST(mean_reversion IS NOT NULL AS INTEGER)
+         + CAST(overnight_sentiment IS NOT NULL AS INTEGER), 0) AS combo FROM pr)
+SELECT date, asset, round(momentum, 8) AS momentum, round(mean_reversion, 8) AS mean_reversion,
+  round(overnight_sentiment, 8) AS overnight_sentiment, round(combo, 8) AS avg_combo, round(ml, 8) AS ml_factor,
+  round(ml - avg(ml) OVER (PARTITION BY date, sector_code), 8) AS ml_factor_sector_neutral FROM cb""")
+def scored_table(spark, sf):
+    """The alphas, their mean, the ridge's prediction and its
+    sector-neutral form in one table by date and asset."""
+    p = _panel(spark, sf)
+    p = fx.avg_combo(p, [*FEATS, "overnight_sentiment"])
+    p = md.score_linear(p, md.ridge_gram(p, FEATS, "fwd_1", 1.0), FEATS, "ml_factor")
+    p = fx.sector_neutral(p, "ml_factor")
+    return p.select("date", "asset", *(r8(c) for c in (*FEATS, "overnight_sentiment", "avg_combo", "ml_factor",
+                                                       "ml_factor_sector_neutral")))
+
+
 FACTORS = ["alpha_momentum", "alpha_mean_reversion", "beta_0", "beta_1"]
 
 
@@ -250,7 +284,7 @@ class Attribution:
     """Exposures, delayed returns and factor returns of the two portfolios,
     over the sessions that have a following one."""
 
-    def __init__(self, spark, sf):
+    def __init__(self, spark, sf, factors=tuple(FACTORS)):
         from .q_portfolio import Book
         from .q_risk import given_betas
         b = Book(spark, sf)
@@ -262,11 +296,11 @@ class Attribution:
         ex_a = b.alpha.join(ahead, "session_idx", "left_semi").select(
             "date", "asset", F.concat(F.lit("alpha_"), F.col("port_name")).alias("factor"),
             F.col("alpha").alias("x")).distinct()
-        self.expo = ex_a.unionByName(ex_b)
+        self.expo = ex_a.unionByName(ex_b).where(F.col("factor").isin(*factors))
         self.rets = (b.rets.withColumn("session_idx", F.col("session_idx") - 1).join(b.cal, "session_idx")
                      .select("date", "asset", "r").filter(F.col("r").isNotNull()))
-        f = at.factor_regression(self.expo, self.rets, FACTORS)
-        self.pnl = at.factor_pnl(self.w, self.expo, f)
+        self.f = at.factor_regression(self.expo, self.rets, list(factors))
+        self.pnl = at.factor_pnl(self.w, self.expo, self.f)
 
 
 @register("pnl_attribution")
@@ -283,6 +317,34 @@ def pnl_by_factor(spark, sf):
     return Attribution(spark, sf).pnl.select("port_name", "date", "factor", "exposure", "pnl", "cum_pnl")
 
 
+def _one_sql():
+    from .q_portfolio import BOOK_SQL
+    return BOOK_SQL + """,
+x AS (SELECT session_idx, date, asset, alpha AS x FROM al WHERE port_name = 'momentum'
+      AND session_idx + 1 IN (SELECT session_idx FROM cal)),
+dr AS (SELECT session_idx - 1 AS session_idx, asset, r FROM rets WHERE r IS NOT NULL),
+f1 AS (SELECT x.date, coalesce(coalesce(sum(x * r), 0) / NULLIF(sum(x * x), 0), 0) AS f FROM x LEFT JOIN dr USING (session_idx, asset)
+       GROUP BY x.date),
+wa AS (SELECT * FROM wts WHERE session_idx + 1 IN (SELECT session_idx FROM cal)),
+ex1 AS (SELECT port_name, wa.date, sum(w * x) AS exposure FROM wa JOIN x ON x.session_idx = wa.session_idx AND x.asset = wa.asset GROUP BY ALL),
+fp1 AS (SELECT port_name, date, exposure, f, exposure * f AS pnl FROM ex1 JOIN f1 USING (date)),
+to1 AS (SELECT port_name, date, coalesce(sum(w * r), 0) AS total FROM wa LEFT JOIN dr USING (session_idx, asset) GROUP BY ALL)"""
+
+
+@register("pnl_attribution_one", _one_sql() + """
+SELECT port_name, date, round(exposure, 8) AS exposure, round(f, 8) AS f, round(pnl, 8) AS alpha_pnl,
+  round(sum(pnl) OVER (PARTITION BY port_name ORDER BY date), 6) AS cum_alpha_pnl, round(total - pnl, 8) AS idio_pnl
+FROM fp1 JOIN to1 USING (port_name, date)""")
+def pnl_attribution_one(spark, sf):
+    """Q12, Q14, Q15 with one exposure, where the regression is a ratio of two
+    sums: factor return, PnL of the exposure and the rest."""
+    a = Attribution(spark, sf, ("alpha_momentum",))
+    rest = at.attribution(a.w, a.rets, a.pnl, {"alpha_momentum": "alpha"}).where("component = 'idiosyncratic'").select(
+        "port_name", "date", F.col("pnl").alias("idio_pnl"))
+    return a.pnl.join(rest, ["port_name", "date"]).select(
+        "port_name", "date", r8("exposure"), r8("f"), r8("pnl", "alpha_pnl"), r8("cum_pnl", "cum_alpha_pnl", 6), r8("idio_pnl"))
+
+
 @register("alpha_merge", NB_SQL + ML_ALPHA_SQL + SCORE_CTE + """,
 sy AS (SELECT *, CAST(date_trunc('year', date) AS DATE) AS yr FROM scores WHERE sentiment = 'negative' AND score_scaled IS NOT NULL),
 sd AS (SELECT *, score_scaled - avg(score_scaled) OVER (PARTITION BY yr, lang) AS dv FROM sy),

@@ -63,4 +63,4 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     from .queries import (  # noqa: F401
         q_panel, q_xs, q_ts, q_factors, q_evaluate, q_features, q_metrics,
-        q_risk, q_portfolio, q_tailrisk, q_text, q_models, q_incremental, q_columns)
+        q_risk, q_portfolio, q_tailrisk, q_text, q_models, q_incremental, q_columns, q_selection, q_textmodels)
