@@ -85,7 +85,12 @@ def cut(x: Column | str, bins: int, by: str | Sequence[str] = "date") -> Column:
     A date whose values are all equal lands in the middle bin."""
     x = _c(x)
     w = xs_window(by)
-    lo, hi = F.min(x).over(w), F.max(x).over(w)
+    return bin_between(x, F.min(x).over(w), F.max(x).over(w), bins)
+
+
+def bin_between(x: Column | str, lo: Column, hi: Column, bins: int) -> Column:
+    """The equal-width bin of x between the date's extremes."""
+    x = _c(x)
     # positions within 1e-9 of a bin edge snap to it (float noise, not data)
     raw = F.ceil(F.round(F.lit(bins) * (x - lo) / (hi - lo), 9)) - 1
     b = F.least(F.lit(bins - 1), F.greatest(F.lit(0), raw))

@@ -2,7 +2,8 @@
 
 Input ``fd``: (factor, date, asset, session_idx, value, fwd_<k> ...), one row
 per factor, date and asset.  Every statistic is computed for all factors in
-one job: cross-section windows are partitioned by (factor, date), per-date
+one job: cross-section windows are partitioned by (factor, date), or split
+where a date is too large for a task (``split``, see ``xsplit``), per-date
 results are aggregated by (factor, date), and time statistics run on the
 small (factor, date) table.
 """
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats
 
-from ..operators import xs
+from ..operators import xsplit
 
 ANNUALIZATION = {"daily": 252.0, "weekly": 52.0, "monthly": 12.0, "none": 1.0}
 
@@ -29,16 +30,18 @@ def to_long(panel: DataFrame, factors: list[str], fwd_cols: list[str]) -> DataFr
 
 
 def factor_data(fd: DataFrame, periods: tuple[int, ...], quantiles: int | None = 5,
-                bins: int | None = None) -> DataFrame:
+                bins: int | None = None, split: bool = False) -> DataFrame:
     """Drop rows with a missing factor or forward return, then the
     per-date quantile (1..q, ``pd.qcut`` edges) or equal-width bin."""
     cols = [f"fwd_{k}" for k in periods]
-    d = fd.dropna(subset=["value", *cols]).repartition("factor", "date")
     by = ["factor", "date"]
+    d = fd.dropna(subset=["value", *cols])
+    d = d if split else d.repartition(*by)
     if quantiles:
-        d = d.withColumn("factor_quantile", xs.qcut("value", quantiles, by))
+        d = xsplit.qcut(d, "factor_quantile", "value", quantiles, by, split=split)
     elif bins:
-        d = d.withColumn("factor_quantile", xs.cut("value", bins, by) + 1)
+        d = xsplit.cut(d, "factor_quantile", "value", bins, by, split).withColumn(
+            "factor_quantile", F.col("factor_quantile") + 1)
     return d
 
 
@@ -59,10 +62,9 @@ def skipped_factors(fd: DataFrame, periods: tuple[int, ...], max_loss: float = 0
         "status", F.when(F.col("loss") > max_loss, "skipped").otherwise("ok"))
 
 
-def factor_returns(fdq: DataFrame, period: int) -> DataFrame:
+def factor_returns(fdq: DataFrame, period: int, split: bool = False) -> DataFrame:
     """Weights (f - mean) / sum|f - mean| per date; return = sum w * fwd."""
-    w = xs.share_of_abs("value", ["factor", "date"])
-    return (fdq.withColumn("w", w)
+    return (xsplit.share_of_abs(fdq, "w", "value", ["factor", "date"], split)
             .groupBy("factor", "date")
             .agg(F.sum(F.col("w") * F.col(f"fwd_{period}")).alias("factor_return")))
 
@@ -75,32 +77,32 @@ def sharpe(daily: DataFrame, col: str, by: str | list[str] = "factor",
         (F.try_divide(F.avg(col), F.stddev_samp(col)) * ann).alias("sharpe"))
 
 
-def rank_ic(fdq: DataFrame, period: int) -> DataFrame:
+def rank_ic(fdq: DataFrame, period: int, split: bool = False) -> DataFrame:
     """Spearman correlation of factor and forward return per date."""
     by = ["factor", "date"]
-    r = fdq.withColumns({"rf": xs.rank_average("value", by),
-                         "rr": xs.rank_average(f"fwd_{period}", by)})
+    r = xsplit.rank_average(fdq, "rf", "value", by, split)
+    r = xsplit.rank_average(r, "rr", f"fwd_{period}", by, split)
     return r.groupBy(*by).agg(stats.corr("rf", "rr").alias("ic"))
 
 
-def rank_autocorr(fd: DataFrame) -> DataFrame:
+def rank_autocorr(fd: DataFrame, split: bool = False) -> DataFrame:
     """E5: correlation of an asset's factor rank at t with its rank at the
     previous session, over the assets present on both."""
     by = ["factor", "date"]
-    r = fd.repartition(*by).withColumn("rk", xs.rank_average("value", by)) \
-          .select("factor", "date", "session_idx", "asset", "rk")
+    r = xsplit.rank_average(fd if split else fd.repartition(*by), "rk", "value", by, split).select(
+        "factor", "date", "session_idx", "asset", "rk")
     prev = r.select("factor", (F.col("session_idx") + 1).alias("session_idx"), "asset",
                     F.col("rk").alias("rk_prev"))
     return (r.join(prev, ["factor", "session_idx", "asset"])
             .groupBy("factor", "date").agg(stats.corr("rk", "rk_prev").alias("autocorr")))
 
 
-def quantile_returns(fdq: DataFrame, period: int) -> DataFrame:
+def quantile_returns(fdq: DataFrame, period: int, split: bool = False) -> DataFrame:
     """Forward returns de-meaned per date, mean per (date, quantile), then
     mean and standard error over dates."""
     by = ["factor", "date"]
     f = f"fwd_{period}"
-    d = fdq.withColumn("dm", xs.demean(f, by))
+    d = xsplit.demean(fdq, "dm", f, by, split)
     per_date = d.groupBy("factor", "date", "factor_quantile").agg(F.avg("dm").alias("m"))
     return (per_date.groupBy("factor", "factor_quantile")
             .agg(F.avg("m").alias("mean_return"),

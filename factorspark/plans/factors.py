@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import ts, xs
+from ..operators import ts, xsplit
 from ..session import small_dim
 from ..sources.panels import CALENDAR_BOUND, calendar, with_session
 
@@ -75,16 +75,35 @@ def market_series(p: DataFrame, cfg: FactorConfig, need: set[str]) -> DataFrame
     return d.select("session_idx", *[c.alias(k) for k, c in cols.items()])
 
 
+class _Dates:
+    """How the dates of a panel are worked on: whole, in one task each, or
+    split."""
+
+    def __init__(self, bars: DataFrame, split: bool | None):
+        self.split = xsplit.wide_dates(bars) if split is None else split
+
+    def dealt(self, p: DataFrame) -> DataFrame:
+        return p if self.split else p.repartition("date")
+
+    def ranked(self, p: DataFrame, out: str, x) -> DataFrame:
+        """The z-score of the ordinal rank of ``x`` on its date."""
+        p = xsplit.rank_ordinal(p, f"_{out}", x, split=self.split)
+        return xsplit.zscore(p, out, f"_{out}", split=self.split).drop(f"_{out}")
+
+
 def factor_panel(bars: DataFrame, names=ALL_FACTORS, cfg: FactorConfig | None = None,
-                 keep: tuple[str, ...] = (), fwd_periods: tuple[int, ...] = ()) -> DataFrame:
+                 keep: tuple[str, ...] = (), fwd_periods: tuple[int, ...] = (),
+                 split: bool | None = None) -> DataFrame:
     """Compute the named factors for every (date, asset) of ``bars``.
 
     ``bars`` has date, asset, open, close, volume and the sector column.
     ``fwd_periods`` adds ``fwd_<k>`` = close(t+k)/close(t) - 1 measured from
     the output date t, computed in the first time-series pass so evaluation
     needs no extra join.  Returns (date, asset, session_idx, sector, *keep,
-    *fwd, *names)."""
+    *fwd, *names).  ``split`` spreads each date over many tasks (``xsplit``);
+    by default the bars' largest date decides."""
     cfg = cfg or FactorConfig()
+    cs = _Dates(bars, split)
     need = set(names)
     unknown = need - set(ALL_FACTORS)
     if unknown:
@@ -117,11 +136,11 @@ def factor_panel(bars: DataFrame, names=ALL_FACTORS, cfg: FactorConfig | None =
     if t1:
         p = p.withColumns(t1)
 
-    # ---- cs phase 1 (partitioned by date); universe first so later (date, sector)
-    # windows reuse the date partitioning
-    p = p.repartition("date")
+    # ---- cs phase 1 (one exchange by date while dates fit a task); universe
+    # first so later (date, sector) windows reuse the date partitioning
+    p = cs.dealt(p)
     if cfg.use_universe:
-        p = p.withColumn("in_universe", xs.top_n_flag("adv_u", cfg.top))
+        p = xsplit.top_n_flag(p, "in_universe", "adv_u", cfg.top, split=cs.split)
     else:
         p = p.withColumn("in_universe", F.lit(True))
     u = F.col("in_universe")
@@ -130,20 +149,18 @@ def factor_panel(bars: DataFrame, names=ALL_FACTORS, cfg: FactorConfig | None =
         return F.when(u, F.col(c))
 
     if need & {"momentum", "momentum_smoothed"}:
-        p = p.withColumn("mom_dm", xs.demean(m("r_mom"), ["date", sec]))
-        p = p.withColumn("mom_rk", xs.rank_ordinal("mom_dm"))
-        p = p.withColumn("momentum", xs.zscore("mom_rk"))
+        p = xsplit.demean(p, "mom_dm", m("r_mom"), ["date", sec], split=cs.split)
+        p = cs.ranked(p, "momentum", "mom_dm")
     if need & {"mean_reversion", "mean_reversion_smoothed"}:
-        p = p.withColumn("mr_dm", xs.demean(m("r_mr"), ["date", sec]))
-        p = p.withColumn("mr_rk", xs.rank_ordinal("mr_dm"))
-        p = p.withColumn("mean_reversion", -xs.zscore("mr_rk"))
+        p = xsplit.demean(p, "mr_dm", m("r_mr"), ["date", sec], split=cs.split)
+        p = cs.ranked(p, "mean_reversion", "mr_dm")
+        p = p.withColumn("mean_reversion", -F.col("mean_reversion"))
     if need & {"cto", "trailing_overnight", "overnight_sentiment", "overnight_smoothed"}:
         p = p.withColumn("cto", m("cto_raw"))
     if "volatility_rank" in need:
-        p = p.withColumn("volatility_rank", xs.zscore(xs.rank_ordinal(m("vol_raw"))))
+        p = cs.ranked(p, "volatility_rank", m("vol_raw"))
     if "adv_rank" in need:
-        p = p.withColumn("adv_rk", xs.rank_ordinal(m("adv_raw")))
-        p = p.withColumn("adv_rank", xs.zscore("adv_rk"))
+        p = cs.ranked(p, "adv_rank", m("adv_raw"))
 
     # ---- ts phase 2
     t2 = {}
@@ -154,21 +171,16 @@ def factor_panel(bars: DataFrame, names=ALL_FACTORS, cfg: FactorConfig | None =
     if "mean_reversion_smoothed" in need:
         t2["mr_sm"] = ts.sma("mean_reversion", cfg.mr_window)
     if t2:
-        p = p.withColumns(t2).repartition("date")
+        p = cs.dealt(p.withColumns(t2))
         if "momentum_smoothed" in need:
-            p = p.withColumn("ms_rk", xs.rank_ordinal(m("mom_sm")))
-            p = p.withColumn("momentum_smoothed", xs.zscore("ms_rk"))
+            p = cs.ranked(p, "momentum_smoothed", m("mom_sm"))
         if "mean_reversion_smoothed" in need:
-            p = p.withColumn("mrs_rk", xs.rank_ordinal(m("mr_sm")))
-            p = p.withColumn("mean_reversion_smoothed", xs.zscore("mrs_rk"))
+            p = cs.ranked(p, "mean_reversion_smoothed", m("mr_sm"))
         if need & {"overnight_sentiment", "overnight_smoothed"}:
-            p = p.withColumn("on_rk", xs.rank_ordinal("trailing_overnight"))
-            p = p.withColumn("overnight_sentiment", xs.zscore("on_rk"))
+            p = cs.ranked(p, "overnight_sentiment", "trailing_overnight")
     if "overnight_smoothed" in need:
-        p = p.withColumn("on_sm", ts.sma("overnight_sentiment", cfg.trail_window))
-        p = p.repartition("date")
-        p = p.withColumn("os_rk", xs.rank_ordinal("on_sm"))
-        p = p.withColumn("overnight_smoothed", xs.zscore("os_rk"))
+        p = cs.dealt(p.withColumn("on_sm", ts.sma("overnight_sentiment", cfg.trail_window)))
+        p = cs.ranked(p, "overnight_smoothed", "on_sm")
 
     mk = market_series(p, cfg, need)
     if mk is not None:
@@ -194,30 +206,32 @@ def restamp(p: DataFrame, cal: DataFrame, lag: int = 1) -> DataFrame:
             .join(small_dim(cal, CALENDAR_BOUND), "session_idx"))
 
 
-def returns_masked(bars: DataFrame, window: int, cfg: FactorConfig | None = None) -> DataFrame:
+def returns_masked(bars: DataFrame, window: int, cfg: FactorConfig | None = None,
+                   split: bool | None = None) -> DataFrame:
     """Returns(window) with the universe mask (NULL outside)."""
-    cfg = cfg or FactorConfig()
+    cfg, cs = cfg or FactorConfig(), _Dates(bars, split)
     p = with_session(bars).withColumns(
         {"ret": ts.returns("close", window), **universe_columns(cfg)})
-    p = p.repartition("date").withColumn("in_universe", xs.top_n_flag("adv_u", cfg.top))
+    p = xsplit.top_n_flag(cs.dealt(p), "in_universe", "adv_u", cfg.top, split=cs.split)
     return p.select("date", "asset", "session_idx",
                     F.when(F.col("in_universe"), F.col("ret")).alias("ret"))
 
 
-def universe_screen(bars: DataFrame, window: int, top: int) -> DataFrame:
+def universe_screen(bars: DataFrame, window: int, top: int, split: bool | None = None) -> DataFrame:
     """``AverageDollarVolume(window).top(n)`` - the n most traded assets per
     session by mean close*volume over the window (missing bars count as 0)."""
+    cs = _Dates(bars, split)
     p = with_session(bars).withColumn(
         "adv", ts.roll_sum(F.col("close") * F.col("volume"), window) / float(window))
-    return (p.repartition("date").withColumn("in_universe", xs.top_n_flag("adv", top))
+    return (xsplit.top_n_flag(cs.dealt(p), "in_universe", "adv", top, split=cs.split)
             .select("date", "asset", "adv", "in_universe"))
 
 
 def sector_neutral(df: DataFrame, col: str, sector: str = "sector_code",
-                   out: str | None = None) -> DataFrame:
+                   out: str | None = None, split: bool = False) -> DataFrame:
     """Value minus its (date, sector) mean, for any column (fixes B9)."""
-    return df.repartition("date").withColumn(out or f"{col}_sector_neutral",
-                                             xs.demean(col, ["date", sector]))
+    d = df if split else df.repartition("date")
+    return xsplit.demean(d, out or f"{col}_sector_neutral", col, ["date", sector], split=split)
 
 
 def avg_combo(df: DataFrame, cols: list[str], out: str = "avg_combo") -> DataFrame:
@@ -228,19 +242,21 @@ def avg_combo(df: DataFrame, cols: list[str], out: str = "avg_combo") -> DataFra
 
 
 def binned_alpha(df: DataFrame, col: str, bins: int, out: str | None = None,
-                 by: str = "date") -> DataFrame:
+                 by: str = "date", split: bool = False) -> DataFrame:
     """Equal-width bin per date, then sample z-score of the bin."""
     out = out or f"{col}_binned"
-    d = df.repartition(by).withColumn(f"{out}_bin", xs.cut(col, bins, by))
-    return d.withColumn(out, xs.zscore(F.col(f"{out}_bin").cast("double"), by, ddof=1))
+    d = xsplit.cut(df if split else df.repartition(by), f"{out}_bin", col, bins, by, split=split)
+    return xsplit.zscore(d, out, F.col(f"{out}_bin").cast("double"), by, ddof=1, split=split)
 
 
-def stepwise_one_day(bars: DataFrame, smooth: int = 5, sector: str = "sector_code") -> DataFrame:
+def stepwise_one_day(bars: DataFrame, smooth: int = 5, sector: str = "sector_code",
+                     split: bool | None = None) -> DataFrame:
     """The 1-session return chain keeping every stage as a column."""
-    p = with_session(bars).withColumn("raw", ts.returns("close", 2))
-    p = p.repartition("date").withColumn("demeaned", xs.demean("raw", ["date", sector]))
-    p = p.withColumn("ranked", xs.rank_ordinal("demeaned"))
-    p = p.withColumn("zscored", xs.zscore("ranked"))
+    cs = _Dates(bars, split)
+    p = cs.dealt(with_session(bars).withColumn("raw", ts.returns("close", 2)))
+    p = xsplit.demean(p, "demeaned", "raw", ["date", sector], split=cs.split)
+    p = xsplit.rank_ordinal(p, "ranked", "demeaned", split=cs.split)
+    p = xsplit.zscore(p, "zscored", "ranked", split=cs.split)
     p = p.withColumn("smoothed", ts.sma("zscored", smooth))
     return p.select("date", "asset", "session_idx", "raw", "demeaned", "ranked",
                     "zscored", "smoothed")

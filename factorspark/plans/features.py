@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import safe_positive
-from ..operators import ts, xs
+from ..operators import ts, xsplit
 from ..session import small_dim
 from ..sources.panels import CALENDAR_BOUND, calendar
 
@@ -16,16 +16,18 @@ def fwd_targets(p: DataFrame, tau: int, name: str = "target") -> DataFrame:
     return p.select("date", "asset", ts.fwd_return("close", tau).alias(name))
 
 
-def target_table(p: DataFrame, tau: int, universe: str | None = None) -> DataFrame:
+def target_table(p: DataFrame, tau: int, universe: str | None = None, split: bool = False) -> DataFrame:
     """Returns(tau) masked to the universe, its 2/5/25-quantile labels
     (0-based like zipline ``quantiles``), the value ``tau`` sessions ahead
     (by session, B17) and its sign flag."""
     raw = ts.returns("close", tau)
     if universe:
         raw = F.when(F.col(universe), raw)
-    d = p.withColumn("raw", raw).repartition("date")
-    d = d.withColumns({"q2": xs.qcut("raw", 2) - 1, "q5": xs.qcut("raw", 5) - 1,
-                       "q25": xs.qcut("raw", 25) - 1})
+    d = p.withColumn("raw", raw)
+    d = d if split else d.repartition("date")
+    for q in (2, 5, 25):
+        d = xsplit.qcut(d, f"q{q}", "raw", q, split=split)
+    d = d.withColumns({f"q{q}": F.col(f"q{q}") - 1 for q in (2, 5, 25)})
     d = d.withColumn("fshift", ts.lead("raw", tau))
     return d.withColumn("fshift_is_positive", safe_positive("fshift"))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import ts, xs
+from ..operators import ts, xsplit
 from ..session import small_dim
 from ..sources.panels import CALENDAR_BOUND
 
@@ -19,10 +19,11 @@ COST_SCALE = 0.1
 ADV_FLOOR = 1e4
 
 
-def target_weights(alpha: DataFrame, value: str = "alpha", port: str = "port_name") -> DataFrame:
+def target_weights(alpha: DataFrame, value: str = "alpha", port: str = "port_name",
+                   split: bool = False) -> DataFrame:
     """Q1: (alpha - mean alpha) / sum |alpha - mean alpha| per portfolio and date."""
-    return (alpha.repartition(port, "date")
-            .withColumn("w", xs.share_of_abs(value, [port, "date"])))
+    d = alpha if split else alpha.repartition(port, "date")
+    return xsplit.share_of_abs(d, "w", value, [port, "date"], split)
 
 
 def adv_table(p: DataFrame, window: int, floor: float = ADV_FLOOR) -> DataFrame:

@@ -112,9 +112,11 @@ def equal_weights(assets: DataFrame) -> DataFrame:
 def dates_gram(rets: DataFrame, dates: list) -> np.ndarray:
     """G = Rc Rc' over the dates, Rc the returns (missing = 0) less each
     asset's mean.  Dates are bounded by the calendar (T numbers an asset); the
-    assets stay distributed: a task adds up its assets' T x T products, and
-    only the tasks' sums are added up in Spark."""
+    assets stay distributed: a task adds up its assets' T x T products, whose
+    rows are summed as vectors by row number, so T rows reach the driver."""
     import pandas as pd
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
     t = len(dates)
     at = {d: i for i, d in enumerate(dates)}
 
@@ -130,11 +132,11 @@ def dates_gram(rets: DataFrame, dates: list) -> np.ndarray:
 
     own = rets.groupBy("asset").agg(F.collect_list("date").alias("d"), F.collect_list("r").alias("r"))   # T an asset
     sums = (own.select("d", "r").mapInPandas(products, "i int, g array<double>")
-            .select("i", F.posexplode("g").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v")))
+            .groupBy("i").agg(Summarizer.sum(array_to_vector("g")).alias("g")))
     out = np.zeros((t, t))
-    for r in sums.collect():                                  # T * T numbers
-        out[r.i, r.j] = r.v
-    return out
+    for r in sums.collect():                                  # T rows
+        out[r.i] = r.g.toArray()
+    return (out + out.T) / 2
 
 
 class DualPca:

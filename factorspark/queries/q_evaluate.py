@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.xsplit import wide_dates
 from ..plans import evaluate as ev
 from ..plans import factors as fx
 from ..registry import register
@@ -16,12 +17,22 @@ PERIODS = (1, 2)
 
 
 def _fd(spark, sf):
-    fp = fx.factor_panel(pw(spark, sf), NAMES, WEEKLY, fwd_periods=PERIODS)
-    return ev.to_long(fp, NAMES, [f"fwd_{k}" for k in PERIODS])
+    """The long factor table, and whether its dates are too large for a task."""
+    bars = pw(spark, sf)
+    split = wide_dates(bars)
+    fp = fx.factor_panel(bars, NAMES, WEEKLY, fwd_periods=PERIODS, split=split)
+    return ev.to_long(fp, NAMES, [f"fwd_{k}" for k in PERIODS]), split
 
 
 def _fdq(spark, sf):
-    return ev.factor_data(_fd(spark, sf), PERIODS, quantiles=5)
+    fd, split = _fd(spark, sf)
+    return ev.factor_data(fd, PERIODS, quantiles=5, split=split), split
+
+
+def _of(table, step, *args):
+    """``step`` on a table that says how its dates are worked on."""
+    d, split = table
+    return step(d, *args, split=split)
 
 
 FD_SQL = sql_factor_panel(NAMES, fwd_periods=PERIODS) + """,
@@ -42,7 +53,7 @@ SELECT factor, date, asset, round(value, 8) AS value, round(fwd_1, 8) AS fwd_1,
 def factor_data(spark, sf):
     """Factor with 1- and 2-session forward returns, complete rows only,
     per-date quintile."""
-    d = _fdq(spark, sf)
+    d, _ = _fdq(spark, sf)
     return d.select("factor", "date", "asset", r8("value"), r8("fwd_1"), r8("fwd_2"),
                     "factor_quantile")
 
@@ -63,7 +74,7 @@ fr AS (SELECT factor, date, sum(w * fwd_1) AS factor_return FROM wt GROUP BY fac
     "\nSELECT factor, date, round(factor_return, 8) AS factor_return FROM fr")
 def factor_returns(spark, sf):
     """Demeaned, gross-normalised factor weights times 1-session returns."""
-    return ev.factor_returns(_fdq(spark, sf), 1).select("factor", "date", r8("factor_return"))
+    return _of(_fdq(spark, sf), ev.factor_returns, 1).select("factor", "date", r8("factor_return"))
 
 
 _FR = FD_SQL + """,
@@ -77,7 +88,7 @@ SELECT factor, round(avg(factor_return) / NULLIF(stddev_samp(factor_return), 0)
 FROM fr GROUP BY factor""")
 def factor_sharpe(spark, sf):
     """Annualised (weekly) Sharpe ratio of each factor's returns."""
-    s = ev.sharpe(ev.factor_returns(_fdq(spark, sf), 1), "factor_return", "factor", "weekly")
+    s = ev.sharpe(_of(_fdq(spark, sf), ev.factor_returns, 1), "factor_return", "factor", "weekly")
     return s.select("factor", r8("sharpe"))
 
 
@@ -86,7 +97,7 @@ SELECT factor, date, round(product(1 + factor_return) OVER (PARTITION BY factor
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 8) AS cum_return FROM fr""")
 def factor_cumret(spark, sf):
     """Cumulative factor return, running product of (1 + r)."""
-    c = ev.cumulative(ev.factor_returns(_fdq(spark, sf), 1), "factor_return")
+    c = ev.cumulative(_of(_fdq(spark, sf), ev.factor_returns, 1), "factor_return")
     return c.select("factor", "date", r8("cum_return"))
 
 
@@ -94,7 +105,7 @@ def factor_cumret(spark, sf):
 SELECT factor, round(avg(factor_return) * 1e4, 6) AS mean_return_bps FROM fr GROUP BY factor""")
 def factor_returns_bps(spark, sf):
     """Mean factor return in basis points."""
-    fr = ev.factor_returns(_fdq(spark, sf), 1)
+    fr = _of(_fdq(spark, sf), ev.factor_returns, 1)
     return fr.groupBy("factor").agg(r8(ev.to_bps(F.avg("factor_return")), "mean_return_bps", 6))
 
 
@@ -108,7 +119,7 @@ SELECT factor, date, round(ic, 8) AS ic, round(CASE WHEN count(ic) OVER w = 8 TH
 FROM ic WINDOW w AS (PARTITION BY factor ORDER BY date ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)""")
 def ic_rolling(spark, sf):
     """Rank IC per date and its rolling 8-date mean (full window)."""
-    ic = ev.rank_ic(_fdq(spark, sf), 1).withColumn("ic", nn(F.col("ic")))
+    ic = _of(_fdq(spark, sf), ev.rank_ic, 1).withColumn("ic", nn(F.col("ic")))
     r = ev.rolling_mean_by_date(ic, "ic", 8, out="ic_roll8")
     return r.select("factor", "date", r8("ic"), r8("ic_roll8"))
 
@@ -117,8 +128,8 @@ def ic_rolling(spark, sf):
 SELECT factor, round(avg(ic) * sqrt(avg(breadth)), 8) AS ir FROM ic GROUP BY factor""")
 def information_ratio(spark, sf):
     """Q20: mean rank IC times sqrt(mean breadth)."""
-    d = _fdq(spark, sf)
-    ic = ev.rank_ic(d, 1).withColumn("ic", nn(F.col("ic")))
+    d, split = _fdq(spark, sf)
+    ic = ev.rank_ic(d, 1, split).withColumn("ic", nn(F.col("ic")))
     br = d.groupBy("factor", "date").agg(F.count(F.lit(1)).alias("breadth"))
     j = ic.join(br, ["factor", "date"])
     return j.groupBy("factor").agg(r8(F.avg("ic") * F.sqrt(F.avg("breadth")), "ir"))
@@ -131,7 +142,7 @@ FROM rk a JOIN rk b ON a.factor = b.factor AND a.asset = b.asset AND a.session_i
 GROUP BY a.factor, a.date""")
 def rank_autocorr(spark, sf):
     """E5: correlation of factor ranks between consecutive sessions."""
-    r = ev.rank_autocorr(_fd(spark, sf))
+    r = _of(_fd(spark, sf), ev.rank_autocorr)
     return r.select("factor", "date", r8(nn(F.col("autocorr")), "autocorr"))
 
 
@@ -142,7 +153,7 @@ SELECT factor, factor_quantile, round(avg(m), 8) AS mean_return,
        round(stddev_samp(m) / sqrt(count(m)), 8) AS std_error FROM pd_ GROUP BY factor, factor_quantile""")
 def quantile_returns(spark, sf):
     """De-meaned forward return by quintile; mean and standard error over dates."""
-    r = ev.quantile_returns(_fdq(spark, sf), 1)
+    r = _of(_fdq(spark, sf), ev.quantile_returns, 1)
     return r.select("factor", "factor_quantile", r8("mean_return"), r8("std_error"))
 
 
@@ -153,7 +164,7 @@ SELECT factor, count(*) AS n_rows, CAST(count_if(fwd_1 IS NULL OR fwd_2 IS NULL)
 FROM fd GROUP BY factor""")
 def skipped_factors(spark, sf):
     """Share of rows lost to missing forward returns; 'skipped' above 20 %."""
-    r = ev.skipped_factors(_fd(spark, sf), PERIODS, max_loss=0.2)
+    r = ev.skipped_factors(_fd(spark, sf)[0], PERIODS, max_loss=0.2)
     return r.select("factor", "n_rows", "n_dropped", r8("loss"), "status")
 
 
@@ -162,6 +173,6 @@ SELECT factor, CASE WHEN date < DATE '1999-01-01' THEN 'train' ELSE 'test' END A
        count(*) AS n_rows, round(avg(value), 8) AS mean_value FROM fdq GROUP BY ALL""")
 def factor_split(spark, sf):
     """Factor data split at a date (train < 1999-01-01 <= test)."""
-    d = ev.split_by_date(_fdq(spark, sf), "1999-01-01")
+    d = ev.split_by_date(_fdq(spark, sf)[0], "1999-01-01")
     return d.groupBy("factor", "split").agg(F.count(F.lit(1)).alias("n_rows"),
                                             r8(F.avg("value"), "mean_value"))

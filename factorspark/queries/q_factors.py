@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.xsplit import wide_dates
 from ..plans import evaluate as ev
 from ..plans import factors as fx
 from ..registry import register
@@ -114,9 +115,11 @@ def _rank_ic(spark, sf):
     """Flagship: sector-neutral momentum (Returns(5) -> region de-mean ->
     rank -> z, universe = top-50 ADV, stamped next session) evaluated by its
     Spearman rank IC with the next-session return, per date."""
-    fp = fx.factor_panel(pw(spark, sf), ["momentum"], WEEKLY, fwd_periods=(1,))
-    fd = ev.factor_data(ev.to_long(fp, ["momentum"], ["fwd_1"]), (1,), quantiles=None)
-    ic = ev.rank_ic(fd, 1)
+    bars = pw(spark, sf)
+    split = wide_dates(bars)
+    fp = fx.factor_panel(bars, ["momentum"], WEEKLY, fwd_periods=(1,), split=split)
+    fd = ev.factor_data(ev.to_long(fp, ["momentum"], ["fwd_1"]), (1,), quantiles=None, split=split)
+    ic = ev.rank_ic(fd, 1, split)
     return ic.select("factor", "date", r8(nn(F.col("ic")), "ic"))
 
 
@@ -169,8 +172,10 @@ SELECT date, asset, round({q.demean('momentum_smoothed', 'date, sector_code')},
   AS momentum_smoothed_sector_neutral FROM fp""")
 def sector_neutral(spark, sf):
     """Smoothed momentum minus its (date, sector) mean."""
-    fp = fx.factor_panel(pw(spark, sf), ["momentum_smoothed"], WEEKLY)
-    out = fx.sector_neutral(fp, "momentum_smoothed")
+    bars = pw(spark, sf)
+    split = wide_dates(bars)
+    out = fx.sector_neutral(fx.factor_panel(bars, ["momentum_smoothed"], WEEKLY, split=split), "momentum_smoothed",
+                            split=split)
     return out.select("date", "asset", r8("momentum_smoothed_sector_neutral"))
 
 
@@ -187,8 +192,9 @@ b AS (SELECT date, asset, {_cut_sql('momentum', 7)} AS bin FROM fp)
 SELECT date, asset, bin, round({q.zscore('CAST(bin AS DOUBLE)', ddof=1)}, 8) AS momentum_binned FROM b""")
 def factor_alpha_binned(spark, sf):
     """Momentum cut into 7 equal-width bins per date, sample z of the bin."""
-    fp = fx.factor_panel(pw(spark, sf), ["momentum"], WEEKLY)
-    out = fx.binned_alpha(fp, "momentum", 7)
+    bars = pw(spark, sf)
+    split = wide_dates(bars)
+    out = fx.binned_alpha(fx.factor_panel(bars, ["momentum"], WEEKLY, split=split), "momentum", 7, split=split)
     return out.select("date", "asset", F.col("momentum_binned_bin").alias("bin"),
                       r8("momentum_binned"))
 

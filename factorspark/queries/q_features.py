@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates
+from ..operators.xsplit import wide_dates
 from ..plans import features as ft
 from ..registry import register
 from ..sources.panels import with_session
@@ -31,13 +32,18 @@ TGT_SQL = q.with_(q.PW, q.CAL, f"a AS (SELECT *, {q.returns('close', 5)} AS raw
                   f"{q.lead('raw', 5)} AS fshift FROM a)")
 
 
+def _targets(spark, sf):
+    bars = pw(spark, sf)
+    return ft.target_table(with_session(bars), 5, split=wide_dates(bars))
+
+
 @register("target_quantiles", TGT_SQL + """
 SELECT date, asset, round(raw, 8) AS raw, q2, q5, q25, round(fshift, 8) AS fshift,
        CASE WHEN fshift IS NOT NULL THEN CAST(fshift >= 0 AS INTEGER) END AS fshift_is_positive FROM b""")
 def target_quantiles(spark, sf):
     """Returns(5) target, its 0-based 2/5/25-quantile labels per
     date, the value 5 sessions ahead and its sign flag."""
-    t = ft.target_table(with_session(pw(spark, sf)), 5)
+    t = _targets(spark, sf)
     return t.select("date", "asset", r8("raw"), "q2", "q5", "q25", r8("fshift"),
                     "fshift_is_positive")
 
@@ -47,7 +53,7 @@ SELECT q2, raw > 0 AS is_up, count(*) AS n FROM b WHERE raw IS NOT NULL GROUP BY
 def target_crosstab(spark, sf):
     """A5: median-split label against the sign of the raw target."""
     from ..operators.reshape import crosstab
-    t = ft.target_table(with_session(pw(spark, sf)), 5).filter(F.col("raw").isNotNull())
+    t = _targets(spark, sf).filter(F.col("raw").isNotNull())
     return crosstab(t.withColumn("is_up", F.col("raw") > 0), "q2", "is_up")
 
 
@@ -147,6 +153,6 @@ SELECT date, asset, q5 - 2 AS label_quintile,
   CASE WHEN raw IS NOT NULL THEN CAST(raw >= 0 AS INTEGER) END AS label_sign FROM b""")
 def class_labels(spark, sf):
     """Quintile class labels -2..2 and the sign label of the target."""
-    t = ft.target_table(with_session(pw(spark, sf)), 5)
+    t = _targets(spark, sf)
     return t.select("date", "asset", (F.col("q5") - 2).alias("label_quintile"),
                     dates.safe_positive("raw").alias("label_sign"))

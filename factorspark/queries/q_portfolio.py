@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import xs
+from ..operators.xsplit import wide_dates
 from ..plans import factors as fx
 from ..plans import portfolio as pf
 from ..plans import risk as rk
@@ -28,7 +29,8 @@ class Book:
         bars = pw(spark, sf)
         self.cal = calendar(bars)
         self.p = with_session(bars, self.cal)
-        fp = cut_lineage(fx.factor_panel(bars, PORTS, WEEKLY))
+        split = wide_dates(bars)
+        fp = cut_lineage(fx.factor_panel(bars, PORTS, WEEKLY, split=split))
         self.sectors = fp.select("date", "asset", "sector_code")
         al = to_long(fp, PORTS, []).select(F.col("factor").alias("port_name"), "date", "session_idx",
                                            "asset", F.col("value").alias("alpha"))
@@ -36,7 +38,7 @@ class Book:
         # back-test, cost, exposure and attribution plans: write them once;
         # returns and ADV are single window passes over the stored bars
         self.alpha = al
-        self.w = cut_lineage(pf.target_weights(self.alpha)
+        self.w = cut_lineage(pf.target_weights(self.alpha, split=split)
                              .select("port_name", "date", "session_idx", "asset", "w"))
         self.rets = pf.session_returns(self.p)
         self.adv = pf.adv_table(self.p, ADV_W)

@@ -135,7 +135,7 @@ def constraint_audit(spark, sf):
 
 # ------------------------------------------------------------------ PCA
 
-COMPONENTS, GRID = 20, (3, 5, 10, 20)
+COMPONENTS, GRID = 20, (3, 5, 10, 20, 50)
 
 
 def _pca(spark, sf):
@@ -184,7 +184,7 @@ def pca_top_loadings(spark, sf):
 
 @register("pca_expvar_grid")
 def pca_expvar_grid(spark, sf):
-    """Variance explained by the first k components, k in (3, 5, 10, 20),
+    """Variance explained by the first k components, k in (3, 5, 10, 20, 50),
     and its share of the total, on three expanding date folds."""
     from ..plans.features import time_folds
     m = RiskModel(spark, sf)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import ts, xs
+from ..operators import ts, xsplit
 from ..registry import register
 from ..sources.panels import with_session
 from . import sqlkit as q
@@ -15,29 +15,30 @@ RET = q.with_(q.PW, q.CAL, f"r AS (SELECT date, asset, sector_code, session_idx,
 
 
 def _ret(spark, sf):
-    return (with_session(pw(spark, sf)).withColumn("ret", ts.returns("close", 2))
-            .repartition("date"))
+    """Returns, and whether their dates are too large for a task."""
+    bars = pw(spark, sf)
+    split = xsplit.wide_dates(bars)
+    r = with_session(bars).withColumn("ret", ts.returns("close", 2))
+    return (r if split else r.repartition("date")), split
 
 
-def _xs(name, col_fn, sql_expr, doc):
+def _xs(name, step, sql_expr, doc, digits=False, **how):
     def job(spark, sf):
-        return _ret(spark, sf).select("date", "asset", col_fn().alias(name))
+        r, split = _ret(spark, sf)
+        out = step(r, name, "ret", split=split, **how)
+        return out.select("date", "asset", rd(F.col(name)).alias(name) if digits else name)
     job.__doc__ = doc
     register(name, RET + f"\nSELECT date, asset, {sql_expr} AS {name} FROM r")(job)
 
 
-_xs("xs_demean", lambda: rd(xs.demean("ret", ["date", "sector_code"])),
-    f"round({q.demean('ret', 'date, sector_code')}, 8)", "W1: return minus (date, sector) mean.")
-_xs("xs_rank_ordinal", lambda: xs.rank_ordinal("ret"), q.rank_ord("ret"),
-    "W2: ordinal rank per date, ties by asset.")
-_xs("xs_rank_average", lambda: xs.rank_average("ret"), q.rank_avg("ret"),
-    "W3: average-tie rank per date.")
-_xs("xs_zscore_pop", lambda: rd(xs.zscore("ret")), f"round({q.zscore('ret')}, 8)",
-    "W4: population z-score per date.")
-_xs("xs_zscore_samp", lambda: rd(xs.zscore("ret", ddof=1)),
-    f"round({q.zscore('ret', ddof=1)}, 8)", "W4: sample z-score per date.")
-_xs("xs_top_n", lambda: xs.top_n_flag("ret", 10), q.top_flag("ret", 10),
-    "W16: flag of the 10 largest returns per date.")
+_xs("xs_demean", xsplit.demean, f"round({q.demean('ret', 'date, sector_code')}, 8)",
+    "W1: return minus (date, sector) mean.", True, by=["date", "sector_code"])
+_xs("xs_rank_ordinal", xsplit.rank_ordinal, q.rank_ord("ret"), "W2: ordinal rank per date, ties by asset.")
+_xs("xs_rank_average", xsplit.rank_average, q.rank_avg("ret"), "W3: average-tie rank per date.")
+_xs("xs_zscore_pop", xsplit.zscore, f"round({q.zscore('ret')}, 8)", "W4: population z-score per date.", True)
+_xs("xs_zscore_samp", xsplit.zscore, f"round({q.zscore('ret', ddof=1)}, 8)", "W4: sample z-score per date.", True,
+    ddof=1)
+_xs("xs_top_n", xsplit.top_n_flag, q.top_flag("ret", 10), "W16: flag of the 10 largest returns per date.", n=10)
 
 
 @register("xs_qcut", RET + """,
@@ -46,7 +47,8 @@ SELECT date, asset, CASE WHEN ret IS NOT NULL THEN CAST(1 + list_sum([CASE WHEN
   FOR x IN edges]) AS INTEGER) END AS xs_qcut FROM e""")
 def xs_qcut(spark, sf):
     """Quintile 1..5 per date with interpolated, right-closed edges."""
-    return _ret(spark, sf).select("date", "asset", xs.qcut("ret", 5).alias("xs_qcut"))
+    r, split = _ret(spark, sf)
+    return xsplit.qcut(r, "xs_qcut", "ret", 5, split=split).select("date", "asset", "xs_qcut")
 
 
 @register("xs_cut", RET + f"""
@@ -57,4 +59,5 @@ SELECT date, asset, CAST(CASE WHEN ret IS NULL THEN NULL
   AS xs_cut FROM r""")
 def xs_cut(spark, sf):
     """10 equal-width bins per date (0-based, right-closed)."""
-    return _ret(spark, sf).select("date", "asset", xs.cut("ret", 10).alias("xs_cut"))
+    r, split = _ret(spark, sf)
+    return xsplit.cut(r, "xs_cut", "ret", 10, split=split).select("date", "asset", "xs_cut")
