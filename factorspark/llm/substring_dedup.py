@@ -1,4 +1,4 @@
-"""Operator 3, substring dedup by relative Lempel-Ziv factors.
+"""Operator 3, substring dedup by relative Lempel-Ziv parsing.
 
 A document is parsed against the earlier ones: a factor is a stretch of at
 least ``window`` words that also stands, word for word, in a source with a
@@ -7,13 +7,14 @@ earliest place.  It is dealt to blocks by the window's minimizer, the smallest
 hash of a ``seed``-word gram in it: equal windows have the same minimizer, so a
 document meets exactly those reference blocks that can hold one of its
 windows, and no others.  (Parsing against each block in turn would be
-quadratic in the blocks.)  A factor grows greedily as long as the next window
-continues at the same source; where it ends, the windows across the boundary
-have been looked up in their own right, so no repeat hides between two
-factors.
-
-Before the shuffle a task reduces what it has gathered: of equal windows only
-the first goes out, later ones get their source on the spot.  A passage in a
+quadratic in the blocks.)  In a block a stretch is looked up where it begins;
+a factor grows greedily along its source, window by window, as long as the two
+go on alike, and the next look-up is at its boundary, ``window`` - 1 words
+before its end, so no repeat hides between two factors.  Pieces of a factor
+that different blocks found are put together at the end.
+
+Before the shuffle a task parses what it has gathered in the same way: only
+windows that no factor holds go out.  A passage in a
 third of all documents costs one entry a task.  Everything travels as packed
 arrays: words are hashed to 64 bits, a window is known by its own 64 bits and
 those of its minimizer.
@@ -38,6 +39,8 @@ from .common import FLUSH_WORDS, NO_ID, frugal, identified, parts, prepare, quer
 from .words import SPACED, U64, Words, kgrams, long_grams, planes, unplanes
 
 WINDOW, SEED = 50, 16
+#: Windows that factors grow side by side, and windows compared at once beyond.
+ABREAST, PIECE = 64, 1 << 14
 
 _SENT = "block int, bucket int, ids binary, anchors binary, runs binary, windows binary, spans binary"
 _SPANS = "doc_id long, one long, two long, spans binary"
@@ -71,37 +74,87 @@ def _ranks(keys: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _repeats(rank, doc, start, anchor, full) -> tuple[np.ndarray, np.ndarray]:
-    """Windows that also start in a document of a smaller rank, and for each
-    the earliest place (by rank, then position) of its words."""
+def _earliest(rank, doc, start, anchor, full) -> np.ndarray:
+    """The index: of each window that occurs again its earliest place (by rank,
+    then position), of the others -1."""
+    place = np.full(len(full), -1)
     o = np.argsort(full, kind="stable")
     f = full[o]
-    same = np.r_[False, f[1:] == f[:-1]]
-    o = o[same | np.r_[same[1:], False]]           # a window that stands alone repeats nothing
-    if not len(o):
-        return o, o
-    o = o[np.lexsort((start[o], rank[doc[o]], anchor[o], full[o]))]
-    head = np.r_[True, (full[o][1:] != full[o][:-1]) | (anchor[o][1:] != anchor[o][:-1])]
-    lead = o[head][np.cumsum(head) - 1]
-    repeat = rank[doc[lead]] < rank[doc[o]]
-    return o[repeat], lead[repeat]
-
-
-def _spans(doc, start, source, source_start, keys, window) -> list[tuple[np.ndarray, bytes]]:
-    """Windows that repeat, in any order -> factors by document (its key)."""
-    if not len(doc):
-        return []
-    o = np.lexsort((start, doc))
-    doc, start, source, source_start = doc[o], start[o], source[o], source_start[o]
-    new = np.flatnonzero((np.diff(doc) != 0) | (np.diff(start) != 1) | (np.diff(source) != 0)
-                         | (np.diff(source_start) != 1)) + 1
-    a = np.r_[0, new]
-    z = np.r_[new, len(doc)]
-    out = np.empty(len(a), SPAN)
-    out["start"], out["words"] = start[a], z - a + window - 1
-    out["source"], out["source_start"] = source[a], source_start[a]
-    owner = doc[a]
-    cut = np.r_[0, np.flatnonzero(np.diff(owner)) + 1, len(owner)]
+    same = np.r_[False, f[1:] == f[:-1]][:len(f)]
+    o = o[same | np.r_[same[1:], False]]
+    if len(o):
+        o = o[np.lexsort((start[o], rank[doc[o]], anchor[o], full[o]))]
+        head = np.r_[True, (full[o][1:] != full[o][:-1]) | (anchor[o][1:] != anchor[o][:-1])]
+        place[o] = o[head][np.cumsum(head) - 1]
+    return place
+
+
+def _grown(at, source, end, anchor, full) -> np.ndarray:
+    """Windows that each factor takes: as far as the source's next windows are
+    the document's next ones, inside both stretches.  Many factors grow side by
+    side; what is long after ``ABREAST`` windows is compared piece by piece."""
+    n = np.ones(len(at), np.int64)
+    room = np.minimum(end[at] - at, end[source] - source)
+    live = np.flatnonzero(room > 1)
+    for _ in range(ABREAST):
+        if not len(live):
+            return n
+        i, j = at[live] + n[live], source[live] + n[live]
+        live = live[(full[i] == full[j]) & (anchor[i] == anchor[j])]
+        n[live] += 1
+        live = live[n[live] < room[live]]
+    for x in live.tolist():
+        while n[x] < room[x]:
+            i, j, k = at[x] + n[x], source[x] + n[x], min(int(room[x] - n[x]), PIECE)
+            apart = np.flatnonzero((full[i:i + k] != full[j:j + k]) | (anchor[i:i + k] != anchor[j:j + k]))
+            n[x] += apart[0] if len(apart) else k
+            if len(apart):
+                break
+    return n
+
+
+def _parse(rank, doc, start, anchor, full, first):
+    """Relative Lempel-Ziv parse of every stretch of windows (``first``: where
+    they begin) against what is indexed: (window, number of windows, source
+    window) of each factor.
+
+    A stretch is looked up where it begins; a window that has an earlier place
+    in a document of a smaller rank starts a factor, which grows along that
+    source as far as it goes.  The next look-up is at the factor's boundary:
+    with the first window that the factor doesn't hold, ``window`` - 1 words
+    before its end.  Windows that occur once are passed over."""
+    place = _earliest(rank, doc, start, anchor, full)
+    n = len(full)
+    end = np.repeat(np.r_[first[1:], n], np.diff(np.r_[first, n]))
+    again = np.where(place >= 0, np.arange(n), n)
+    again = np.minimum.accumulate(again[::-1])[::-1]               # the next window that occurs again
+    at, limit = again[first], end[first]
+    out = []
+    while True:
+        keep = at < limit
+        at, limit = at[keep], limit[keep]
+        if not len(at):
+            break
+        source = place[at]
+        hit = rank[doc[source]] < rank[doc[at]]
+        size = np.ones(len(at), np.int64)
+        size[hit] = _grown(at[hit], source[hit], end, anchor, full)
+        out.append(np.stack([at[hit], size[hit], source[hit]]))
+        at = at + size
+        at = np.where(at < limit, again[np.minimum(at, n - 1)], limit)
+    return np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
+
+
+def _spans(factors, doc, start, keys, window) -> list[tuple[np.ndarray, bytes]]:
+    """Factors by document (its key)."""
+    at, size, source = factors[:, np.argsort(factors[0], kind="stable")]
+    out = np.empty(len(at), SPAN)
+    out["start"], out["words"] = start[at], size + window - 1
+    out["source"], out["source_start"] = keys[0, doc[source]], start[source]
+    owner = doc[at]
+    o = np.argsort(owner, kind="stable")
+    owner, out = owner[o], out[o]
+    cut = np.r_[0, np.flatnonzero(np.diff(owner)) + 1, len(owner)] if len(owner) else np.zeros(1, int)
     return [(keys[:, owner[i]], out[i:j].tobytes()) for i, j in zip(cut, cut[1:])]
 
 
@@ -124,10 +177,13 @@ def _send(n_buckets: int, window: int, seed: int, flush: int):
     def emit(held, keys):
         doc, start, anchor, full = (np.concatenate(x) for x in zip(*held))
         keys = np.concatenate(keys, axis=1)
-        late, lead = _repeats(_ranks(keys), doc, start, anchor, full)
-        yield from _spans(doc[late], start[late], keys[0, doc[lead]], start[lead], keys, window)
-        keep = np.ones(len(doc), bool)           # what is left waits for the index's answer
-        keep[late] = False
+        first = np.r_[0, np.flatnonzero(np.diff(doc)) + 1]
+        found = _parse(_ranks(keys), doc, start, anchor, full, first)
+        yield from _spans(found, doc, start, keys, window)
+        edge = np.zeros(len(doc) + 1, np.int64)  # what no factor holds waits for the index's answer
+        np.add.at(edge, found[0], 1)
+        np.add.at(edge, found[0] + found[1], -1)
+        keep = np.cumsum(edge[:-1]) == 0
         doc, start, anchor, full = doc[keep], start[keep], anchor[keep], full[keep]
         bucket = (anchor % U64(n_buckets)).astype(np.uint16 if n_buckets < 1 << 16 else np.uint32)
         o = np.argsort(bucket, kind="stable")
@@ -185,14 +241,14 @@ def _sent_schema():
 
 
 def _answer(window: int):
-    """A reference block: all entries of its minimizers, the earliest place of
-    each window, and the factors of the later ones."""
+    """A reference block: all stretches of windows around its minimizers, parsed
+    against each other."""
     schema = pa.schema([("doc_id", pa.int64()), ("one", pa.int64()), ("two", pa.int64()), ("spans", pa.binary())])
     named = lambda keys, spans: dict(zip(schema.names, (*np.array(keys).T, spans)))
 
     def run(batches):
-        keys, doc, start, anchor, full = [], [], [], [], []
-        n = 0
+        keys, doc, start, anchor, full, first = [], [], [], [], [], []
+        n = windows = 0
         for batch in batches:
             passed, spans = [], []
             for row in batch.to_pylist():
@@ -201,11 +257,13 @@ def _answer(window: int):
                     spans.append(row["spans"])
                     continue
                 own = unplanes(row["ids"], np.int64).reshape(3, -1)
-                index, first, length = unplanes(row["runs"], np.uint32).reshape(3, -1).astype(np.int64)
+                index, begin, length = unplanes(row["runs"], np.uint32).reshape(3, -1).astype(np.int64)
                 keys.append(own)
                 doc.append(np.repeat(index + n, length))
                 step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-                start.append(np.repeat(first, length) + step)
+                start.append(np.repeat(begin, length) + step)
+                first.append(windows + np.cumsum(length) - length)
+                windows += int(length.sum())
                 anchor.append(np.repeat(unplanes(row["anchors"], U64), length))
                 full.append(unplanes(row["windows"], U64))
                 n += own.shape[1]
@@ -214,13 +272,11 @@ def _answer(window: int):
         if not keys:
             return
         keys = np.concatenate(keys, axis=1)
-        doc, start, anchor, full = map(np.concatenate, (doc, start, anchor, full))
-        late, lead = _repeats(_ranks(keys), doc, start, anchor, full)
-        if len(late):
-            rows = _spans(doc[late], start[late], keys[0, doc[lead]], start[lead], keys, window)
-            for i in range(0, len(rows), 4096):
-                a, b = zip(*rows[i:i + 4096])
-                yield pa.RecordBatch.from_pydict(named(a, b), schema)
+        doc, start, anchor, full, first = map(np.concatenate, (doc, start, anchor, full, first))
+        rows = _spans(_parse(_ranks(keys), doc, start, anchor, full, first), doc, start, keys, window)
+        for i in range(0, len(rows), 4096):
+            a, b = zip(*rows[i:i + 4096])
+            yield pa.RecordBatch.from_pydict(named(a, b), schema)
     return run
 
 
@@ -235,6 +291,21 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     return sent.repartitionById(n, F.col("block")).mapInArrow(frugal(_answer(window)), _SPANS)
 
 
+def whole(spans: list[tuple], window: int) -> list[tuple]:
+    """Factors (start, words, source, source start) whose pieces came from
+    several blocks, in one: pieces that go on at the same source."""
+    out: list[list[int]] = []
+    open_: dict[tuple, list[int]] = {}
+    for start, words, source, at in sorted(spans):
+        last = open_.get((source, at - start))
+        if last is not None and start <= last[0] + last[1] - window + 1:
+            last[1] = max(last[1], start + words - last[0])
+        else:
+            out.append([start, words, source, at])
+            open_[source, at - start] = out[-1]
+    return [tuple(x) for x in out]
+
+
 def covered(raw: list[bytes], n_words: int) -> np.ndarray:
     """Which words lie in a factor."""
     edge = np.zeros(n_words + 1, np.int64)
@@ -262,7 +333,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 removed = int(gone.sum())
                 if removed:
                     words = [w for w, g in zip(words, gone.tolist()) if not g]
-                found = sorted(x for r in raw or [] for x in np.frombuffer(r, SPAN).tolist())
+                found = whole([x for r in raw or [] for x in np.frombuffer(r, SPAN).tolist()], window)
                 for name, v in zip(schema.names, (doc_id, len(gone), removed, b" ".join(words).decode(),
                                                   [dict(zip(SPAN.names, x)) for x in found])):
                     out[name].append(v)
