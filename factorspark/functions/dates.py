@@ -68,6 +68,29 @@ def date_features(d="date") -> dict[str, Column]:
     return out
 
 
+def shifted(d, years: int = 0, months: int = 0, days: int = 0) -> Column:
+    """calendar arithmetic: whole years and months first (a day that the
+    month lacks becomes its last), then days."""
+    return F.date_add(F.add_months(_c(d), 12 * years + months), days)
+
+
+def add_business_days(d, n: int) -> Column:
+    """``n`` weekdays on (or back, if negative); from a weekend counting
+    starts at the Friday before (forward) or the Monday after (back)."""
+    d = _c(d)
+    w = F.weekday(d)
+    if n >= 0:
+        at = F.least(w, F.lit(4))
+        start = F.date_sub(d, w - at)
+        whole = at + n
+    else:
+        at = F.when(w > 4, 0).otherwise(w)
+        start = F.when(w > 4, F.date_add(d, 7 - w)).otherwise(d)
+        whole = at + n
+    weeks = F.floor(whole / 5).cast("int")
+    return F.date_add(start, weeks * 7 + (whole - weeks * 5) - at)
+
+
 def safe_positive(x) -> Column:
     """F8: 1 when x >= 0, 0 when negative, NULL when missing."""
     x = _c(x)

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -35,6 +35,14 @@ def _buckets(df: DataFrame) -> int:
     return min(512, max(64, n))
 
 
+def edges_below(edges: Column, value: Column, most: int) -> Column:
+    """How many of at most ``most`` ascending edges lie below the value, by
+    binary search: one look for each bit of the count."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(edges, at + step - 1) < value, at + step).otherwise(at))
+
+
 def value_positions(df: DataFrame, by: Sequence[str], value: str,
                     buckets: int | None = None) -> DataFrame:
     """(by..., _k, _c, _before): each distinct rounded value ``_k`` of a group,
@@ -51,8 +59,7 @@ def value_positions(df: DataFrame, by: Sequence[str], value: str,
     b = buckets or _buckets(df)
     probs = F.array(*[F.lit(i / b) for i in range(1, b)])
     edges = d.groupBy(*g).agg(F.percentile_approx("_k", probs, 100 * b).alias("_e"))
-    d = d.join(edges, g).withColumn(
-        "_b", F.aggregate("_e", F.lit(0), lambda acc, e: acc + F.when(F.col("_k") > e, 1).otherwise(0)))
+    d = d.join(edges, g).withColumn("_b", edges_below(F.col("_e"), F.col("_k"), b))
     tot = d.groupBy(*g, "_b").agg(F.sum("_c").alias("_bc"))
     tot = tot.withColumn("_off", F.coalesce(F.sum("_bc").over(
         Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -76,6 +83,21 @@ def average_rank(df: DataFrame, by: Sequence[str], value: str, out: str = "rank"
     return out_df if by else out_df.drop("_all")
 
 
+def rank_zscore(df: DataFrame, by: Sequence[str], value: str, out: str, buckets: int | None = None) -> DataFrame:
+    """Sample z-score of the average-tie rank within groups, from the table of
+    distinct values alone: a rank's mean is (n + 1) / 2, and its squares are
+    summed with the values' counts."""
+    by = list(by)
+    vp = value_positions(df, by, value, buckets).withColumn("_r", F.col("_before") + (F.col("_c") + 1) / 2.0)
+    n, s2 = F.col("_n").cast("double"), F.col("_s2")
+    var = (s2 - n * ((n + 1) / 2) * ((n + 1) / 2)) / F.nullif(n - 1, F.lit(0.0))
+    st = vp.groupBy(*by).agg(F.sum("_c").alias("_n"), F.sum(F.col("_c") * F.col("_r") * F.col("_r")).alias("_s2")).select(
+        *by, ((n + 1) / 2).alias("_mu"), F.sqrt(F.greatest(var, F.lit(0.0))).alias("_sd"))
+    z = vp.join(st, by).select(*by, "_k", F.try_divide(F.col("_r") - F.col("_mu"), F.col("_sd")).alias(out))
+    base = df.withColumn("_k", F.round(F.col(value), RANK_DIGITS))
+    return base.join(z, [*by, "_k"], "left").drop("_k")
+
+
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str,
                     probs: Sequence[float], buckets: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles (``np.quantile``, DuckDB

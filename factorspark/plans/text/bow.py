@@ -171,8 +171,6 @@ def sentiment_alpha(scores: DataFrame, value: str = "score_scaled", date: str =
     g = ["sentiment", date]
     m = scores.groupBy(*g, sector).agg(F.avg(value).alias("_m"))
     d = scores.join(m, [*g, sector]).withColumn("_dm", F.col(value) - F.col("_m"))
-    r = ranking.average_rank(d, g, "_dm", "_rk")
-    st = r.groupBy(*g).agg(F.avg("_rk").alias("_mu"), F.stddev_samp("_rk").alias("_sd"))
-    z = r.join(st, g).withColumn("_z", F.try_divide(F.col("_rk") - F.col("_mu"), F.col("_sd")))
+    z = ranking.rank_zscore(d, g, "_dm", "_z")
     sign = F.when(F.col("sentiment").isin("positive", "interesting"), 1.0).otherwise(-1.0)
-    return z.withColumn("alpha", F.col("_z") * sign).drop("_m", "_dm", "_mu", "_sd", "_z")
+    return z.withColumn("alpha", F.col("_z") * sign).drop("_m", "_dm", "_z")

@@ -104,7 +104,7 @@ def without_last_sessions(spark, sf):
 SELECT asset, round(close, 4) AS close FROM bars WHERE date = DATE '1996-07-01'""")
 def cross_section(spark, sf):
     """The cross-section of one date, sorted by price, then asset."""
-    p = pw(spark, sf).filter(F.col("date") == F.lit("1996-07-01").cast("date"))
+    p = pw(spark, sf, start="1996-07-01", end="1996-07-01")
     return p.select("asset", r8("close", d=4)).orderBy("close", "asset")
 
 
@@ -116,7 +116,7 @@ SELECT sentiment, count(c) AS n_tickers, round(avg(c), 8) AS mean_corr, round(me
 def score_corr_summary(spark, sf):
     """The tickers' score-length correlations, summed up per list."""
     c = Corpus(spark, sf)
-    s = bw.sentiment_scores(c.docs, c.tfidf())
+    s = c.scores()
     t = s.groupBy("sentiment", "ticker").agg(nn(stats.corr("score", "doc_len")).alias("c"))
     return t.groupBy("sentiment").agg(
         F.count("c").alias("n_tickers"), r8(F.avg("c"), "mean_corr"), r8(F.median("c"), "median_corr"),

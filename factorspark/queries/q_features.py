@@ -156,3 +156,20 @@ def class_labels(spark, sf):
     t = _targets(spark, sf)
     return t.select("date", "asset", (F.col("q5") - 2).alias("label_quintile"),
                     dates.safe_positive("raw").alias("label_sign"))
+
+
+_BDAY = ("(SELECT max(x) FROM (SELECT x, row_number() OVER (ORDER BY x) AS i FROM (SELECT CAST(unnest(generate_series("
+         "date + INTERVAL 1 DAY, date + INTERVAL 30 DAY, INTERVAL 1 DAY)) AS DATE) AS x) WHERE isodow(x) < 6) WHERE i = 7)")
+
+
+@register("calendar_arithmetic", "WITH dd AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders)\n" + f"""
+SELECT date, CAST(date + INTERVAL 1 YEAR AS DATE) AS year_on, CAST(date - INTERVAL 14 MONTH AS DATE) AS months_back,
+  CAST(date + INTERVAL 1 MONTH + INTERVAL 10 DAY AS DATE) AS month_and_days, CAST({_BDAY} AS DATE) AS week_days_on FROM dd""")
+def calendar_arithmetic(spark, sf):
+    """years, months, days and weekdays on and back from every order date."""
+    from ..sources.tables import read
+    d = read(spark, sf, "orders", "o_orderdate").select(F.col("o_orderdate").cast("date").alias("date")).distinct()
+    return d.select("date", dates.shifted("date", years=1).alias("year_on"),
+                    dates.shifted("date", years=-1, months=-2).alias("months_back"),
+                    dates.shifted("date", months=1, days=10).alias("month_and_days"),
+                    dates.add_business_days("date", 7).alias("week_days_on"))

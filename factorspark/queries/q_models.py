@@ -360,7 +360,7 @@ def alpha_merge(spark, sf):
     joined, then one row per (year, ticker) - the latest filing - kept with
     ``max_by`` (no per-group sort)."""
     c = Corpus(spark, sf)
-    s = bw.sentiment_scores(c.docs, c.tfidf()).withColumn("year", F.trunc("date", "year"))
+    s = c.scores().withColumn("year", F.trunc("date", "year"))
     rule = bw.sentiment_alpha(s.filter((F.col("sentiment") == "negative") & F.col("score_scaled").isNotNull())) \
         .select("doc_id", "ticker", "year", "date", F.col("alpha").alias("rule_alpha"))
     ml = ml_alpha(spark, sf, c).select("doc_id", F.col("alpha").alias("ml_alpha"))

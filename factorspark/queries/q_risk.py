@@ -133,6 +133,28 @@ def constraint_audit(spark, sf):
     return a.select("port_name", "date", "check_name", r8("value", d=6), r8("bound", d=6), "ok")
 
 
+@register("risk_tables", RISK_SQL + """
+SELECT 'factor_var' AS table_name, CAST(k AS BIGINT) AS key, round(var, 6) AS value FROM fv
+UNION ALL SELECT 'idio_var', CAST(asset AS BIGINT), round(var, 6) FROM iv
+UNION ALL SELECT 'beta_' || CAST(k AS VARCHAR), CAST(asset AS BIGINT), round(beta, 6) FROM betas""")
+def risk_tables(spark, sf):
+    """The risk model's tables written to the shared folder, partitioned
+    by table, and read back."""
+    import uuid
+    from ..session import checkpoint_dir
+    from ..sources.sinks import write_table
+    m = RiskModel(spark, sf)
+    t = m.fvar().select(F.lit("factor_var").alias("table_name"), F.col("k").cast("long").alias("key"), F.col("var").alias("value"))
+    t = t.unionByName(m.ivar().select(F.lit("idio_var").alias("table_name"), F.col("asset").cast("long").alias("key"),
+                                      F.col("var").alias("value")))
+    t = t.unionByName(m.betas.select(F.concat(F.lit("beta_"), F.col("k").cast("string")).alias("table_name"),
+                                     F.col("asset").cast("long").alias("key"), F.col("beta").alias("value")))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/risk-{uuid.uuid4().hex}"
+    write_table(t, path, ["table_name"])
+    back = spark.read.schema("key long, value double, table_name string").parquet(path)
+    return back.select("table_name", "key", r8("value", d=6))
+
+
 # ------------------------------------------------------------------ PCA
 
 COMPONENTS, GRID = 20, (3, 5, 10, 20, 50)

@@ -17,7 +17,7 @@ from ..registry import register
 from ..session import configure, cut_lineage
 from ..sources import text as st
 from ..sources.tables import read
-from .common import nn, r8
+from .common import nn, r8, shared_table
 
 KEY = ("ticker", "date", "doc_id")
 W1 = r"([\p{L}\p{N}_]+)"
@@ -245,23 +245,29 @@ TF_SQL = "WITH " + DOCS + LEX_CTE
 
 
 class Corpus:
-    """Shared Spark inputs of the bag-of-words jobs."""
+    """Shared Spark inputs of the bag-of-words jobs.  Term counts, lemmas,
+    lexicon, tf-idf and scores are tables that the session's jobs share: the
+    texts are tokenised once."""
 
     def __init__(self, spark, sf):
         configure(spark)
         self.docs = st.documents(spark, sf)
-        # per-document term counts feed the lemma table, the lexicon
-        # vocabulary, document frequencies and tf-idf: tokenise once
-        raw = cut_lineage(bw.term_counts(self.docs))
-        self.lemmas = bw.lemma_table(raw)
-        self.counts = bw.normalised_counts(raw, self.lemmas)
-        self.lex = bw.normalised_lexicon(st.lexicon(spark, sf, raw.select("term")), self.lemmas)
+        self.share = lambda name, build: shared_table(spark, sf, name, build)
+        raw = self.share("terms", lambda: bw.term_counts(self.docs))
+        self.lemmas = self.share("lemmas", lambda: bw.lemma_table(raw))
+        self.counts = self.share("counts", lambda: bw.normalised_counts(raw, self.lemmas))
+        self.lex = self.share("lexicon", lambda: bw.normalised_lexicon(st.lexicon(spark, sf, raw.select("term")), self.lemmas))
         self.n = self.docs.agg(F.count(F.lit(1)).alias("n"))
 
-    def tfidf(self, lex=None, again=False):
-        """The tf-idf table; written first if a job reads it ``again``."""
-        t = bw.tfidf(self.counts, self.lex if lex is None else lex, self.n)
-        return cut_lineage(t) if again else t
+    def tfidf(self, lex=None):
+        """The tf-idf table, of the lexicon or of another one."""
+        if lex is not None:
+            return bw.tfidf(self.counts, lex, self.n)
+        return self.share("tfidf", lambda: bw.tfidf(self.counts, self.lex, self.n))
+
+    def scores(self):
+        """The scores of every filing and list."""
+        return self.share("scores", lambda: bw.sentiment_scores(self.docs, self.tfidf()))
 
     def pairs(self):
         # (date, doc_id) as one number: any doc_id of 64 bits stays below 10**19
@@ -364,7 +370,7 @@ LEFT JOIN nr nb ON nb.doc_id = p.doc_b AND nb.sentiment = p.sentiment""")
 def cosine_neighbours(spark, sf):
     """Cosine similarity of consecutive filings' tf-idf rows, per list."""
     c = Corpus(spark, sf)
-    j = bw.cosine(c.tfidf(again=True), c.pairs())
+    j = bw.cosine(c.tfidf(), c.pairs())
     return j.select("ticker", "doc_a", "doc_b", "sentiment", r8("cosine"))
 
 
@@ -382,7 +388,7 @@ SELECT doc_id, sentiment, doc_len, round(score, 8) AS score, round(score_scaled,
 def sentiment_score(spark, sf):
     """Raw and length-scaled sentiment score per filing and list."""
     c = Corpus(spark, sf)
-    s = bw.sentiment_scores(c.docs, c.tfidf())
+    s = c.scores()
     return s.select("doc_id", "sentiment", "doc_len", r8("score"), F.round("score_scaled", 10).alias("score_scaled"))
 
 
@@ -392,7 +398,7 @@ FROM pr p JOIN scores a ON a.doc_id = p.doc_a JOIN scores b ON b.doc_id = p.doc_
 def sentiment_change(spark, sf):
     """Change of a filing's score against the ticker's previous filing."""
     c = Corpus(spark, sf)
-    s = bw.sentiment_scores(c.docs, c.tfidf(again=True))
+    s = c.scores()
     pr = c.pairs()
     a = s.select(F.col("doc_id").alias("doc_a"), "sentiment", F.col("score").alias("sa"))
     b = s.select(F.col("doc_id").alias("doc_b"), "sentiment", F.col("score").alias("sb"))
@@ -406,7 +412,7 @@ SELECT sentiment, round(CASE WHEN isnan(corr(score, doc_len)) THEN NULL ELSE cor
 def score_length_corr(spark, sf):
     """Correlation of the raw score with document length per list."""
     c = Corpus(spark, sf)
-    s = bw.sentiment_scores(c.docs, c.tfidf())
+    s = c.scores()
     return s.groupBy("sentiment").agg(r8(nn(stats.corr("score", "doc_len")), "corr_len"))
 
 
@@ -416,7 +422,7 @@ FROM scores GROUP BY sentiment, ticker""")
 def score_corr_by_ticker(spark, sf):
     """Score-length correlation within each ticker."""
     c = Corpus(spark, sf)
-    s = bw.sentiment_scores(c.docs, c.tfidf())
+    s = c.scores()
     return s.groupBy("sentiment", "ticker").agg(r8(nn(stats.corr("score", "doc_len")), "corr_len"))
 
 
@@ -431,7 +437,7 @@ def sentiment_alpha(spark, sf):
     """Signed sentiment alpha per list, filings re-stamped
     to 1 January, sector = language."""
     c = Corpus(spark, sf)
-    s = bw.sentiment_scores(c.docs, c.tfidf()).withColumn("year", F.trunc("date", "year"))
+    s = c.scores().withColumn("year", F.trunc("date", "year"))
     a = bw.sentiment_alpha(s.filter(F.col("score_scaled").isNotNull()))
     return a.select("doc_id", "sentiment", "year", r8("alpha"))
 

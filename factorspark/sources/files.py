@@ -3,16 +3,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.text.sections import file_key
 from .text import SENTIMENTS
 
 
-def read_filings_text(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
-    """One row per file (whole text) keyed by its name
-    ``{ticker}_{type}_{yyyymmdd}.ext``."""
+def read_filings_text(spark: SparkSession, path: str, glob: str = "*.{txt,txt.gz}") -> DataFrame:
+    """One row per file (whole text, plain or gzip) keyed by its
+    name ``{ticker}_{type}_{yyyymmdd}.ext``."""
     d = (spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
          .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
     return file_key(d)
@@ -56,6 +56,14 @@ def read_cik_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sentences(spark: SparkSession, path: str) -> DataFrame:
-    """One sentence per line -> (line, tokens)."""
-    d = spark.read.text(path)
-    return d.select(F.monotonically_increasing_id().alias("line"), F.split(F.trim("value"), r"\s+").alias("tokens"))
+    """One sentence per line -> (file, line, tokens), lines numbered from
+    0 in each file: the place in the split, after the lines of earlier splits,
+    which are counted first (one row a split)."""
+    d = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), F.split(F.trim("value"), r"\s+").alias("tokens"))
+    splits = d.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    splits = splits.select("file", "block", "first", F.coalesce(before, F.lit(0)).alias("before"))
+    return d.join(splits, ["file", "block"]).select(
+        "file", (F.col("before") + F.col("id") - F.col("first")).alias("line"), "tokens")
