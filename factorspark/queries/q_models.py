@@ -245,7 +245,8 @@ def ml_model_eval(spark, sf):
     from pyspark.ml.regression import RandomForestRegressor
     from ..session import cut_lineage
     cols = [*FEATS, "overnight_sentiment"]
-    p = cut_lineage(ft.split_by_fraction(_panel(spark, sf).dropna(subset=[*cols, "fwd_1"])))
+    p = cut_lineage(_panel(spark, sf).select("date", "asset", "session_idx", *cols, "fwd_1"))
+    p = cut_lineage(ft.split_by_fraction(p.dropna(subset=[*cols, "fwd_1"])))
     d = md.assemble(p, cols)
     m = RandomForestRegressor(labelCol="fwd_1", numTrees=50, maxDepth=4, seed=1).fit(d.where("split = 'train'"))
     said = m.transform(d.where("split <> 'train'")).select("date", "asset", "session_idx", "fwd_1",

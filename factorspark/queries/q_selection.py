@@ -35,19 +35,28 @@ PENALTIES = {k: [10.0 ** x for x in p] for k, p in POWERS.items()}
 FOLDS = 3
 
 
+def written_panel(spark, sf, names, *more) -> DataFrame:
+    """Complete rows of the named factors and the next return.  The panel is
+    written first: a filter on its columns would make Catalyst carry the
+    constraints of every window expression below it."""
+    p = fx.factor_panel(pw(spark, sf), names, WEEKLY, fwd_periods=(1,))
+    return cut_lineage(p.select("date", "asset", *more, *names, "fwd_1")).dropna()
+
+
 def small_panel(spark, sf) -> DataFrame:
-    """Complete rows of two factors and the next return, written once."""
-    p = fx.factor_panel(pw(spark, sf), FEATS, WEEKLY, fwd_periods=(1,))
-    return cut_lineage(p.select("date", "asset", *FEATS, "fwd_1").dropna())
+    """Complete rows of two factors and the next return."""
+    return written_panel(spark, sf, FEATS)
 
 
 def full_panel(spark, sf) -> DataFrame:
     """Three smoothed alphas, ADV rank, sector and calendar flags and the next
     return, with the split by date (T7); complete rows, written once."""
-    p = fx.factor_panel(pw(spark, sf), [*ALPHA, "adv_rank"], WEEKLY, fwd_periods=(1,))
-    p = p.withColumns(dates.one_hot("sector_code", range(5), "sector_code")).withColumns(dates.date_features("date"))
+    p = written_panel(spark, sf, [*ALPHA, "adv_rank"], "sector_code")
+    p = ft.split_by_fraction(p).withColumns(dates.one_hot("sector_code", range(5), "sector_code"))
+    flags = dates.date_features("date")
     cols = list(dict.fromkeys(f for s in SETS.values() for f in s))
-    return cut_lineage(ft.split_by_fraction(p.select("date", "asset", *cols, "fwd_1").dropna()))
+    return cut_lineage(p.withColumns({c: flags[c] for c in cols if c in flags}).select(
+        "date", "asset", *cols, "fwd_1", "split"))
 
 
 def of(panel: DataFrame, *splits: str) -> DataFrame:
