@@ -158,16 +158,17 @@ def logreg_grid(spark, sf):
     from ..plans import crossval as cv
     from ..plans.text import classify as tc
     from ..session import cut_lineage
+    from .q_textmodels import ITERATIONS, TEXT_WIDTH
     c = Corpus(spark, sf)
     lab = read(spark, sf, "labels", "doc_id", "quality").dropna().groupBy("doc_id").agg(F.max("quality").alias("quality"))
     counts = cut_lineage(c.counts.join(lab.select("doc_id"), "doc_id", "left_semi"))
-    terms = cut_lineage(tc.term_table(counts))
-    data = cut_lineage(tc.hashed_tfidf(counts).join(lab, "doc_id").join(c.docs.select("doc_id", "date"), "doc_id").select(
+    terms = cut_lineage(tc.term_table(counts, TEXT_WIDTH))
+    data = cut_lineage(tc.hashed_tfidf(counts, width=TEXT_WIDTH).join(lab, "doc_id").join(c.docs.select("doc_id", "date"), "doc_id").select(
         "doc_id", "date", "features", F.col("quality").cast("double").alias("label")))
     out = []
     for penalty in ("l1", "l2"):
         for weight in (0.01, 0.1, 1.0, 10.0, 100.0):
-            own = tc.PenalisedLogistic(C=weight, penalty=penalty, maxIter=100)
+            own = tc.PenalisedLogistic(C=weight, penalty=penalty, maxIter=ITERATIONS)
             m = cv.DateFoldCrossValidator(estimator=own, evaluator=tc.ClassEvaluator(), numFolds=3).fit(data)
             zero = tc.share_zero(tc.coefficient_table(m.bestModel, terms)).first().share_zero
             out.append((penalty, weight, *(m.mean()[x] for x in ("auc", "accuracy")), float(zero)))
