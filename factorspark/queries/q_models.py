@@ -117,10 +117,27 @@ def naive_bayes_probability(spark, sf):
 
 @register("forest_reg")
 def forest_reg(spark, sf):
-    """Random-forest regressor grid (200 trees; share of the rows 0.25, 0.5,
-    0.75; depth 3, 5) over expanding date folds: a row per fold and scorer."""
-    from .q_selection import FEATS as TWO, forest_cv, small_panel
-    return forest_cv(small_panel(spark, sf), TWO).frame(spark, "forest")
+    """Random-forest regressor grid (200 trees, depth 3/5), validation RMSE
+    and direction accuracy per parameter set."""
+    from pyspark.ml.regression import RandomForestRegressor
+    from ..plans import ensemble as en
+    from .q_selection import FEATS as TWO, labelled, of, small_panel
+    p = ft.split_by_fraction(small_panel(spark, sf))
+
+    def build(maxDepth):
+        return RandomForestRegressor(labelCol="fwd_1", numTrees=200, maxDepth=maxDepth, seed=0, featureSubsetStrategy="all")
+
+    _, t = en.train_valid_grid(build, {"maxDepth": [3, 5]}, labelled(of(p, "train"), TWO), labelled(of(p, "valid"), TWO),
+                               "fwd_1", "reg")
+    return t.where("split = 'valid'").select(F.lit("forest").alias("model"), "params", F.sqrt("score").alias("rmse"), "acc")
+
+
+@register("forest_cv")
+def forest_cv(spark, sf):
+    """The forest's grid of sample shares (0.25, 0.5, 0.75) and depths
+    (3, 5) over expanding date folds: a row per fold and scorer."""
+    from .q_selection import FEATS as TWO, forest_cv as fit, small_panel
+    return fit(small_panel(spark, sf), TWO).frame(spark, "forest")
 
 
 @register("ridge_cv")
@@ -130,14 +147,14 @@ def ridge_cv(spark, sf):
     from ..plans import ridge as rg
     from .q_selection import FEATS as TWO, small_panel
     g = rg.ridge_grid(small_panel(spark, sf), {"two": TWO}, "fwd_1", [0.0, 0.1, 1.0, 10.0])
-    s = g.summary().drop("rank")
+    s = g.summary().withColumnsRenamed({"mean_rmse": "cv_rmse", "mean_acc_global": "cv_acc"}).drop("rank")
     return s.withColumn("champion", F.col("alpha") == g.best("rmse")[1])
 
 
 @register("voting_ensemble")
 def voting_ensemble(spark, sf):
     """Non-overlapping voter: one forest per offset of every 5th
-    session, class probabilities averaged; figures of both splits per depth."""
+    session, class probabilities averaged; validation accuracy per setting."""
     from pyspark.ml.classification import RandomForestClassifier
     from ..plans import ensemble as en
     from .q_selection import FEATS as TWO, labelled, of, small_panel
@@ -146,7 +163,9 @@ def voting_ensemble(spark, sf):
     def build(maxDepth):
         return en.NoOverlapVoter(estimator=RandomForestClassifier(numTrees=50, maxDepth=maxDepth, seed=0))
 
-    return en.train_valid_grid(build, {"maxDepth": [3, 5]}, labelled(of(p, "train"), TWO), labelled(of(p, "valid"), TWO))[1]
+    t = en.train_valid_grid(build, {"maxDepth": [3, 5]}, labelled(of(p, "train"), TWO), labelled(of(p, "valid"), TWO))[1]
+    depth = F.get_json_object("params", "$.maxDepth").cast("int")
+    return t.where("split = 'valid'").select(depth.alias("max_depth"), F.col("score").alias("valid_acc"))
 
 
 @register("logreg_grid")
