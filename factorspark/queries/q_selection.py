@@ -236,7 +236,7 @@ class Champion:
     voter of ridges and a forest against the validation dates, and the champion
     among the ridges refitted on train and validation dates."""
 
-    def __init__(self, spark, sf):
+    def __init__(self, spark, sf, others: bool = True):
         from pyspark.ml.regression import LinearRegression
         self.spark, self.panel = spark, full_panel(spark, sf)
         train, valid = of(self.panel, "train"), of(self.panel, "valid")
@@ -245,6 +245,8 @@ class Champion:
         self.score = cv.DirectionEvaluator(labelCol="fwd_1")
         self.cv = {f"ridge_{s}": self.grid.mean(s, a) for s, a in self.chosen.items()}
         self.valid = {f"ridge_{s}": self.linear(valid, self.grid.coefficients(s, a)) for s, a in self.chosen.items()}
+        if not others:
+            return
         cols, base = SETS["alpha"], LinearRegression(labelCol="fwd_1", fitIntercept=False, standardization=False)
         voter = en.NoOverlapVoter(estimator=base, voting="mean")
         voters = cv.DateFoldCrossValidator(estimator=voter, evaluator=self.score, numFolds=FOLDS).fit(labelled(train, cols))
@@ -280,7 +282,7 @@ def champion_refit(spark, sf):
     """The champion ridge's coefficients and their shares on the
     training dates and refitted with the validation dates, and its accuracy on
     the test dates."""
-    c = Champion(spark, sf)
+    c = Champion(spark, sf, others=False)
     name, train, both = c.refit()
     t = c.linear(of(c.panel, "test"), both)
     d = cv.coefficient_shares(spark, {"train": train, "train_valid": both})
