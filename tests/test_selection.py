@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 
 import numpy as np
 import pytest
@@ -264,6 +265,26 @@ def test_grid_figures(classes):
     assert rows[4, "train"].score > rows[1, "train"].score
 
 
+class _Watched(en.BaggingClassifier):
+    """Counts the fits that run at once."""
+
+    now, most = [], [0]
+
+    def _fit(self, df):
+        self.now.append(1)
+        self.most[0] = max(self.most[0], len(self.now))
+        time.sleep(0.3)
+        self.now.pop()
+        return RandomForestClassifier(numTrees=1, maxDepth=1, seed=2).fit(df)
+
+
+def test_fits_of_a_grid_do_not_overlap(classes):
+    """Fits beside each other on one table failed at times (not serializable)."""
+    _Watched.most[0] = 0
+    en.train_valid_grid(lambda **x: _Watched(**x), {"maxDepth": [1, 2, 3]}, classes, classes)
+    assert _Watched.most[0] == 1
+
+
 def test_unknown_kind(classes):
     with pytest.raises(ValueError):
         metrics.predict_and_score(classes, "y", "y", "label", kind="rank")
