@@ -285,6 +285,12 @@ def test_fits_of_a_grid_do_not_overlap(classes):
     assert _Watched.most[0] == 1
 
 
+def test_fits_of_folds_do_not_overlap(classes):
+    _Watched.most[0] = 0
+    cv.DateFoldCrossValidator(estimator=_Watched(), numFolds=2, evaluator=cv.DirectionEvaluator()).fit(classes)
+    assert _Watched.most[0] == 1
+
+
 def test_unknown_kind(classes):
     with pytest.raises(ValueError):
         metrics.predict_and_score(classes, "y", "y", "label", kind="rank")
