@@ -9,6 +9,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .text import bow
+
 
 def gram_sums(df: DataFrame, features: list[str], target: str) -> tuple[np.ndarray, np.ndarray, int]:
     """X'X and X'y in one aggregation (K*K + K sums to the driver)."""
@@ -49,12 +52,13 @@ def naive_bayes(counts: DataFrame, labels: DataFrame, key: str = "doc_id", label
                 alpha: float = 1.0) -> DataFrame:
     """Multinomial naive Bayes in closed form, one row per term of the
     labelled documents: log_0, log_1 = ln((n_tc + alpha) / (n_c + alpha V)).
-    A term that a class lacks has the smoothed n_tc = 0."""
-    tc = (counts.join(labels.select(key, label), key).groupBy("term")
-          .agg(*[F.coalesce(F.sum(F.when(F.col(label) == k, F.col("tf"))), F.lit(0)).alias(f"n_{k}") for k in (0, 1)]))
+    A term that a class lacks has the smoothed n_tc = 0; ``n``: rows with the
+    term.  ``counts`` are term rows or bags."""
+    tc = (bow.join_terms(counts, labels.select(key, label), key).groupBy("term")
+          .agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(F.when(F.col(label) == k, F.col("tf"))), F.lit(0)).alias(f"n_{k}") for k in (0, 1)]))
     tot = tc.agg(F.count(F.lit(1)).alias("V"), F.sum("n_0").alias("c_0"), F.sum("n_1").alias("c_1"))   # one row
     return tc.join(F.broadcast(tot)).select(
-        "term", *[F.log((F.col(f"n_{k}") + alpha) / (F.col(f"c_{k}") + alpha * F.col("V"))).alias(f"log_{k}")
+        "term", "n", *[F.log((F.col(f"n_{k}") + alpha) / (F.col(f"c_{k}") + alpha * F.col("V"))).alias(f"log_{k}")
                   for k in (0, 1)])
 
 
@@ -64,7 +68,8 @@ def naive_bayes_probability(docs: DataFrame, counts: DataFrame, terms: DataFrame
     term keeps the prior."""
     pr = priors.agg(*[F.coalesce(F.max(F.when(F.col("label") == k, F.col("log_prior"))), F.lit(-1e9)).alias(f"p_{k}")
                       for k in (0, 1)])                                                               # one row
-    s = counts.join(terms, "term").groupBy(key).agg(F.sum(F.col("tf") * (F.col("log_1") - F.col("log_0"))).alias("_llr"))
+    rows = bow.terms_of(counts) if "bag" in counts.columns else counts
+    s = bow.at_terms(rows, cut_lineage(terms), "n").groupBy(key).agg(F.sum(F.col("tf") * (F.col("log_1") - F.col("log_0"))).alias("_llr"))
     d = docs.join(s, key, "left").join(F.broadcast(pr))
     odds = F.coalesce("_llr", F.lit(0.0)) + F.col("p_1") - F.col("p_0")
     # exp of at most 700 stays finite
