@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from factorspark.plans.text import bow as bw
 from factorspark.plans.text import classify as tc
+from factorspark.plans.text import ngrams as ng
 
 TEXTS = [(1, "Cats like cat food. The cat likes walking"), (2, "walk walked walking cats"), (3, None), (4, "!"),
          (5, "the food"), (5, "food walks"), (None, "cat zz9 walk"), (None, "cat cats")]
@@ -82,3 +83,21 @@ def test_vectors_of_bags(corpus):
     _, _, own, _ = corpus
     a = {r.doc_id: r.features for r in tc.hashed_tfidf(own, width=64).collect()}
     assert a == {r.doc_id: r.features for r in tc.hashed_tfidf(bw.terms_of(own), width=64).collect()}
+
+
+def test_bigrams_are_not_shuffled_to_the_phrases(spark, monkeypatch):
+    sent = spark.createDataFrame([(i, 0, ["new", "york", "is", "big", "new"]) for i in range(9)], "doc_id long, sent_id int, tokens array<string>")
+    ph = spark.createDataFrame([("new", "york", 9, 0.9)], "a string, b string, count long, score double")
+    limits = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    was = [spark.conf.get(c, None) for c in limits]
+    try:
+        for c in limits:
+            spark.conf.set(c, "-1")
+        out = ng.apply_phrases(sent, ph)
+        assert {tuple(r.tokens) for r in out.collect()} == {("new_york", "is", "big", "new")}
+        assert "BroadcastHashJoin [a#" in out._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(ng, "MOST_PAIRS", 0)                             # more than may be broadcast
+        assert {tuple(r.tokens) for r in ng.apply_phrases(sent, ph).collect()} == {("new_york", "is", "big", "new")}
+    finally:
+        for c, v in zip(limits, was):
+            spark.conf.set(c, v) if v is not None else spark.conf.unset(c)
