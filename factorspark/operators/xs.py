@@ -69,6 +69,17 @@ def zscore(x: Column | str, by: str | Sequence[str] = "date", ddof: int = 0) ->
     return F.try_divide(x - F.avg(x).over(w), sd.over(w))
 
 
+def rank_zscore(x: Column | str, by: str | Sequence[str] = "date", tiebreak: str = "asset") -> Column:
+    """W2 then W4: the population z-score of the ordinal rank.  The ranks of n
+    values are 1..n, so their mean and deviation follow from n, which is counted
+    in the rank's own window: a task holds the date once and not twice."""
+    x = _c(x)
+    w = Window.partitionBy(*_by(by), x.isNull()).orderBy(_key(x).asc(), F.col(tiebreak).asc())
+    n = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).cast("double")
+    z = F.try_divide(F.row_number().over(w) - (n + 1) / 2, F.sqrt((n * n - 1) / 12))
+    return F.when(x.isNotNull(), z)
+
+
 def qcut(x: Column | str, q: int, by: str | Sequence[str] = "date") -> Column:
     """Equal-frequency bucket 1..q per date with interpolated edges,
     right-closed like ``pd.qcut``.  Not ``ntile`` (sizes differ on ties)."""

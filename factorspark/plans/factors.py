@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import ts, xsplit
+from ..operators import ts, xs, xsplit
 from ..session import small_dim
 from ..sources.panels import CALENDAR_BOUND, calendar, with_session
 
@@ -87,6 +87,8 @@ class _Dates:
 
     def ranked(self, p: DataFrame, out: str, x) -> DataFrame:
         """The z-score of the ordinal rank of ``x`` on its date."""
+        if not self.split:
+            return p.withColumn(out, xs.rank_zscore(x))
         p = xsplit.rank_ordinal(p, f"_{out}", x, split=self.split)
         return xsplit.zscore(p, out, f"_{out}", split=self.split).drop(f"_{out}")
 
